@@ -71,10 +71,13 @@ def start(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         started.wait()
-        _publish_batch(
-            batch.persist(), batch_id, folder, query_id[0], registry(), settings, static, known_reason
-        )
-        batch.unpersist()
+        batch.persist()
+        try:
+            _publish_batch(
+                batch, batch_id, folder, query_id[0], registry(), settings, static, known_reason
+            )
+        finally:
+            batch.unpersist()
 
     writer = rows.writeStream.foreachBatch(run).option("checkpointLocation", f"{folder}/checkpoint")
     if available_now:
