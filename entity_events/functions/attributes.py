@@ -17,6 +17,9 @@ from entity_events.functions.ascii import closest_ascii
 SKIPPED_NAME = "skipped name"
 BLANK_NAME = "blank name"
 
+_VISIBLE = r"(?U)[^\s\x1c-\x1f]"
+_NORMAL_NAME = "^[a-z0-9]++(?:_++[a-z0-9]++)*+$"
+_EMPTY_LIST_STARTS = ("[]", "[ ", "[\t", "[\r", "[\n")
 _TOKEN = r'"(?:[^"\\]|\\.)*+"|[{}]|[^"{}]++'
 
 
@@ -32,7 +35,7 @@ def reject_reason(key: Column) -> Column:
     to the empty name later.
     """
     return F.when(key.isin(*fixed.SKIPPED_ATTRIBUTES), SKIPPED_NAME).when(
-        F.regexp_replace(key, r"(?U)[\s\x1c-\x1f]+", "") == "", BLANK_NAME
+        ~key.rlike(_VISIBLE), BLANK_NAME
     )
 
 
@@ -50,9 +53,12 @@ def rejected(attributes: Column) -> Column:
 
 
 def normalize_name(name: Column) -> Column:
-    """Closest ASCII spelling, other characters as single ``_``, trimmed and lowercase."""
+    """Closest ASCII spelling, other characters as single ``_``, trimmed and lowercase.
+
+    Most names are in this form already and are only tested.
+    """
     words = F.regexp_replace(closest_ascii(name), "[^A-Za-z0-9_]+", "_")
-    return F.lower(F.btrim(words, F.lit("_")))
+    return F.when(name.rlike(_NORMAL_NAME), name).otherwise(F.lower(F.btrim(words, F.lit("_"))))
 
 
 def collisions(attributes: Column) -> Column:
@@ -114,59 +120,74 @@ def sorted_set(value: Column) -> Column:
     return F.parse_json(F.concat(F.lit("["), F.array_join(ordered, ","), F.lit("]")))
 
 
-def published(
-    attributes: Column, set_names: Column | None = None, parsed: Column | None = None
-) -> Column:
+def _value_by_value(attributes: Column, parsed: Column, set_names: Column | None) -> Column:
+    """Rewrite values one by one: objects to text, listed arrays to sorted sets."""
+    # The text map keeps the key order inside nested objects, the variant does not.
+    texts = F.map_entries(F.from_json(attributes, "map<string,string>"))
+
+    def rewritten(entry: Column, text: Column) -> Column:
+        value = entry["value"]
+        new = F.when(
+            F.to_json(value).rlike(r"^[\[{].*\{|^\{"), F.parse_json(objects_as_text(text["value"]))
+        )
+        if set_names is not None:
+            new = new.when(F.array_contains(set_names, entry["key"]), sorted_set(value))
+        return F.struct(entry["key"].alias("key"), new.otherwise(value).alias("value"))
+
+    return F.map_from_entries(F.zip_with(F.map_entries(parsed), texts, rewritten))
+
+
+def _rewritten(attributes: Column, parsed: Column, set_names: Column | None) -> Column:
+    """Values in their published form, under the names as given.
+
+    Readings with neither a nested object nor a set, nearly all of them, are left as they are.
+    """
+    special = F.contains(F.ltrim(attributes, F.lit("{ \t\r\n")), F.lit("{"))
+    if set_names is not None:
+        special = special | (F.size(set_names) > 0)
+    return F.when(special, _value_by_value(attributes, parsed, set_names)).otherwise(parsed)
+
+
+def published(attributes: Column, set_names: Column | None = None) -> Column:
     """Attribute JSON text to the published map.
 
     Leaves out rejected names, normalises the rest (the later of two equal names stays), writes
-    objects as text, and sorts the arrays listed in ``set_names``, which stand for sets. Readings
-    without a nested object, nearly all of them, skip the rewriting. ``parsed`` is the parsed text
-    where the caller has it already.
+    objects as text, and sorts the arrays listed in ``set_names``, which stand for sets.
     """
-    entries = F.map_entries(parse(attributes) if parsed is None else parsed)
-    if set_names is not None:
-        entries = F.transform(
-            entries,
-            lambda e: F.struct(
-                e["key"].alias("key"),
-                F.when(F.array_contains(set_names, e["key"]), sorted_set(e["value"]))
-                .otherwise(e["value"])
-                .alias("value"),
-            ),
-        )
-    # The text map keeps the key order inside nested objects, the variant does not.
-    texts = F.map_entries(F.from_json(attributes, "map<string,string>"))
-    rewritten = F.zip_with(
-        entries,
-        texts,
-        lambda e, t: F.struct(
-            e["key"].alias("key"),
-            F.when(
-                F.to_json(e["value"]).rlike(r"^[\[{].*\{|^\{"),
-                F.parse_json(objects_as_text(t["value"])),
-            )
-            .otherwise(e["value"])
-            .alias("value"),
-        ),
-    )
-    nested = F.instr(F.substr(attributes, F.lit(2)), "{") > 0
-    entries = F.when(nested, rewritten).otherwise(entries)
-    kept = F.filter(entries, lambda e: reject_reason(e["key"]).isNull())
-    named = F.transform(
-        kept, lambda e: F.struct(normalize_name(e["key"]).alias("key"), e["value"].alias("value"))
-    )
-    return F.map_from_entries(named)
+    values = _rewritten(attributes, parse(attributes), set_names)
+    return F.transform_keys(keep_publishable(values), lambda name, _: normalize_name(name))
+
+
+def _not_null(_: Column, value: Column) -> Column:
+    return value.isNotNull() & ~F.is_variant_null(value)
+
+
+def _not_empty(_: Column, value: Column) -> Column:
+    return ~F.to_json(value).isin("[]", "{}")
 
 
 def skip_empty(attributes: Column) -> Column:
     """Drop attributes that are null, an empty list or an empty object; 0, false and "" stay."""
-    return F.map_filter(
-        attributes,
-        lambda _, value: value.isNotNull()
-        & ~F.is_variant_null(value)
-        & ~F.to_json(value).isin("[]", "{}"),
+    return F.map_filter(F.map_filter(attributes, _not_null), _not_empty)
+
+
+def published_filled(attributes: Column, set_names: Column | None, parsed: Column) -> Column:
+    """:func:`published` without the empty values, given the parsed text as well.
+
+    Where every name is in its final form no two can collide, and one pass over the map is enough.
+    Values are looked into only where the text shows a list that may be empty.
+    """
+    values = _rewritten(attributes, parsed, set_names)
+    final_names = F.forall(F.map_keys(parsed), lambda name: name.rlike(_NORMAL_NAME))
+    direct = F.map_filter(
+        values, lambda name, value: ~name.isin(*fixed.SKIPPED_ATTRIBUTES) & _not_null(name, value)
     )
+    named = F.transform_keys(keep_publishable(values), lambda name, _: normalize_name(name))
+    filled = F.when(final_names, direct).otherwise(F.map_filter(named, _not_null))
+    may_be_empty = F.lit(False)
+    for start in _EMPTY_LIST_STARTS:
+        may_be_empty = may_be_empty | F.contains(attributes, F.lit(start))
+    return F.when(may_be_empty, F.map_filter(filled, _not_empty)).otherwise(filled)
 
 
 def keep_names(

@@ -48,12 +48,8 @@ def sorted_labels(labels: Column) -> Column:
 
 def iso_utc(time: Column) -> Column:
     """ISO text of an instant; microseconds only where they are not zero."""
-    micros = F.date_format(time, "SSSSSS")
-    return F.concat(
-        F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss"),
-        F.when(micros == "000000", "").otherwise(F.concat(F.lit("."), micros)),
-        F.lit("+00:00"),
-    )
+    full = F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return F.concat(F.replace(full, F.lit(".000000"), F.lit("")), F.lit("+00:00"))
 
 
 def action_text(reason: Column) -> Column:

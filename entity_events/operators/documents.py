@@ -48,7 +48,7 @@ def build(accepted: DataFrame, static: StaticFields | None = None) -> DataFrame:
             attrs.friendly_name(raw, object_id).alias("friendly_name"),
             attrs.location(raw).alias("location"),
         ).alias("entity"),
-        attrs.skip_empty(attrs.published(F.col("attributes"), set_names, parsed=raw)).alias("attributes"),
+        attrs.published_filled(F.col("attributes"), set_names, raw).alias("attributes"),
         F.col("state").alias("value"),
         values.coerce(F.col("state")).alias("valueas"),
         object_id.alias("object_id"),

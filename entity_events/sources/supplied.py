@@ -32,14 +32,17 @@ STATES = {
 }
 
 ATTRIBUTES = f"""'{{' || substring(props, 2, length(props) - 2)
-    || ', "Event Type": "' || event_type || '", "event_type!": "a ' || event_type || '"'
+    || ', "user": ' || CAST(user_id AS STRING) || ', "kind": "' || event_type || '", "icon": "mdi:user", "nothing": null'
+    || ', "levels": [' || CAST(user_id AS STRING) || ', 1]'
     || CASE WHEN user_id % 2 = 0 THEN ', "friendly_name": "User ' || CAST(user_id AS STRING) || '"' ELSE '' END
     || CASE WHEN user_id % 3 = 0 THEN ', "longitude": ' || CAST(user_id % 180 AS STRING)
         || ', "latitude": ' || CAST(user_id % 4 AS STRING) ELSE '' END
+    || CASE WHEN event_id % 4 = 0 THEN ', "Event Type": "' || event_type || '", "event_type!": "a ' || event_type
+        || '"' ELSE '' END
+    || CASE WHEN event_id % 4 = 1 THEN ', "none": []' ELSE '' END
     || CASE WHEN event_id % 16 = 0 THEN ', "Température été": "haut"' ELSE '' END
     || CASE WHEN event_id % 32 = 0 THEN ', "zone": {{"b": 1, "a": {{"c": "x"}}}}, "parts": [{{"n": 1}}, 2]' ELSE '' END
-    || CASE WHEN event_id % 8 = 5 THEN ', "!!!": 1' ELSE '' END
-    || ', "icon": "mdi:user", "levels": [' || CAST(user_id AS STRING) || ', 1], "nothing": null, "none": [], " ": "x"'
+    || CASE WHEN event_id % 8 = 5 THEN ', "!!!": 1, " ": "x"' ELSE '' END
     || ', "temperature": "' || CASE WHEN event_id % 10 = 0 THEN 'n/a' ELSE {_DECIMAL} END || '"}}'"""
 
 #: Registry columns over ``customer`` (with ``domain``), ``supplier``, ``nation`` and ``region``.

@@ -74,6 +74,29 @@ def test_published(spark, given, expected):
     assert published(spark, given) == expected
 
 
+@pytest.mark.parametrize(
+    "given",
+    [
+        {"plain": 1, "icon": "x", "null": None, "a__b": "t"},
+        {"plain": 1, "list": []},
+        {"A b": 1, "a_b": None},
+        {"a_": 1, "_a": 2, "é": None},
+        {"nested": {"a": {}}, "list": [[], {}]},
+        {"in text": "[] {}", "plain": "[]"},
+        {"a b": 1, "": 2, "\n": 3},
+        {},
+    ],
+)
+def test_published_filled_is_both_steps(spark, given):
+    frame = spark.createDataFrame([(json.dumps(given),)], "a string")
+    a, parsed = F.col("a"), attrs.parse(F.col("a"))
+    row = frame.select(
+        F.to_json(attrs.published_filled(a, None, parsed)).alias("one"),
+        F.to_json(attrs.skip_empty(attrs.published(a))).alias("two"),
+    ).first()
+    assert row["one"] == row["two"]
+
+
 def test_unreadable_attributes_are_null(spark):
     assert published(spark, "{broken") is None
 
