@@ -12,9 +12,9 @@ from entity_events import fixed_values as fixed
 from entity_events.functions import attributes as attrs
 from entity_events.functions import rules, text, values
 from entity_events.operators import changes, documents, enrich, filters, manifest, quality, sinks
-from entity_events.operators.skew import Lookup
+from entity_events.operators.skew import BROADCAST_BYTES, Lookup, measured_bytes
 from entity_events.plans import analyses
-from entity_events.plans.publish import publish
+from entity_events.plans.publish import classify_and_publish, publish
 from entity_events.session import configure, shared_folder
 from entity_events.settings import Settings, StaticFields
 from entity_events.sources import supplied
@@ -74,8 +74,15 @@ def joined(labels: Column | str) -> Column:
     return F.array_join(labels, "|")
 
 
+#: Size of the entity details of each folder, in bytes; the supplied tables do not change.
+_SIZES: dict[str, int] = {}
+
+
 def lookup(spark: SparkSession, folder: str) -> Lookup:
-    return enrich.details_lookup(supplied.registry(spark, folder))
+    details = enrich.entity_details(supplied.registry(spark, folder))
+    if folder not in _SIZES:
+        _SIZES[folder] = measured_bytes(details)
+    return Lookup(details, "entity_id", _SIZES[folder] <= BROADCAST_BYTES)
 
 
 def classified(spark: SparkSession, folder: str, states: str = "mixed") -> DataFrame:
@@ -193,7 +200,9 @@ def p3(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _decided(spark: SparkSession, folder: str, settings: Settings) -> DataFrame:
-    kept = filters.accepted(classified(spark, folder, "switch"), lookup(spark, folder), settings)
+    entities = lookup(spark, folder)
+    wanted = filters.targeted(supplied.readings(spark, folder, "switch"), entities, settings)
+    kept = filters.accepted(changes.classify_readings(wanted), entities, settings)
     return kept.select("entity_id", "seq", "reason")
 
 
@@ -367,7 +376,7 @@ def _text_fields() -> dict[str, Column]:
 
 @register("d1_document")
 def d1(spark: SparkSession, folder: str) -> DataFrame:
-    rows = publish(classified(spark, folder), lookup(spark, folder))
+    rows = classify_and_publish(supplied.readings(spark, folder), lookup(spark, folder))
     return rows.select("seq", *(column.alias(name) for name, column in _text_fields().items()))
 
 

@@ -65,15 +65,29 @@ def with_rules(details: DataFrame, settings: Settings) -> DataFrame:
     return details.withColumn("target_decision", decision)
 
 
+def _passing(lookup: Lookup, settings: Settings) -> DataFrame:
+    return with_rules(lookup.rows, settings).where(F.col("target_decision") == PASSED)
+
+
+def targeted(readings: DataFrame, lookup: Lookup, settings: Settings) -> DataFrame:
+    """Readings of the entities that pass the target rules, without adding columns.
+
+    Keeps or drops an entity as a whole, so it may run before readings are compared with each other
+    and spares the others that shuffle.
+    """
+    entities = _passing(lookup, settings).select("entity_id")
+    return lookup.with_rows(entities).join(readings, "left_semi")
+
+
 def accepted(readings: DataFrame, lookup: Lookup, settings: Settings) -> DataFrame:
     """Readings that pass every rule, with their ``details``.
 
     The reason test runs on the scan; registration and target rules are one inner join with the
     entities that pass.
     """
-    passing = with_rules(lookup.rows, settings).where(F.col("target_decision") == PASSED)
+    passing = _passing(lookup, settings).select("entity_id", "details")
     wanted = readings.where(change_type_passes(F.col("reason"), settings.change_types))
-    return lookup.with_rows(passing.select("entity_id", "details")).join(wanted, "inner")
+    return lookup.with_rows(passing).join(wanted, "inner")
 
 
 def audited(readings: DataFrame, lookup: Lookup, settings: Settings) -> DataFrame:

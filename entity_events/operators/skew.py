@@ -1,8 +1,8 @@
 """Joins and neighbour lookups that hold when one key owns a large share of the rows.
 
 A key is *hot* when it has more than ``HOT_ROWS`` rows. Hot keys are found by counting, with
-partial aggregation before the shuffle; there are at most ``rows / HOT_ROWS`` of them, which bounds
-what is broadcast. All other keys take the plain path.
+partial aggregation before the shuffle. The table of hot keys is broadcast, so it holds the
+``MAX_HOT_KEYS`` largest at most; every other key takes the plain path, which is as exact.
 """
 
 from __future__ import annotations
@@ -14,12 +14,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_ROWS = 5_000_000
+MAX_HOT_KEYS = 100_000
 BROADCAST_BYTES = 128 << 20
 
 
 def _hot_keys(df: DataFrame, key: str, hot_rows: int, *extra: Column) -> DataFrame:
     counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), *extra)
     hot = counted.where(F.col("_rows") > hot_rows)
+    hot = hot.orderBy(F.desc("_rows"), key).limit(MAX_HOT_KEYS)
     return hot.withColumn("_parts", F.ceil(F.col("_rows") / F.lit(hot_rows)))
 
 
@@ -71,6 +73,25 @@ class Lookup:
         return spread_left.drop("_parts").join(repeated, [self.key, "_part"], how).drop("_part")
 
 
+def with_segments(
+    df: DataFrame, key: str, time: str, hot_rows: int, how: str = "left"
+) -> DataFrame:
+    """Add ``_segment``: 1, 2, ... along the time of a hot key, in equal widths, and 0 for other keys.
+
+    An inner join leaves only the hot keys.
+    """
+    micros = F.unix_micros(F.col(time))
+    span = (F.col("_last") - F.col("_start") + 1) / F.col("_parts")
+    hot = _hot_keys(df, key, hot_rows, F.min(micros).alias("_start"), F.max(micros).alias("_last"))
+    hot = hot.select(key, "_start", F.ceil(span).alias("_width"))
+    segment = 1 + F.floor((micros - F.col("_start")) / F.col("_width"))
+    return (
+        df.join(F.broadcast(hot), key, how)
+        .withColumn("_segment", F.coalesce(segment, F.lit(0)))
+        .drop("_start", "_width")
+    )
+
+
 def with_neighbours(
     df: DataFrame,
     key: str,
@@ -90,21 +111,10 @@ def with_neighbours(
     keys that side is empty and adaptive execution leaves it out.
     """
     order = [time] + ([tie] if tie else [])
-    micros = F.unix_micros(F.col(time))
-    span = (F.col("_last") - F.col("_start") + 1) / F.col("_parts")
-    hot = _hot_keys(df, key, hot_rows, F.min(micros).alias("_start"), F.max(micros).alias("_last"))
-    hot = hot.select(key, "_start", F.ceil(span).alias("_width"))
-    segment = 1 + F.floor((micros - F.col("_start")) / F.col("_width"))
-
-    cut = (
-        df.join(F.broadcast(hot), key, "left")
-        .withColumn("_segment", F.coalesce(segment, F.lit(0)))
-        .drop("_start", "_width")
-    )
+    cut = with_segments(df, key, time, hot_rows)
     taken, position = F.struct(*values), F.struct(*order)
     borders = (
-        df.join(F.broadcast(hot), key, "inner")
-        .withColumn("_segment", segment)
+        with_segments(df, key, time, hot_rows, "inner")
         .groupBy(key, "_segment")
         .agg(
             F.min_by(taken, position).alias("_first"),

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from entity_events.operators.skew import HOT_ROWS, with_neighbours
+from entity_events.session import materialized
 
 VALUE = "valueas.float"
 
@@ -104,7 +105,8 @@ def sustained_deviation(
     """Runs of consecutive deviating values that span at least ``minutes``.
 
     A run ends at its last deviating reading. Only readings at the border of a run go on to the
-    second step, where each first reading meets the last one, the next border of its entity.
+    second step, where each first reading meets the last one, the next border of its entity. The
+    borders are written in between, since that step reads them more than once.
     """
     numeric = documents.where(F.col(VALUE).isNotNull())
     series = _series(numeric, F.coalesce(deviates, F.lit(False)).alias("deviates"))
@@ -123,7 +125,7 @@ def sustained_deviation(
         "entity_id", "timestamp", "seq", first.alias("first"), last.alias("last")
     )
     paired = with_neighbours(
-        borders, "entity_id", "timestamp", ["timestamp"], following=True, hot_rows=hot_rows
+        materialized(borders), "entity_id", "timestamp", ["timestamp"], following=True, hot_rows=hot_rows
     )
     end = F.when(F.col("last"), F.col("timestamp")).otherwise(F.col("following.timestamp"))
     runs = paired.where("first").select(

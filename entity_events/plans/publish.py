@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from entity_events.operators import documents, filters, quality
+from entity_events.operators import changes, documents, filters, quality
 from entity_events.operators.skew import Lookup
 from entity_events.settings import Settings, StaticFields
 
@@ -23,3 +23,20 @@ def publish(
     """
     checked = readings if trusted else quality.readable(readings)
     return documents.build(filters.accepted(checked, lookup, settings or Settings()), static)
+
+
+def classify_and_publish(
+    readings: DataFrame,
+    lookup: Lookup,
+    settings: Settings | None = None,
+    static: StaticFields | None = None,
+    trusted: bool = False,
+) -> DataFrame:
+    """Documents of readings that carry only their new state.
+
+    Entities the rules refuse are left out before the shuffle that compares each reading with the
+    one before it.
+    """
+    settings = settings or Settings()
+    wanted = filters.targeted(readings, lookup, settings)
+    return publish(changes.classify_readings(wanted), lookup, settings, static, trusted)

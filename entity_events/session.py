@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _REQUIRED = {
     # Times are instants; text forms are written in UTC.
@@ -39,3 +39,14 @@ def shared_folder(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     return tempfile.mkdtemp(prefix="entity-events-")
+
+
+def materialized(df: DataFrame) -> DataFrame:
+    """Write an intermediate result as a table in the shared folder and read it from there.
+
+    Runs at once. What follows starts from the written files, however often it reads them and
+    whichever executors are lost.
+    """
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

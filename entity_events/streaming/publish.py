@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from entity_events import schemas
 from entity_events.operators import changes as ops
-from entity_events.operators import quality, sinks
+from entity_events.operators import filters, quality, sinks
 from entity_events.operators.enrich import Registry, details_lookup
 from entity_events.plans.publish import publish
 from entity_events.session import configure
@@ -113,22 +113,23 @@ def _publish_batch(
         )
         history = previous.withColumn("carried", F.lit(True)).unionByName(history)
 
+    lookup = details_lookup(registry)
+    wanted = filters.targeted(history, lookup, settings)
     gathered = None
     if settings.change_types:
-        gathered = changes if known_reason else _classified(history)
+        gathered = changes if known_reason else _classified(wanted)
     span = batch.where(F.col("kind") == _TICK).agg(F.min("time").alias("a"), F.max("time").alias("b"))
     first, last = span.first()
     if first is not None:
-        polled = ops.poll_replay(history.drop("carried"), first, last, settings.poll_seconds)
+        polled = ops.poll_replay(wanted.drop("carried"), first, last, settings.poll_seconds)
         gathered = polled if gathered is None else ops.merge(gathered, polled)
 
     if gathered is not None:
-        lookup = details_lookup(registry)
         counted = Observation()
         documents = publish(gathered, lookup, settings, static)
         documents = documents.observe(counted, F.count(F.lit(1)).alias("documents"))
         sinks.replace_part(documents, f"{folder}/documents/{part}")
-        refused = quality.quarantined(gathered, lookup)
+        refused = quality.quarantined(changes, lookup)
         refused.write.mode("overwrite").parquet(f"{folder}/quarantine/{part}")
         outcome = spark.createDataFrame([(counted.get["documents"],)], "documents long")
         outcome.write.mode("overwrite").json(f"{folder}/outcomes/{part}")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from entity_events import fixed_values as fixed
 from entity_events import schemas
 from entity_events.operators import changes
-from entity_events.operators.skew import Lookup, with_neighbours
+from entity_events.operators.skew import Lookup, with_neighbours, with_segments
 
 T0 = datetime(2024, 1, 1, tzinfo=UTC)
 
@@ -53,11 +53,24 @@ def test_neighbours_do_not_depend_on_how_hot_keys_are_cut(spark, hot_rows):
         assert (row["following"] and tuple(row["following"])) == after.get(row["seq"])
 
 
-def test_hot_keys_leave_no_window_partition_above_the_limit(spark):
-    """An evenly filled hot key is cut into parts of about the limit."""
+def test_a_hot_key_is_cut_into_parts_of_about_the_limit(spark):
     rows = [("hot", at(i), i, "x", None) for i in range(1000)]
-    plan = with_neighbours(frame(spark, rows), "entity_id", "time", ["seq"], previous=True, hot_rows=100)
-    assert plan.where("previous.seq = seq - 1").count() == 999
+    rows += [(f"cold.{i % 50}", at(i), i, "x", None) for i in range(500)]
+    cut = with_segments(frame(spark, rows), "entity_id", "time", hot_rows=100)
+    sizes = cut.groupBy("entity_id", "_segment").count().collect()
+    assert max(r["count"] for r in sizes) <= 101
+    assert all((r["_segment"] == 0) == (r["entity_id"] != "hot") for r in sizes)
+
+
+def test_keys_beyond_the_broadcast_bound_take_the_plain_path(spark, monkeypatch):
+    monkeypatch.setattr("entity_events.operators.skew.MAX_HOT_KEYS", 1)
+    feed = [(f"e.{i % 3}", at(i), i, "x", None) for i in range(90)]
+    got = with_neighbours(frame(spark, feed), "entity_id", "time", ["seq"], previous=True, hot_rows=10)
+    assert {r["seq"]: r["previous"] and r["previous"]["seq"] for r in got.collect()} == {
+        i: i - 3 if i >= 3 else None for i in range(90)
+    }
+    left = Lookup(frame(spark, feed).groupBy("entity_id").count(), "entity_id", False)
+    assert left.join(frame(spark, feed), "inner", hot_rows=10).count() == 90
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
