@@ -15,7 +15,7 @@ from entity_events.operators import changes, documents, enrich, filters, manifes
 from entity_events.operators.skew import BROADCAST_BYTES, Lookup, measured_bytes
 from entity_events.plans import analyses
 from entity_events.plans.publish import classify_and_publish, publish
-from entity_events.session import configure, shared_folder
+from entity_events.session import configure, shared_folder, spread
 from entity_events.settings import Settings, StaticFields
 from entity_events.sources import supplied
 from entity_events.streaming import publish as stream
@@ -100,9 +100,15 @@ def docs(
     states: str = "mixed",
     settings: Settings | None = None,
     static: StaticFields | None = None,
+    whole: bool = False,
 ) -> DataFrame:
-    """Documents of every registered reading; each is taken as a state change unless classified."""
-    readings = supplied.readings(spark, folder, states).withColumn("reason", F.lit(fixed.STATE))
+    """Documents of every registered reading, each taken as a state change.
+
+    Queries that use ``whole`` documents, attributes included, have them built on all cores.
+    """
+    events = supplied.table(spark, folder, "events")
+    readings = supplied.readings_of(spread(events) if whole else events, states)
+    readings = readings.withColumn("reason", F.lit(fixed.STATE))
     return publish(readings, lookup(spark, folder), settings, static, trusted=True)
 
 
@@ -506,8 +512,9 @@ def f5(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _published(spark: SparkSession, folder: str) -> DataFrame:
+    events = spread(supplied.table(spark, folder, "events"))
     kept = attrs.published(F.col("attributes"))
-    return supplied.readings(spark, folder).select("seq", F.explode(kept).alias("name", "value"))
+    return supplied.readings_of(events).select("seq", F.explode(kept).alias("name", "value"))
 
 
 @register("f6_published_attributes")
@@ -662,7 +669,7 @@ def c6(spark: SparkSession, folder: str) -> DataFrame:
 
 @register("c7_series_dedup")
 def c7(spark: SparkSession, folder: str) -> DataFrame:
-    first = docs(spark, folder)
+    first = docs(spark, folder, whole=True)
     again = first.withColumns({"seq": F.col("seq") + 1_000_000_000, "value": F.lit("late copy")})
     kept = quality.first_per_point(again.unionByName(first))
     return kept.select("seq", "object_id", "value", F.size("attributes").cast("bigint").alias("attributes"))
@@ -687,7 +694,7 @@ def c9(spark: SparkSession, folder: str) -> DataFrame:
 @register("k1_append_stream")
 def k1(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_folder(spark)
-    sinks.append(docs(spark, folder), path)
+    sinks.append(docs(spark, folder, whole=True), path)
     stored = spark.read.parquet(path)
     return stored.groupBy("dataset", F.col("event_date").cast("string").alias("day")).agg(
         F.count(F.lit(1)).alias("documents"), decimal(F.sum("valueas.float")).alias("total")
@@ -702,7 +709,7 @@ def k2(spark: SparkSession, folder: str) -> DataFrame:
 
 @register("k3_bulk_text")
 def k3(spark: SparkSession, folder: str) -> DataFrame:
-    return sinks.bulk_text(docs(spark, folder, static=STATIC))
+    return sinks.bulk_text(docs(spark, folder, static=STATIC, whole=True))
 
 
 @register("k4_bulk_items")
