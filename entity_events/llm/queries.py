@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entity_events.llm import mixing
+from entity_events.llm import mixing, token_counts
 from entity_events.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,3 +28,9 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
     taken = (F.col("size") * F.col("copies")).cast("long").alias("taken")
     return mixing.planned(docs).select("doc_id", "size", "source_size", "target", taken)
+
+
+@register("op3_count_tokens")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    counted = token_counts.count_tokens(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > token_counts.LIMIT)
