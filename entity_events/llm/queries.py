@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entity_events.llm import mixing, token_counts
+from entity_events.llm import mixing, secrets, token_counts
 from entity_events.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,3 +34,20 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     counted = token_counts.count_tokens(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return counted.withColumn("over_limit", F.col("n_tokens") > token_counts.LIMIT)
+
+
+@register("op10_find_secrets")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.with_spans(table(spark, folder, "documents"))
+
+    def listed(spans: Column) -> Column:
+        places = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+        return F.array_join(places, ",")
+
+    def of_kind(kind: str) -> Column:
+        return F.filter("spans", lambda s: s["kind"] == kind)
+
+    base = F.filter("spans", lambda s: s["kind"] != "live")
+    counts = [F.size(of_kind(kind)).cast("long").alias(f"n_{kind}") for kind in secrets.KINDS[:3]]
+    digest = F.sha2(listed(base), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, listed(F.col("spans")).alias("spans"))
