@@ -36,3 +36,65 @@ SELECT d.doc_id, d.size, r.source_size, r.target,
         / 4503599627370496.0::DOUBLE < r.rate - floor(r.rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM sized d JOIN rates r ON d.source IS NOT DISTINCT FROM r.source
 """
+
+
+def _posterior(name: str, parent: str, groups: str, above: str) -> str:
+    """The posterior of one level: its estimated strength, then its groups below their parents' means."""
+    return f"""
+{name}_totals AS (
+    SELECT sum(pages)::DOUBLE AS n, sum(bad)::DOUBLE AS x, count(*) AS k, sum(bad * bad / pages) AS squares,
+        sum(pages::DOUBLE * pages) AS sizes, x / n AS rate, rate * (1 - rate) AS spread
+    FROM {groups}
+), {name}_share AS (
+    SELECT CASE WHEN spread * (n - sizes / n - (k - 1)) > 0
+        THEN (squares - x * rate - spread * (k - 1)) / (spread * (n - sizes / n - (k - 1))) END AS share
+    FROM {name}_totals
+), {name}_post AS (
+    SELECT g.*, greatest(1.0, least(1000.0, CASE WHEN share > 0 THEN 1 / share - 1 ELSE 1000.0 END)) AS strength,
+        strength + pages AS weight, (strength * a.mean + bad) / (strength + pages) AS mean
+    FROM (SELECT * FROM {groups}) g JOIN (SELECT {parent}, mean FROM {above}) a USING ({parent}), {name}_share
+)"""
+
+
+ORACLES["op5_judge_urls"] = f"""
+WITH parsed AS (
+    SELECT page_id,
+        coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+        coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+    FROM pages
+), named AS (
+    SELECT *, regexp_replace(host, '^.*@|:[0-9]*$', '', 'g') AS name, string_split(name, '.') AS labels,
+        array_to_string(labels[-2:], '.') AS two,
+        two IN ('co.uk', 'org.uk', 'ac.uk', 'com.au', 'co.jp', 'co.nz', 'com.br', 'co.in') AS long,
+        regexp_matches(name, '^[0-9.]+$') OR contains(name, '[') AS numbers,
+        CASE WHEN numbers THEN name WHEN long THEN two ELSE labels[-1] END AS suffix,
+        CASE WHEN numbers THEN name WHEN long THEN array_to_string(labels[-3:], '.') ELSE two END AS domain
+    FROM parsed
+), outcomes AS (
+    SELECT doc_id, CASE WHEN quality IS NOT NULL OR toxic IS NOT NULL THEN greatest(1 - quality, toxic) END AS bad
+    FROM labels
+), hosts AS (
+    SELECT host, domain, suffix, 1 AS everything, count(*) AS pages, sum(bad)::DOUBLE AS bad
+    FROM named JOIN outcomes ON page_id = doc_id WHERE bad IS NOT NULL GROUP BY ALL
+), domains AS (
+    SELECT domain, suffix, 1 AS everything, sum(pages) AS pages, sum(bad) AS bad FROM hosts GROUP BY ALL
+), suffixes AS (
+    SELECT suffix, 1 AS everything, sum(pages) AS pages, sum(bad) AS bad FROM hosts GROUP BY ALL
+), top AS (
+    SELECT 1 AS everything, coalesce(sum(pages), 0) + 2.0 AS weight, (coalesce(sum(bad), 0) + 0.2) / weight AS mean
+    FROM hosts
+), {_posterior("suffix", "everything", "suffixes", "top")}, {_posterior("domain", "suffix", "domains", "suffix_post")},
+{_posterior("host", "domain", "hosts", "domain_post")}, met AS (
+    SELECT n.*, coalesce(h.mean, d.mean, s.mean, t.mean) AS mean, coalesce(h.weight, d.weight, s.weight, t.weight) AS weight,
+        CASE WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/de/%' THEN 'example.com/de/'
+            WHEN (host = 'example.net' OR host LIKE '%.example.net') AND path LIKE '/en/%' THEN 'example.net/en/'
+            WHEN (n.host = 'org' OR n.host LIKE '%.org') AND path LIKE '/fr/%' THEN 'org/fr/'
+            WHEN (n.host = 'net' OR n.host LIKE '%.net') AND path LIKE '/%' THEN 'net/' END AS rule
+    FROM named n LEFT JOIN host_post h USING (host) LEFT JOIN domain_post d ON n.domain = d.domain
+    LEFT JOIN suffix_post s ON n.suffix = s.suffix CROSS JOIN top t
+)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block'
+    WHEN rule IS NOT NULL THEN 'allow' WHEN mean - 1.64 * sqrt(mean * (1 - mean) / (weight + 1)) > 0.5 THEN 'block' ELSE 'allow' END AS verdict
+FROM met
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entity_events.llm import mixing, secrets, token_counts
+from entity_events.llm import mixing, secrets, token_counts, url_filter
 from entity_events.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,3 +51,20 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     counts = [F.size(of_kind(kind)).cast("long").alias(f"n_{kind}") for kind in secrets.KINDS[:3]]
     digest = F.sha2(listed(base), 256).alias("base_sha256")
     return found.select("doc_id", *counts, digest, listed(F.col("spans")).alias("spans"))
+
+
+RULES = (
+    url_filter.Rule("block", "net", "/"),
+    url_filter.Rule("allow", "example.net", "/en/"),
+    url_filter.Rule("block", "example.com", "/de/"),
+    url_filter.Rule("allow", "org", "/fr/"),
+)
+
+
+@register("op5_judge_urls")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    # Outcomes: the labels of the ids that pages share; bad is low quality or toxic.
+    bad = F.when(F.col("quality").isNotNull() | F.col("toxic").isNotNull(), F.greatest(1 - F.col("quality"), "toxic"))
+    outcomes = table(spark, folder, "labels").select(F.col("doc_id").alias("page_id"), bad.cast("long").alias("bad"))
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    return url_filter.judged(pages, outcomes, RULES).select("page_id", "host", "path", "rule", "verdict")
