@@ -98,3 +98,22 @@ SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/')
     WHEN rule IS NOT NULL THEN 'allow' WHEN mean - 1.64 * sqrt(mean * (1 - mean) / (weight + 1)) > 0.5 THEN 'block' ELSE 'allow' END AS verdict
 FROM met
 """
+
+
+# Escaping lengthens each & by 4, each < by 3 and each [ by 4 code points; a turn has 16 besides its role.
+ORACLES["op9_format_chats"] = """
+WITH said AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), each AS (
+    SELECT *, length(replace(replace(replace(role || text, '&', '&amp;'), '<', '&lt;'), '[', '&lbr;')) + 16 AS chars FROM said
+), whole AS (
+    SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
+        coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '') AS loss,
+        CAST(sum(chars) AS BIGINT) AS formatted_chars
+    FROM each GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars
+FROM whole
+"""
