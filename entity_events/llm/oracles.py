@@ -117,3 +117,37 @@ WITH said AS (
 SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars
 FROM whole
 """
+
+
+def _listed(source: str, key: str) -> str:
+    return f"""
+    SELECT {key}, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS words, row_number() OVER () AS place
+    FROM {source}"""
+
+
+# Every window of a length that some item has, of documents and items, compared as texts.
+ORACLES["op2_decontaminate"] = f"""
+WITH docs AS ({_listed("documents", "doc_id")}), items AS ({_listed("benchmark", "item_id")}),
+item_windows AS (
+    SELECT DISTINCT item_id, least(len(words), 13) AS size, unnest(range(1, len(words) - least(len(words), 13) + 2)) AS i,
+        array_to_string(words[i : i + size - 1], ' ') AS shown
+    FROM items WHERE len(words) > 0
+), sizes AS (SELECT DISTINCT size FROM item_windows
+), doc_windows AS (
+    SELECT place, size, unnest(range(1, len(words) - size + 2)) AS i, array_to_string(words[i : i + size - 1], ' ') AS shown
+    FROM docs JOIN sizes ON len(words) >= size
+), hits AS (
+    SELECT place, i, d.size, item_id FROM doc_windows d JOIN (SELECT DISTINCT item_id, size, shown FROM item_windows) w
+    ON d.size = w.size AND d.shown = w.shown
+), covered AS (
+    SELECT place, count(DISTINCT word) AS n_hit FROM (SELECT place, unnest(range(i, i + size)) AS word FROM hits) GROUP BY place
+), named AS (
+    SELECT place, count(DISTINCT item_id) AS n_items,
+        string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS listed
+    FROM hits GROUP BY place
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM docs LEFT JOIN covered USING (place) LEFT JOIN named USING (place)
+"""

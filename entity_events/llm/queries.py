@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entity_events.llm import chat, mixing, secrets, token_counts, url_filter
+from entity_events.llm import chat, decontaminate, mixing, secrets, token_counts, url_filter
 from entity_events.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,15 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.planned(docs).select("doc_id", "size", "source_size", "target", taken)
 
 
+@register("op2_decontaminate")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.contamination(docs, table(spark, folder, "benchmark"))
+    digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    n_items = F.size("items").cast("long").alias("n_items")
+    return found.select("doc_id", "n_words", "n_hit", n_items, digest, "contaminated")
+
+
 @register("op3_count_tokens")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     counted = token_counts.count_tokens(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
