@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entity_events.llm import chat, decontaminate, mixing, secrets, token_counts, url_filter
+from entity_events.llm import chat, decontaminate, fingerprints, mixing, secrets, token_counts, url_filter
 from entity_events.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,22 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > token_counts.LIMIT)
 
 
+@register("op7_fingerprint")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    docs = fingerprints.with_next(table(spark, folder, "documents"))
+    docs = docs.withColumn("edited", fingerprints.edited(F.col("text"), F.col("next_text")))
+    docs = docs.withColumn("edited_print", fingerprints.fingerprint(F.col("edited")))
+    return docs.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.as_text(F.col("print")).alias("fingerprint"),
+        fingerprints.as_text(F.col("edited_print")).alias("edited_fingerprint"),
+        fingerprints.likeness(F.col("print"), F.col("edited_print")).alias("near_edited"),
+        fingerprints.likeness(F.col("print"), F.col("next_print")).alias("near_next"),
+    )
+
+
 @register("op9_format_chats")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
