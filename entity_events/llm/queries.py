@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entity_events.llm import chat, decontaminate, fingerprints, mixing, secrets, token_counts, url_filter
+from entity_events.llm import chat, decontaminate, fingerprints, language, mixing, secrets, token_counts, url_filter
 from entity_events.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,14 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > token_counts.LIMIT)
 
 
+@register("op6_language")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = language.held_out(F.col("doc_id"), 3, 1)
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    learnable = ~held_out & F.col("doc_id").isNotNull()
+    return language.predicted(docs, learnable).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @register("op7_fingerprint")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     docs = fingerprints.with_next(table(spark, folder, "documents"))
