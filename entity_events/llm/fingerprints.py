@@ -83,8 +83,8 @@ def with_next(docs: DataFrame, parts: int | None = None) -> DataFrame:
     """``doc_id``, ``text``, ``print``, and ``next_text``, ``next_print`` of the document after it by id.
 
     Documents are dealt into ranges of ids that hold about as many rows each, by quantiles of the ids; each
-    range is sorted on its own, and its last row takes the first row of the next range, the very last row
-    the very first. One shuffle of texts; the borders are one row a range. Null ids come last; rows with one
+    range is sorted on its own, with a copy of the next range's first row at its end, the last range with a
+    copy of the very first row. One shuffle of texts. Null ids come last; rows with one
     id are ordered by text.
     """
     spark = docs.sparkSession
@@ -97,28 +97,21 @@ def with_next(docs: DataFrame, parts: int | None = None) -> DataFrame:
     part = F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(part if cuts else F.lit(0))
     docs = docs.withColumn("part", part.cast("int"))
 
+    # The first row of each range also goes to the range before it, as its border; one row a range.
     first_ids = docs.groupBy("part").agg(F.min("doc_id").alias("first_id"))
-    borders = first_ids.select(F.col("part").alias("border"), "first_id")
-    # Bounded by the number of ranges: one row each.
-    same = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("part") == F.col("border"))
-    firsts = docs.join(F.broadcast(borders), same, "left_semi").groupBy("part").agg(F.min("text").alias("first_text"))
     in_order = Window.orderBy("part")
     everything = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    following = F.coalesce(F.lead("first_text").over(in_order), F.first("first_text").over(everything))
-    firsts = firsts.select(F.col("part").alias("border"), following.alias("border_text"))
-
-    ranges = docs.repartition(len(cuts) + 2, "part").withColumn("print", fingerprint(F.col("text")))
-    by_id = Window.partitionBy("part").orderBy(F.asc_nulls_last("doc_id"), "text")
-    ranges = ranges.select("*", F.lead(F.struct("text", "print")).over(by_id).alias("next"))
-    last = F.when(F.col("next").isNull(), F.col("part"))
-    joined = ranges.withColumn("at_border", last).join(firsts, F.col("at_border") == F.col("border"), "left")
-    return joined.select(
-        "doc_id",
-        "text",
-        "print",
-        F.coalesce(F.col("next.text"), F.col("border_text")).alias("next_text"),
-        F.coalesce(F.col("next.print"), F.when(last.isNotNull(), fingerprint(F.col("border_text")))).alias("next_print"),
-    )
+    before = F.coalesce(F.lag("part").over(in_order), F.last("part").over(everything))
+    borders = first_ids.select(F.col("part").alias("first_of"), "first_id", before.alias("border_of"))
+    same = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("part") == F.col("first_of"))
+    firsts = docs.join(F.broadcast(borders), same).groupBy("border_of", "doc_id").agg(F.min("text").alias("text"))
+    firsts = firsts.select("doc_id", "text", F.col("border_of").alias("part"), F.lit(True).alias("border"))
+
+    ranges = docs.withColumn("border", F.lit(False)).unionByName(firsts)
+    ranges = ranges.repartition(len(cuts) + 2, "part").withColumn("print", fingerprint(F.col("text")))
+    by_id = Window.partitionBy("part").orderBy("border", F.asc_nulls_last("doc_id"), "text")
+    ranges = ranges.select("*", F.lead("text").over(by_id).alias("next_text"), F.lead("print").over(by_id).alias("next_print"))
+    return ranges.where(~F.col("border")).select("doc_id", "text", "print", "next_text", "next_print")
 
 
 def edited(text: Column, following: Column) -> Column:
