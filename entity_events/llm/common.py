@@ -106,15 +106,15 @@ def text_slices(column: pa.Array) -> Iterator[Texts]:
 
 # Words and hashes: unsigned 64-bit numbers, sums and products wrap around.
 
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
+BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(BASE, -1, 1 << 64)
 _POWERS = {True: np.ones(1, np.uint64), False: np.ones(1, np.uint64)}
 
 
 def _powers(n: int, inverse: bool) -> np.ndarray:
     known = _POWERS[inverse]
     if len(known) < n:
-        base = np.full(max(n, SLICE_BYTES + 1), _INVERSE if inverse else _BASE, np.uint64)
+        base = np.full(max(n, SLICE_BYTES + 1), _INVERSE if inverse else BASE, np.uint64)
         base[0] = 1
         known = np.cumprod(base)
         if n <= SLICE_BYTES + 1:
@@ -175,7 +175,7 @@ def gram_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
         return np.zeros(0, np.uint64)
     total = np.zeros(n, np.uint64)
     for j in range(k):
-        total *= np.uint64(_BASE)
+        total *= np.uint64(BASE)
         total += hashes[j : j + n]
     return mix(total)
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entity_events.llm import chat, decontaminate, fingerprints, language, mixing, secrets, token_counts, url_filter
+from entity_events.llm import chat, decontaminate, fingerprints, language, mixing, secrets, token_counts, toxicity, url_filter
 from entity_events.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,16 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > token_counts.LIMIT)
 
 
+@register("op4_toxicity")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = language.held_out(F.col("doc_id"), 5, 0)
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").select("doc_id", "toxic")
+    scored = toxicity.scored(docs, labels, ~held_out)
+    predicted = (F.col("score") >= toxicity.LIMIT).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted)
+
+
 @register("op6_language")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     held_out = language.held_out(F.col("doc_id"), 3, 1)
