@@ -180,8 +180,8 @@ class Lexicon:
         return words, np.cumsum(fresh) - 1, symbols, weights
 
 
-def clause_scores(texts: Texts, lexicon: Lexicon, machine: Transducer) -> tuple[np.ndarray, np.ndarray]:
-    """Texts and scores of the clauses with an output."""
+def clause_scores(texts: Texts, lexicon: Lexicon, machine: Transducer) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Texts and scores of the clauses with an output, and the words of every text."""
     words, clause, symbols, weights = lexicon.read(texts)
     hits = np.flatnonzero((symbols == INSULT) | (symbols == THREAT))
     owner, scores = [], []
@@ -194,16 +194,20 @@ def clause_scores(texts: Texts, lexicon: Lexicon, machine: Transducer) -> tuple[
             state = moves[state][symbol]
         owner.append(words.text[first])
         scores.append(score)
-    return np.array(owner, np.int64), np.array(scores)
+    return np.array(owner, np.int64), np.array(scores), words.counts
 
 
 def _features(texts: Texts, lexicon: Lexicon, machine: Transducer) -> np.ndarray:
-    """Per text: 1, its best clause and the sum of its matched clauses, on a logarithmic scale."""
-    owner, scores = clause_scores(texts, lexicon, machine)
+    """Per text: 1, the words of a text with matches, its best clause and the sum of its clauses, as logarithms.
+
+    Chance matches grow with the length of a text.
+    """
+    owner, scores, counts = clause_scores(texts, lexicon, machine)
     n = len(texts)
     best = np.zeros(n)
     np.maximum.at(best, owner, scores)
-    return np.stack([np.ones(n), np.log1p(best), np.log1p(np.bincount(owner, scores, n))], axis=1)
+    matched = np.where(best > 0, np.log1p(counts), 0.0)
+    return np.stack([np.ones(n), matched, np.log1p(best), np.log1p(np.bincount(owner, scores, n))], axis=1)
 
 
 # Learning
@@ -252,7 +256,7 @@ def _learned_lexicon(toxic: list[str], clean: list[str]) -> Lexicon:
     least = max(LEAST_PLACES, LEAST_SHARE * len(toxic))
     kept = np.flatnonzero((support >= least) & (bound > LEAST_ODDS))
     kept = kept[np.argsort(-bound[kept], kind="stable")[:MOST_ENTRIES]]
-    return Lexicon(keys[kept], bound[kept])
+    return Lexicon(keys[kept], odds[kept])
 
 
 @dataclass
@@ -267,11 +271,11 @@ class Model:
 
 def _all_features(texts: list[str], lexicon: Lexicon, machine: Transducer) -> np.ndarray:
     parts = [_features(part, lexicon, machine) for part in text_slices(pa.array(texts, pa.string()))]
-    return np.concatenate(parts) if parts else np.zeros((0, 3))
+    return np.concatenate(parts) if parts else np.zeros((0, 4))
 
 
 def _logistic(features: np.ndarray, truth: np.ndarray) -> np.ndarray:
-    """Weights by Newton steps with a small ridge; more of a feature never makes a text less toxic."""
+    """Weights by Newton steps with a small ridge; a higher clause score never makes a text less toxic."""
     weights = np.zeros(features.shape[1])
     used = np.arange(features.shape[1])
     while True:
@@ -282,7 +286,7 @@ def _logistic(features: np.ndarray, truth: np.ndarray) -> np.ndarray:
             slope = part.T @ (chance - truth) + ridge @ found
             curve = (part * (chance * (1 - chance) + 1e-6)[:, None]).T @ part + ridge
             found -= np.clip(np.linalg.solve(curve, slope), -2, 2)
-        falling = np.flatnonzero(found[1:] < 0) + 1
+        falling = np.flatnonzero((found < 0) & (used > 1))
         if not len(falling):
             weights[used] = found
             return weights
@@ -293,7 +297,7 @@ def learn(toxic: list[str], clean: list[str]) -> Model:
     machine = grammar()
     lexicon = _learned_lexicon(toxic, clean)
     if not toxic or not clean:
-        return Model(lexicon, machine, np.array([-4.0, 1.0, 1.0]))
+        return Model(lexicon, machine, np.array([-4.0, 0.0, 1.0, 1.0]))
     features, truth = [], []
     for half in range(2):
         other = _learned_lexicon(toxic[1 - half :: 2], clean[1 - half :: 2])
