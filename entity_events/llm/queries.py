@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entity_events.llm import chat, decontaminate, fingerprints, language, mixing, secrets, token_counts, toxicity, url_filter
+from entity_events.llm import chat, decontaminate, fingerprints, language, mixing, ngram_join, secrets, token_counts, toxicity, url_filter
 from entity_events.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,11 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@register("op8_ngram_join")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.joined(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 @register("op9_format_chats")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
