@@ -98,6 +98,11 @@ def planned(
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """The mixed corpus: the columns of ``docs``, each row as often as the mix takes it."""
+    """The mixed corpus: the columns of ``docs`` and ``copy``, each row as often as the mix takes it.
+
+    A column of ``docs`` that is named ``copy`` is replaced.
+    """
     plan = planned(docs, **options).where("copies > 0")
-    return plan.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
+    number = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("number")
+    names = [F.col(f"row.`{name}`").alias(name) for name in docs.columns if name != "copy"]
+    return plan.select("row", number).select(*names, F.col("number").alias("copy"))

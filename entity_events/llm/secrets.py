@@ -224,3 +224,20 @@ def masked(text: Column, spans: Column) -> Column:
     return F.aggregate(
         spans, start, step, lambda state: F.concat(state["done"], F.substring(text, state["at"] + 1, F.length(text)))
     )
+
+
+def redacted(docs: DataFrame, **options) -> DataFrame:
+    """The documents with masked texts, all columns as they were; ``n_chars`` is counted anew where masked."""
+    found = with_spans(docs, **options)
+    some = F.size("spans") > 0
+    text = masked(F.col("row.text"), F.col("spans"))
+    found = found.withColumn("masked", F.when(some, text).otherwise(F.col("row.text")))
+    columns = []
+    for field in docs.schema:
+        column = F.col(f"row.`{field.name}`")
+        if field.name == "text":
+            column = F.col("masked")
+        elif field.name == "n_chars":
+            column = F.when(some, F.length("masked")).otherwise(column).cast(field.dataType)
+        columns.append(column.alias(field.name))
+    return found.select(*columns)

@@ -19,7 +19,7 @@ shuffle, and only its texts are fetched. Scoring is one pass of ``mapInArrow``,
 Defined results: a null or empty text has no clauses and gets the score of that; a document without a label
 is scored alike; repeated rows are scored alike; labels of unknown documents are ignored; of several labels of
 one document a toxic one counts; when no labels of both classes are there, only the fixed lists count; an
-empty table gives no rows; other columns pass through ``kept`` untouched.
+empty table gives no rows; with ``carry`` other columns pass through untouched.
 """
 
 from __future__ import annotations
@@ -29,8 +29,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructType
 
 from entity_events.llm.common import ALPHANUMERIC, BASE, Texts, Words, mix, text_slices, words_of
 
@@ -317,30 +319,36 @@ def training_sample(docs: DataFrame, labels: DataFrame, learnable: Column, sampl
     return docs.join(F.broadcast(chosen.distinct()), F.col("doc_id") == F.col("chosen")).select("text", "toxic")
 
 
-def scored(docs: DataFrame, labels: DataFrame, learnable: Column, sample: int = SAMPLE) -> DataFrame:
-    """``row`` (all columns of a document), ``doc_id`` and ``score`` of every document (doc_id, text).
+def scored(
+    docs: DataFrame, labels: DataFrame, learnable: Column, sample: int = SAMPLE, carry: bool = False
+) -> DataFrame:
+    """``doc_id`` and ``score`` of every document (doc_id, text); with ``carry`` also ``row``, all its columns.
 
     ``labels`` has doc_id and toxic (0 or 1); ``learnable`` tells the documents whose label may be learned from.
     """
     known = training_sample(docs.select("doc_id", "text"), labels, learnable, sample).collect()
     texts = {label: sorted(row.text or "" for row in known if row.toxic == label) for label in (0, 1)}
     model = learn(texts[1], texts[0])
+    if not carry:
+        docs = docs.select("doc_id", "text")
     names = [f"`{name}`" for name in docs.columns]
-    wrapped = docs.select(F.struct(*names).alias("row"), "doc_id", F.col("text").alias("read"))
+    wrapped = docs.select(F.struct(*names).alias("row"))
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            row = batch.column("row")
             score = np.zeros(batch.num_rows)
-            for part in text_slices(batch.column("read")):
+            for part in text_slices(pc.struct_field(row, "text")):
                 score[part.first : part.first + len(part)] = model.scores(part)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("doc_id"), pa.array(score)], ["row", "doc_id", "score"]
-            )
+            ids = pc.struct_field(row, "doc_id")
+            columns = [row, ids, pa.array(score)] if carry else [ids, pa.array(score)]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "score"][-len(columns) :])
 
-    row, kind = (wrapped.schema[name].dataType.simpleString() for name in ("row", "doc_id"))
-    return wrapped.mapInArrow(judged, f"row {row}, doc_id {kind}, score double")
+    schema = StructType([wrapped.schema["row"]] if carry else [])
+    schema = schema.add("doc_id", docs.schema["doc_id"].dataType).add("score", DoubleType())
+    return wrapped.mapInArrow(judged, schema)
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, learnable: Column) -> DataFrame:
     """The documents that are scored below the limit; all columns of ``docs``."""
-    return scored(docs, labels, learnable).where(F.col("score") < LIMIT).select("row.*")
+    return scored(docs, labels, learnable, carry=True).where(F.col("score") < LIMIT).select("row.*")
