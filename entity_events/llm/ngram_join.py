@@ -18,7 +18,9 @@ ever written out as all its pairs.
 
 Plan: one pass computes sets and subsets in ``mapInArrow``, free of repeats within a batch, and packs them by
 bucket of their hash, so the shuffle moves few and large rows of 12 bytes a subset; a bucket is worked out by
-sorting. Shingle sets are fetched anew only for documents that have a candidate. Links join as components by
+sorting. Candidates are first held against the sizes of their sets and sketches of a few bits a shingle, which
+never rule out a link; then the sets of what is left are computed anew and sent to the groups that compare
+them. Links join as components by
 alternating large-star and small-star steps over a table in the shared folder; the driver sees counts only.
 The number of buckets follows ``spark.sql.shuffle.partitions``; it is the setting that bounds a bucket.
 
@@ -34,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entity_events.llm.common import NOT_SPACE, Texts, gram_hashes, mix, text_slices, words_of, written
@@ -47,6 +49,8 @@ BAND_RATIO = 1.4
 LARGE = 64
 BLOCK = 256
 BUCKETS_PER_PARTITION = 16
+#: Pairs with one common set that are verified in one group.
+CHUNK = 128
 #: Ids up to this many bytes are broadcast to fetch their texts; beyond, both sides are shuffled.
 BROADCAST_BYTES = 64 << 20
 
@@ -256,9 +260,46 @@ def _grouped(packed: DataFrame) -> DataFrame:
 
 # Passes over the texts
 
+_CLASS = (
+    "text_hash long, n_shingles long, tag long, key string, sketch array<long>, slack array<struct<band:int,slack:int>>"
+)
+
+
+def _sketches(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Parities of each set's shingles by parts of the universe, at least two parts a shingle.
+
+    Two sets differ in at least as many shingles as their sketches do in bits. The number of parts is a power
+    of two, so a sketch is folded to half its parts by an exclusive or of its halves.
+    """
+    sizes = np.diff(offsets)
+    bits = np.int64(64) << np.ceil(np.log2(np.maximum(sizes, 32) / 32)).astype(np.int64)
+    begins = np.concatenate([[0], np.cumsum(bits)])
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    part = (values & (bits[owner] - 1).astype(_U)).astype(np.int64)
+    odd = np.bincount(begins[owner] + part, minlength=int(begins[-1])) & 1
+    packed = np.packbits(odd.astype(bool), bitorder="little").view(np.int64)
+    return pa.ListArray.from_arrays(pa.array((begins // 64).astype(np.int32)), pa.array(packed))
+
+
+def _slack(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Per set and band that it is indexed in (band, slack): how many more segments it could leave out."""
+    lowest, own = bands_of(np.diff(offsets))
+    found: list[list[dict]] = [[] for _ in lowest]
+    some = np.flatnonzero(np.diff(offsets))
+    for band in range(int(lowest[some].min()), int(own.max()) + 1) if len(some) else ():
+        rows = some[(lowest[some] <= band) & (band <= own[some])]
+        if len(rows):
+            empty = Subsets(*_taken(values, offsets, rows), band).empty
+            for row, spare in zip(rows.tolist(), (SPARE[band] - empty).tolist()):
+                found[row].append({"band": band, "slack": spare})
+    return pa.array(found, pa.list_(pa.struct([("band", pa.int32()), ("slack", pa.int32())])))
+
 
 def _described(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, n_shingles, tag and key of every row; tag and key (text of 128 bits) name its class."""
+    """doc_id, text_hash, n_shingles, tag, key, sketch and slack of every row.
+
+    Tag and key (text of 128 bits) name its class.
+    """
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -267,11 +308,20 @@ def _described(docs: DataFrame) -> DataFrame:
                 tag, more = _identities(values, offsets)
                 keys = [f"{a:016x}{b:016x}" for a, b in zip(tag.tolist(), more.tolist())]
                 part = batch.slice(texts.first, len(texts))
-                columns = [part.column("doc_id"), part.column("text_hash"), pa.array(np.diff(offsets)), pa.array(tag.view(np.int64)), pa.array(keys)]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_shingles", "tag", "key"])
+                columns = [
+                    part.column("doc_id"),
+                    part.column("text_hash"),
+                    pa.array(np.diff(offsets)),
+                    pa.array(tag.view(np.int64)),
+                    pa.array(keys),
+                    _sketches(values, offsets),
+                    _slack(values, offsets),
+                ]
+                names = ["doc_id", "text_hash", "n_shingles", "tag", "key", "sketch", "slack"]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(described, f"doc_id {kind}, text_hash long, n_shingles long, tag long, key string")
+    return docs.mapInArrow(described, f"doc_id {kind}, {_CLASS}")
 
 
 def _unique_sets(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -288,7 +338,7 @@ def _unique_sets(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.
 
 
 def _indexed(docs: DataFrame, buckets: int) -> DataFrame:
-    """Signatures of all sets by bucket; sets with too many empty segments are marked."""
+    """Signatures of all sets by bucket."""
 
     def indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(buckets)
@@ -300,66 +350,184 @@ def _indexed(docs: DataFrame, buckets: int) -> DataFrame:
                     if len(rows):
                         subsets = Subsets(*_taken(values, offsets, rows), band)
                         packer.add(subsets.signatures, band, tags[rows][subsets.owner])
-                        weak = np.flatnonzero(subsets.empty > SPARE[band])
-                        packer.mark(band, tags[rows][weak])
             yield from packer.batch()
 
     return docs.select("text").mapInArrow(indexed, _PACKED)
 
 
-def _fetched(docs: DataFrame, classes: DataFrame, tags: DataFrame, name: str) -> DataFrame:
-    """tag, key, size and shingles (sorted, 8 bytes each) of the classes with these tags, from one text of each."""
-    chosen = classes.join(tags.select("tag").distinct(), "tag", "left_semi")
-    chosen = written(chosen.select("tag", "key", F.col("any.doc_id").alias("of_id"), F.col("any.text_hash").alias("of_hash")), f"{name}-ids")
-    if chosen.count() * 64 <= BROADCAST_BYTES:
-        chosen = F.broadcast(chosen)
+def _texts_of(docs: DataFrame, classes: DataFrame, jobs: DataFrame) -> DataFrame:
+    """One text of every class with the columns of ``jobs`` (one row a tag) and its key."""
+    jobs = jobs.join(classes.select("tag", "key", "any.doc_id", "any.text_hash").toDF("tag", "key", "of_id", "of_hash"), "tag")
+    jobs = written(jobs, "jobs")
+    size = jobs.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    if size <= BROADCAST_BYTES:
+        jobs = F.broadcast(jobs)
     same = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("text_hash") == F.col("of_hash"))
+    return docs.join(jobs, same).drop("doc_id", "text_hash", "of_id", "of_hash")
+
+
+def _once(seen: set[str], keys: pa.Array) -> np.ndarray:
+    """Places of the keys that a task has not met yet: repeated rows have one id and one text."""
+    return np.array([i for i, key in enumerate(keys.to_pylist()) if not (key in seen or seen.add(key))], np.int64)
+
+
+def _pair_jobs(pairs: DataFrame) -> DataFrame:
+    """Work on pairs (one, two): in groups of ``one`` (block 0) and at most about ``CHUNK`` others (block 1)."""
+    counted = pairs.groupBy("one").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"))
+    dealt = pairs.join(counted, "one")
+    chunk = F.pmod(F.xxhash64("two"), F.col("chunks")).cast("int")
+    family = F.concat(F.lit(PAIRS), F.hex("one"))
+    dealt = dealt.select("one", "two", F.struct(family.alias("family"), chunk.alias("x"), F.lit(0).alias("y")).alias("group"))
+    others = dealt.select(F.col("two").alias("tag"), "group", F.lit(1).alias("block"))
+    return others.unionByName(dealt.select(F.col("one").alias("tag"), "group", F.lit(0).alias("block")).distinct())
+
+
+def _block_jobs(families: DataFrame) -> DataFrame:
+    """Work on families (family, tag): blocks of about ``BLOCK`` sets, each pair of blocks a group."""
+    counted = families.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    dealt = families.join(counted, "family").withColumn("block", F.pmod(F.xxhash64("tag"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = dealt.select("family", "tag", "block", other.alias("other"))
+    x, y = F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y")
+    return dealt.select("tag", F.struct(F.concat(F.lit(BLOCKS), "family").alias("family"), x, y).alias("group"), "block")
+
+
+_GROUP = "family string, x int, y int"
+PAIRS, BLOCKS = "p", "b"
+
+
+def _compared(docs: DataFrame, classes: DataFrame, jobs: DataFrame) -> DataFrame:
+    """Links (a, b: keys; one, two: tags) that the work ``jobs`` (tag, group, block) finds.
+
+    Each set is computed where its text is read and goes straight to the groups that need it.
+    """
 
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[str] = set()
         for batch in batches:
+            fresh = _once(seen, batch.column("key"))
+            batch = batch.take(pa.array(fresh))
             for texts in text_slices(batch.column("text")):
                 values, offsets = shingle_sets(texts)
-                blobs = [values[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
-                part = batch.slice(texts.first, len(texts))
-                # Repeated rows have one id and one text; of a task's, one is enough.
-                fresh = pa.array([not (key in seen or seen.add(key)) for key in part.column("key").to_pylist()])
-                columns = [part.column("tag"), part.column("key"), pa.array(np.diff(offsets)), pa.array(blobs, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["tag", "key", "size", "shingles"]).filter(fresh)
-
-    texts = docs.join(chosen, same).select("tag", "key", "text")
-    sets = texts.mapInArrow(packed, "tag long, key string, size long, shingles binary")
-    return written(sets, name)
+                rows: list[tuple] = []
+                part = batch.slice(texts.first, len(texts)).select(["tag", "key", "groups"]).to_pylist()
+                for row, start, end in zip(part, offsets[:-1], offsets[1:]):
+                    blob = values[start:end].tobytes()
+                    for g in row["groups"]:
+                        group = g["group"]
+                        rows.append((group["family"], group["x"], group["y"], g["block"], row["tag"], row["key"], blob))
+                        if len(rows) >= 1000:
+                            yield _sent_batch(rows)
+                            rows = []
+                yield _sent_batch(rows)
+
+    listed = jobs.groupBy("tag").agg(F.collect_list(F.struct("group", "block")).alias("groups"))
+    sets = _texts_of(docs, classes, listed).mapInArrow(sent, f"{_GROUP}, block int, tag long, key string, shingles binary")
+    return sets.groupBy("family", "x", "y").applyInArrow(_group_links, "a string, b string, one long, two long")
+
+
+def _sent_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.binary()]
+    columns = list(zip(*rows)) if rows else [()] * len(kinds)
+    names = ["family", "x", "y", "block", "tag", "key", "shingles"]
+    return pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(columns, kinds)], names)
+
+
+def _group_links(table: pa.Table) -> pa.Table:
+    keys, tags = table.column("key").to_pylist(), table.column("tag").to_pylist()
+    sets = [np.frombuffer(blob.as_buffer(), _U) for blob in table.column("shingles").combine_chunks()]
+    blocks = table.column("block").to_numpy()
+    if table.column("family")[0].as_py().startswith(PAIRS):
+        found = _links_to_first(sets, blocks)
+    else:
+        found = _links_between(sets, blocks)
+    return pa.table(
+        {
+            "a": pa.array([keys[i] for i, _ in found], pa.string()),
+            "b": pa.array([keys[j] for _, j in found], pa.string()),
+            "one": pa.array([tags[i] for i, _ in found], pa.int64()),
+            "two": pa.array([tags[j] for _, j in found], pa.int64()),
+        }
+    )
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Keys ``a`` and ``b`` of the pairs (one, two: tags) whose sets link."""
+def _links_to_first(sets: list[np.ndarray], blocks: np.ndarray) -> list[tuple[int, int]]:
+    """Links between sets of block 0 and sets of block 1, each pair compared."""
     part, whole = SIMILAR
-    one = sets.select(F.col("tag").alias("one"), F.col("key").alias("a"), F.col("size").alias("size_a"), F.col("shingles").alias("set_a"))
-    two = sets.select(F.col("tag").alias("two"), F.col("key").alias("b"), F.col("size").alias("size_b"), F.col("shingles").alias("set_b"))
-    sizes = sets.select("tag", "size").distinct()
-    pairs = pairs.join(sizes.toDF("one", "n_one"), "one").join(sizes.toDF("two", "n_two"), "two")
-    pairs = pairs.where(whole * F.least("n_one", "n_two") >= part * F.greatest("n_one", "n_two")).select("one", "two")
-
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            linked = np.zeros(batch.num_rows, bool)
-            for i, (x, y) in enumerate(zip(batch.column("set_a"), batch.column("set_b"))):
-                x, y = np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U)
-                both = np.concatenate([x, y])
-                both.sort(kind="stable")
-                common = int((both[1:] == both[:-1]).sum())
-                linked[i] = whole * common >= part * (len(x) + len(y) - common)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(linked))
-
-    met = pairs.join(two, "two").join(one, "one").select("a", "b", "set_a", "set_b")
-    return met.mapInArrow(compared, "a string, b string")
+    found = []
+    for i in np.flatnonzero(blocks == 0):
+        for j in np.flatnonzero(blocks == 1):
+            both = np.concatenate([sets[i], sets[j]])
+            both.sort(kind="stable")
+            common = int((both[1:] == both[:-1]).sum())
+            if whole * common >= part * (len(both) - common):
+                found.append((i, j))
+    return found
+
+
+def _links_between(sets: list[np.ndarray], blocks: np.ndarray) -> list[tuple[int, int]]:
+    """A forest of the links between two blocks, or inside one, by products of incidence matrices."""
+    part, whole = SIMILAR
+    sizes = np.array([len(each) for each in sets])
+    shingle, at = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    common = np.zeros((len(sets), len(sets)), np.float32)
+    for start in range(0, len(shingle), 4096):
+        inside = (at >= start) & (at < start + 4096)
+        incidence = np.zeros((len(sets), 4096), np.float32)
+        incidence[owner[inside], at[inside] - start] = 1
+        common += incidence @ incidence.T
+    union = sizes[:, None] + sizes[None, :] - common
+    linked = np.triu(whole * common >= part * union, 1)
+    if (blocks != blocks[0]).any():
+        linked &= blocks[:, None] != blocks[None, :]
+    root = list(range(len(sets)))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    found = []
+    for i, j in np.argwhere(linked).tolist():
+        x, y = find(i), find(j)
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            found.append((i, j))
+    return found
+
+
+def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (one, two: tags) that sizes and sketches do not rule out."""
+    part, whole = SIMILAR
+    narrow = classes.select("tag", F.struct(F.col("n_shingles").alias("n"), "sketch").alias("c"))
+    met = pairs.join(narrow.toDF("one", "a"), "one").join(narrow.toDF("two", "b"), "two")
+
+    def differing(x: Column, y: Column) -> Column:
+        return F.zip_with(x, y, lambda one, other: one.bitwiseXOR(other))
+
+    def folded(x: Column, y: Column) -> Column:
+        """``x``, at half its size where that is the size of ``y``."""
+        half = F.size(y)
+        return F.when(F.size(x) > half, differing(F.slice(x, 1, half), F.slice(x, half + 1, half))).otherwise(x)
+
+    x, y = F.col("a.sketch"), F.col("b.sketch")
+    differences = F.aggregate(
+        differing(folded(x, y), folded(y, x)),
+        F.lit(0),
+        lambda total, bits: total + F.bit_count(bits),
+    )
+    n_a, n_b = F.col("a.n"), F.col("b.n")
+    met = met.where(whole * F.least(n_a, n_b) >= part * F.greatest(n_a, n_b))
+    met = met.where(differences * (whole + part) <= (n_a + n_b) * (whole - part))
+    return met.select("one", "two").distinct()
 
 
 # Groups that are too large to be told apart by one segment
 
 
-def _raised(sets: DataFrame, left_out: DataFrame, buckets: int) -> DataFrame:
+def _raised(docs: DataFrame, classes: DataFrame, left_out: DataFrame, buckets: int) -> DataFrame:
     """One-deletion signatures of sets that leave out more than ``SPARE`` segments of a band.
 
     ``left_out`` has tag, band and gids (of large groups). Sets that have too few other segments to raise are
@@ -367,86 +535,40 @@ def _raised(sets: DataFrame, left_out: DataFrame, buckets: int) -> DataFrame:
     """
 
     def raised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = Packer(buckets)
+        seen: set[str] = set()
         for batch in batches:
-            for tag, band, gids, blob in zip(*(batch.column(name) for name in ("tag", "band", "gids", "shingles"))):
-                band = band.as_py()
-                values = np.frombuffer(blob.as_buffer(), _U)
-                subsets = Subsets(values, np.array([0, len(values)]), band)
-                high, code = _code(subsets.signatures, band)
-                gid = ((high * _U(buckets) >> _U(32)) << _U(32) | code.astype(_U)).astype(np.int64)
-                large = np.isin(gid, np.array(gids.as_py() or [], np.int64))
-                needed = int(subsets.empty[0]) + int(large.sum()) - int(SPARE[band])
-                if needed <= 0:
-                    continue
-                tag = np.int64(tag.as_py())
-                usable = ~large & (subsets.sizes > 1)
-                # Larger subsets cost less: fewer sets come within one shingle of them.
-                best = np.zeros(len(usable), bool)
-                best[np.argsort(np.where(usable, -subsets.sizes, 1), kind="stable")[:needed]] = True
-                best &= usable
-                if best.sum() < needed:
-                    best[:] = False
-                    packer.mark(band, np.array([tag]))
-                signatures, subset = subsets.deletions(usable)
-                packer.add(signatures, band, np.full(len(subset), tag), best[subset])
-                packer.add(subsets.signatures[usable], band, np.full(int(usable.sum()), tag), best[usable])
+            batch = batch.take(pa.array(_once(seen, batch.column("key"))))
+            packer = Packer(buckets)
+            for texts in text_slices(batch.column("text")):
+                values, offsets = shingle_sets(texts)
+                part = batch.slice(texts.first, len(texts)).select(["tag", "bands"]).to_pylist()
+                for row, start, end in zip(part, offsets[:-1], offsets[1:]):
+                    for left in row["bands"]:
+                        _raise(packer, values[start:end], row["tag"], left["band"], left["gids"])
             yield from packer.batch()
 
-    return sets.join(left_out, "tag").select("tag", "band", "gids", "shingles").mapInArrow(raised, _PACKED)
-
-
-def _blockwise(families: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links (a, b: keys) among the sets of each family (family, tag), found block against block.
-
-    A family is cut into blocks of about ``BLOCK`` sets by hash; a set goes to every pair of blocks that its
-    own block is in, and each pair of blocks is one group.
-    """
-    part, whole = SIMILAR
-    counted = families.groupBy("family").agg(F.count(F.lit(1)).alias("n"))
-    dealt = families.join(counted, "family").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("tag"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = dealt.select("family", "tag", "block", other.alias("other"))
-    pairs = dealt.select("family", "tag", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
-
-    def compared(table: pa.Table) -> pa.Table:
-        keys = table.column("key").to_pylist()
-        sets = [np.frombuffer(blob.as_buffer(), _U) for blob in table.column("shingles").combine_chunks()]
-        sizes = np.array([len(each) for each in sets])
-        blocks = table.column("block").to_numpy()
-        shingle, at = np.unique(np.concatenate(sets), return_inverse=True)
-        owner = np.repeat(np.arange(len(sets)), sizes)
-        common = np.zeros((len(sets), len(sets)), np.float32)
-        for start in range(0, len(shingle), 4096):
-            inside = (at >= start) & (at < start + 4096)
-            incidence = np.zeros((len(sets), 4096), np.float32)
-            incidence[owner[inside], at[inside] - start] = 1
-            common += incidence @ incidence.T
-        union = sizes[:, None] + sizes[None, :] - common
-        linked = np.triu(whole * common >= part * union, 1)
-        if (blocks != blocks[0]).any():
-            linked &= blocks[:, None] != blocks[None, :]
-        # A link to the first set that is linked stands for the rest of a clique: a forest is enough.
-        root = list(range(len(sets)))
-
-        def find(i: int) -> int:
-            while root[i] != i:
-                root[i] = root[root[i]]
-                i = root[i]
-            return i
-
-        a, b = [], []
-        for i, j in np.argwhere(linked).tolist():
-            x, y = find(i), find(j)
-            if x != y:
-                root[max(x, y)] = min(x, y)
-                a.append(keys[i])
-                b.append(keys[j])
-        return pa.table({"a": pa.array(a, pa.string()), "b": pa.array(b, pa.string())})
-
-    met = pairs.join(sets.select("tag", "key", "shingles"), "tag")
-    return met.groupBy("family", "x", "y").applyInArrow(compared, "a string, b string")
+    listed = left_out.groupBy("tag").agg(F.collect_list(F.struct("band", "gids")).alias("bands"))
+    return _texts_of(docs, classes, listed).mapInArrow(raised, _PACKED)
+
+
+def _raise(packer: Packer, values: np.ndarray, tag: int, band: int, gids: list[int] | None) -> None:
+    """Add the one-deletion signatures of one set and band, flagged where the set looks for partners by them."""
+    subsets = Subsets(values, np.array([0, len(values)]), band)
+    high, code = _code(subsets.signatures, band)
+    gid = ((high * _U(packer.buckets) >> _U(32)) << _U(32) | code.astype(_U)).astype(np.int64)
+    large = np.isin(gid, np.array(gids or [], np.int64))
+    needed = int(subsets.empty[0]) + int(large.sum()) - int(SPARE[band])
+    usable = ~large & (subsets.sizes > 1)
+    # Larger subsets cost less: fewer sets come within one shingle of them.
+    best = np.zeros(len(usable), bool)
+    best[np.argsort(np.where(usable, -subsets.sizes, 1), kind="stable")[:needed]] = True
+    best &= usable
+    if best.sum() < needed:
+        best[:] = False
+        packer.mark(band, np.array([tag]))
+    signatures, subset = subsets.deletions(usable)
+    packer.add(signatures, band, np.full(len(subset), tag), best[subset])
+    packer.add(subsets.signatures[usable], band, np.full(int(usable.sum()), tag), best[usable])
 
 
 # Components
@@ -486,48 +608,56 @@ def _links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """Links (a, b: keys of classes) whose components are those of all links."""
     spark = docs.sparkSession
     buckets = _buckets(spark)
-    packed = _indexed(docs, buckets)
-    grouped = written(_grouped(packed), "groups")
-    weak = grouped.where("gid < 0").select("band", "tag").distinct()
-    members = grouped.where("gid >= 0")
+    members = written(_grouped(_indexed(docs, buckets)), "groups")
 
     stars = members.where("tag <> pivot").select(F.col("pivot").alias("one"), F.col("tag").alias("two")).distinct()
+    stars = written(_possible(stars, classes), "stars")
+
+    def small_pairs(tied: DataFrame) -> DataFrame:
+        """Pairs of small groups but for those that are both tied (one: pivot, two) to their pivot."""
+        tied = tied.select(F.col("one").alias("pivot"), F.col("two").alias("tag"), F.lit(True).alias("tied"))
+        small = members.where((F.col("size") <= LARGE) & (F.col("size") > 2)).join(tied, ["pivot", "tag"], "left")
+        small = small.select("gid", "tag", F.coalesce("tied", F.col("tag") == F.col("pivot")).alias("tied"))
+        other = small.select("gid", F.col("tag").alias("two"), F.col("tied").alias("both"))
+        pairs = small.join(other, "gid").where((F.col("tag") < F.col("two")) & ~(F.col("tied") & F.col("both")))
+        return _possible(pairs.select(F.col("tag").alias("one"), "two").distinct(), classes)
+
+    # Sets that leave out too much: by empty segments, and by large groups.
+    slack = classes.select("tag", F.explode("slack").alias("s")).select("tag", "s.band", "s.slack")
     large = members.where(F.col("size") > LARGE).groupBy("tag", "band").agg(F.collect_set("gid").alias("gids"))
-    left_out = large.join(weak, ["tag", "band"], "full").select("tag", "band", "gids")
-    sets = _fetched(docs, classes, members.select("tag").union(weak.select("tag")), "sets")
-    links = written(_verified(stars, sets), "star-links")
-
-    # Small groups: what is linked to the pivot on both sides is connected already.
-    keys = sets.select("tag", "key").distinct()
-    tied = links.join(keys.toDF("pivot", "a"), "a").join(keys.toDF("tag", "b"), "b").select("pivot", "tag", F.lit(True).alias("tied"))
-    small = members.where((F.col("size") <= LARGE) & (F.col("size") > 2)).join(tied.distinct(), ["pivot", "tag"], "left")
-    small = small.select("gid", "tag", F.coalesce("tied", F.col("tag") == F.col("pivot")).alias("tied"))
-    other = small.select("gid", F.col("tag").alias("two"), F.col("tied").alias("both"))
-    rest = small.join(other, "gid").where((F.col("tag") < F.col("two")) & ~(F.col("tied") & F.col("both")))
-    rest = rest.select(F.col("tag").alias("one"), "two").distinct()
-    found = [links, _verified(rest.join(stars, ["one", "two"], "left_anti"), sets)]
-
+    left_out = slack.join(large, ["tag", "band"], "left")
+    left_out = left_out.where(F.coalesce(F.size("gids"), F.lit(0)) > F.col("slack")).select("tag", "band", "gids")
+    left_out = written(left_out, "left-out")
+
+    # If all possible stars hold, these are the pairs that remain.
+    first = written(stars.unionByName(small_pairs(stars)).distinct(), "pairs")
+    links = written(_compared(docs, classes, _pair_jobs(first)), "links")
+    # Where a star did not hold, the pairs that it stood for follow, with all work on what was left out.
+    pairs = small_pairs(links.select("one", "two").distinct())
+    blocks = None
     if not left_out.isEmpty():
-        near = written(_grouped(_raised(sets, left_out, buckets)), "near")
+        near = written(_grouped(_raised(docs, classes, left_out, buckets)), "near")
         saturated = near.where("gid < 0").select("tag").distinct()
         near = near.where("gid >= 0")
         one = near.where(F.col("flag") & (F.col("size") <= LARGE)).select("gid", F.col("tag").alias("one"))
         two = near.where(F.col("size") <= LARGE).select("gid", F.col("tag").alias("two"))
-        pairs = one.join(two, "gid").where("one <> two").select(F.least("one", "two").alias("one"), F.greatest("one", "two").alias("two"))
-        found.append(_verified(pairs.distinct(), sets))
+        found = one.join(two, "gid").where("one <> two")
+        found = found.select(F.least("one", "two").alias("one"), F.greatest("one", "two").alias("two")).distinct()
+        pairs = pairs.unionByName(_possible(found, classes)).distinct()
         # What no segment tells apart: families of sets that are tied by large groups.
-        crowded = members.where(F.col("size") > LARGE).join(saturated, "tag", "left_semi")
+        crowded = members.where(F.col("size") > LARGE).join(saturated, "tag", "left_semi").select("pivot", "tag")
         probed = near.where((F.col("size") > LARGE) & F.col("flag")).select("gid").distinct()
-        crowded = crowded.select("pivot", "tag").union(near.join(probed, "gid", "left_semi").select("pivot", "tag"))
+        crowded = crowded.union(near.join(probed, "gid", "left_semi").select("pivot", "tag"))
         tied = crowded.select(F.lpad(F.hex("tag"), 16, "0").alias("a"), F.lpad(F.hex("pivot"), 16, "0").alias("b")).distinct()
         if not tied.isEmpty():
             family = components(tied).toDF("hex", "family")
             inside = crowded.select("tag").distinct().withColumn("hex", F.lpad(F.hex("tag"), 16, "0"))
-            found.append(_blockwise(inside.join(family, "hex").select("family", "tag"), sets))
-    links = found[0]
-    for more in found[1:]:
-        links = links.unionByName(more)
-    return links
+            blocks = _block_jobs(inside.join(family, "hex").select("family", "tag"))
+    # Pairs are unordered; those verified before are left out in either order.
+    known = first.unionByName(first.select(F.col("two").alias("one"), F.col("one").alias("two")))
+    jobs = _pair_jobs(pairs.join(known, ["one", "two"], "left_anti"))
+    jobs = jobs if blocks is None else jobs.unionByName(blocks)
+    return links.unionByName(_compared(docs, classes, jobs)).select("a", "b")
 
 
 def _with_components(docs: DataFrame) -> DataFrame:
@@ -535,8 +665,11 @@ def _with_components(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     rows = written(_described(docs), "classes")
     classes = rows.where("n_shingles > 0").groupBy("tag", "key").agg(
-        F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "text_hash")).alias("any")
+        F.min("doc_id").alias("least"),
+        F.min(F.struct("doc_id", "text_hash")).alias("any"),
+        *(F.first(name).alias(name) for name in ("n_shingles", "sketch", "slack")),
     )
+    classes = written(classes, "distinct-classes")
     found = components(_links(docs, classes)).toDF("key", "component")
     least = classes.join(found, "key", "left").select("key", "least", F.coalesce("component", "key").alias("component"))
     ids = least.groupBy("component").agg(F.min("least").alias("least_id"))
