@@ -416,8 +416,8 @@ ORACLES["f6_published_attributes"] = _with(
     "SELECT seq, name, json FROM published", "feed_mixed", "attribute", "kept", "published"
 )
 ORACLES["f7_objects_as_text"] = _with(
-    "SELECT seq, name, CASE WHEN json LIKE '\"%' THEN json_extract_string(json, '$') ELSE json END AS text "
-    "FROM published WHERE name IN ('zone', 'parts', 'levels')",
+    "SELECT seq, name, CASE WHEN json LIKE '\"%' THEN json_extract_string(json, '$') ELSE nullif(json, 'null') END AS text "
+    "FROM published",
     "feed_mixed",
     "attribute",
     "kept",
@@ -479,11 +479,11 @@ ORACLES["c2_tolerant_number"] = _with(
     "feed_mixed",
 )
 ORACLES["c3_strict_date_time"] = _with(
-    r"SELECT seq, CAST(CASE WHEN regexp_matches(state, '^\d{4}-\d{2}-\d{2}') "
-    r"THEN TRY_CAST(substring(state, 1, 10) AS DATE) END AS VARCHAR) AS date, "
-    r"CASE WHEN regexp_matches(substring(state, 12, 14), "
+    r"SELECT seq, CAST(CASE WHEN regexp_matches(split_part(state, 'T', 1), '^\d{4}-\d{2}-\d{2}$') "
+    r"THEN TRY_CAST(split_part(state, 'T', 1) AS DATE) END AS VARCHAR) AS date, "
+    r"CASE WHEN regexp_matches(substring(state, strpos(state, 'T') + 1), "
     r"'^([01]\d|2[0-3]):[0-5]\d:[0-5]\d(\.\d{6}|(\.\d{1,9})?(Z|[+-]\d{2}:?\d{2}))?$') "
-    r"THEN substring(state, 12, 14) END AS time FROM feed_mixed",
+    r"THEN substring(state, strpos(state, 'T') + 1) END AS time FROM feed_mixed",
     "feed_mixed",
 )
 ORACLES["c4_attribute_text"] = _with(

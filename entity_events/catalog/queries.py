@@ -12,10 +12,10 @@ from entity_events import fixed_values as fixed
 from entity_events.functions import attributes as attrs
 from entity_events.functions import rules, text, values
 from entity_events.operators import changes, documents, enrich, filters, manifest, quality, sinks
-from entity_events.operators.skew import BROADCAST_BYTES, Lookup, measured_bytes
+from entity_events.operators.skew import Lookup
 from entity_events.plans import analyses
 from entity_events.plans.publish import classify_and_publish, publish
-from entity_events.session import configure, shared_folder, spread
+from entity_events.session import configure, shared_folder
 from entity_events.settings import Settings, StaticFields
 from entity_events.sources import supplied
 from entity_events.streaming import publish as stream
@@ -74,15 +74,8 @@ def joined(labels: Column | str) -> Column:
     return F.array_join(labels, "|")
 
 
-#: Size of the entity details of each folder, in bytes; the supplied tables do not change.
-_SIZES: dict[str, int] = {}
-
-
 def lookup(spark: SparkSession, folder: str) -> Lookup:
-    details = enrich.entity_details(supplied.registry(spark, folder))
-    if folder not in _SIZES:
-        _SIZES[folder] = measured_bytes(details)
-    return Lookup(details, "entity_id", _SIZES[folder] <= BROADCAST_BYTES)
+    return enrich.details_lookup(supplied.registry(spark, folder))
 
 
 def classified(spark: SparkSession, folder: str, states: str = "mixed") -> DataFrame:
@@ -100,14 +93,9 @@ def docs(
     states: str = "mixed",
     settings: Settings | None = None,
     static: StaticFields | None = None,
-    whole: bool = False,
 ) -> DataFrame:
-    """Documents of every registered reading, each taken as a state change.
-
-    Queries that use ``whole`` documents, attributes included, have them built on all cores.
-    """
-    events = supplied.table(spark, folder, "events")
-    readings = supplied.readings_of(spread(events) if whole else events, states)
+    """Documents of every registered reading, each taken as a state change."""
+    readings = supplied.readings(spark, folder, states)
     readings = readings.withColumn("reason", F.lit(fixed.STATE))
     return publish(readings, lookup(spark, folder), settings, static, trusted=True)
 
@@ -412,7 +400,7 @@ def d4(spark: SparkSession, folder: str) -> DataFrame:
 
 @register("d5_tags")
 def d5(spark: SparkSession, folder: str) -> DataFrame:
-    with_tags = docs(spark, folder, static=StaticFields(tags=SETTINGS.tags))
+    with_tags = docs(spark, folder, settings=Settings.from_options({"tags": OPTIONS["tags"]}))
     without = docs(spark, folder)
     has_tags = F.lit("tags" in without.columns).cast("string")
     return with_tags.select("seq", joined("tags").alias("tags"), has_tags.alias("set_without_tags"))
@@ -512,9 +500,8 @@ def f5(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _published(spark: SparkSession, folder: str) -> DataFrame:
-    events = spread(supplied.table(spark, folder, "events"))
     kept = attrs.published(F.col("attributes"))
-    return supplied.readings_of(events).select("seq", F.explode(kept).alias("name", "value"))
+    return supplied.readings(spark, folder).select("seq", F.explode(kept).alias("name", "value"))
 
 
 @register("f6_published_attributes")
@@ -524,8 +511,7 @@ def f6(spark: SparkSession, folder: str) -> DataFrame:
 
 @register("f7_objects_as_text")
 def f7(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _published(spark, folder).where(F.col("name").isin("zone", "parts", "levels"))
-    return rows.select("seq", "name", F.col("value").cast("string").alias("text"))
+    return _published(spark, folder).select("seq", "name", F.col("value").cast("string").alias("text"))
 
 
 @register("f8_json_encoding")
@@ -640,8 +626,8 @@ def c3(spark: SparkSession, folder: str) -> DataFrame:
     rows = supplied.readings(spark, folder)
     return rows.select(
         "seq",
-        rules.strict_date(F.substring(state, 1, 10)).cast("string").alias("date"),
-        rules.clock_time(F.substring(state, 12, 14)).alias("time"),
+        rules.strict_date(F.substring_index(state, "T", 1)).cast("string").alias("date"),
+        rules.clock_time(F.substr(state, F.instr(state, "T") + 1)).alias("time"),
     )
 
 
@@ -669,7 +655,7 @@ def c6(spark: SparkSession, folder: str) -> DataFrame:
 
 @register("c7_series_dedup")
 def c7(spark: SparkSession, folder: str) -> DataFrame:
-    first = docs(spark, folder, whole=True)
+    first = docs(spark, folder)
     again = first.withColumns({"seq": F.col("seq") + 1_000_000_000, "value": F.lit("late copy")})
     kept = quality.first_per_point(again.unionByName(first))
     return kept.select("seq", "object_id", "value", F.size("attributes").cast("bigint").alias("attributes"))
@@ -694,7 +680,9 @@ def c9(spark: SparkSession, folder: str) -> DataFrame:
 @register("k1_append_stream")
 def k1(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_folder(spark)
-    sinks.append(docs(spark, folder, whole=True), path)
+    rows = docs(spark, folder)
+    sinks.append(rows, path)
+    sinks.append(rows, path)
     stored = spark.read.parquet(path)
     return stored.groupBy("dataset", F.col("event_date").cast("string").alias("day")).agg(
         F.count(F.lit(1)).alias("documents"), decimal(F.sum("valueas.float")).alias("total")
@@ -709,7 +697,7 @@ def k2(spark: SparkSession, folder: str) -> DataFrame:
 
 @register("k3_bulk_text")
 def k3(spark: SparkSession, folder: str) -> DataFrame:
-    return sinks.bulk_text(docs(spark, folder, static=STATIC, whole=True))
+    return sinks.bulk_text(docs(spark, folder, static=STATIC))
 
 
 @register("k4_bulk_items")

@@ -18,8 +18,8 @@ SKIPPED_NAME = "skipped name"
 BLANK_NAME = "blank name"
 
 _VISIBLE = r"(?U)[^\s\x1c-\x1f]"
-_NORMAL_NAME = "^[a-z0-9]++(?:_++[a-z0-9]++)*+$"
-_EMPTY_LIST_STARTS = ("[]", "[ ", "[\t", "[\r", "[\n")
+_NORMAL_NAME = "^[a-z0-9]++(?:_++[a-z0-9]++)*+\\z"
+_LETTERS = r"(?s)\\u[0-9a-fA-F]{4}|\\.|[\x00-\x5B\x5D-\x7F]++|[^\x00-\x7F]"
 _TOKEN = r'"(?:[^"\\]|\\.)*+"|[{}]|[^"{}]++'
 
 
@@ -67,6 +67,19 @@ def collisions(attributes: Column) -> Column:
     return F.size(names) - F.size(F.array_distinct(names))
 
 
+def _ascii_text(token: Column) -> Column:
+    """A JSON string with every letter beyond ASCII written as ``\\uxxxx`` of its UTF-16 units, in lower case."""
+
+    def written(letter: Column) -> Column:
+        units = F.regexp_replace(F.lower(F.hex(F.encode(letter, "UTF-16BE"))), "(.{4})", r"\\u$1")
+        escape = F.concat(F.lit("\\u"), F.lower(F.substring(letter, 3, 4)))
+        beyond = letter.rlike(r"[^\x00-\x7F]")
+        return F.when(beyond, units).when(F.startswith(letter, F.lit("\\u")), escape).otherwise(letter)
+
+    letters = F.regexp_extract_all(token, F.lit(_LETTERS), F.lit(0))
+    return F.when(token.rlike(r"[^\x00-\x7F]|\\u"), F.array_join(F.transform(letters, written), "")).otherwise(token)
+
+
 def _escaped(token: Column, depth: Column) -> Column:
     """JSON text quoted ``depth`` times over."""
     slashes = F.pow(F.lit(2), depth).cast("int")
@@ -83,7 +96,7 @@ def objects_as_text(value: Column) -> Column:
 
     def step(state: Column, token: Column) -> Column:
         depth, out = state["depth"], state["out"]
-        inner = F.when(F.startswith(token, F.lit('"')), token).otherwise(
+        inner = F.when(F.startswith(token, F.lit('"')), _ascii_text(token)).otherwise(
             F.regexp_replace(token, "([,:])", "$1 ")
         )
         piece = (
@@ -172,22 +185,10 @@ def skip_empty(attributes: Column) -> Column:
 
 
 def published_filled(attributes: Column, set_names: Column | None, parsed: Column) -> Column:
-    """:func:`published` without the empty values, given the parsed text as well.
-
-    Where every name is in its final form no two can collide, and one pass over the map is enough.
-    Values are looked into only where the text shows a list that may be empty.
-    """
+    """:func:`published` without the empty values, given the parsed text as well."""
     values = _rewritten(attributes, parsed, set_names)
-    final_names = F.forall(F.map_keys(parsed), lambda name: name.rlike(_NORMAL_NAME))
-    direct = F.map_filter(
-        values, lambda name, value: ~name.isin(*fixed.SKIPPED_ATTRIBUTES) & _not_null(name, value)
-    )
     named = F.transform_keys(keep_publishable(values), lambda name, _: normalize_name(name))
-    filled = F.when(final_names, direct).otherwise(F.map_filter(named, _not_null))
-    may_be_empty = F.lit(False)
-    for start in _EMPTY_LIST_STARTS:
-        may_be_empty = may_be_empty | F.contains(attributes, F.lit(start))
-    return F.when(may_be_empty, F.map_filter(filled, _not_empty)).otherwise(filled)
+    return skip_empty(named)
 
 
 def keep_names(

@@ -21,7 +21,7 @@ def tolerant(text: Column, kind: str) -> Column:
 
 def strict_date(text: Column) -> Column:
     """Calendar date written as ``yyyy-MM-dd``, else null."""
-    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text).try_cast("date")
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}\z"), text).try_cast("date")
 
 
 def clock_time(text: Column) -> Column:
@@ -30,4 +30,4 @@ def clock_time(text: Column) -> Column:
     The forms are hour, minute and second alone, with six fraction digits, with a zone, and with
     a fraction and a zone.
     """
-    return F.when(text.rlike(rf"^{_CLOCK}(?:\.\d{{6}}|(?:\.\d{{1,9}})?{_ZONE})?$"), text)
+    return F.when(text.rlike(rf"^{_CLOCK}(?:\.\d{{6}}|(?:\.\d{{1,9}})?{_ZONE})?\z"), text)

@@ -19,7 +19,7 @@ _NUMBER = rf"^\s*+[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]
 _DATETIME = (
     r"^\d{4}-\d{2}-\d{2}"
     r"(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?"
-    r"(?:Z|[+-](?:[01]\d|2[0-3])(?::?[0-5]\d)?)?)?$"
+    r"(?:Z|[+-](?:[01]\d|2[0-3])(?::?[0-5]\d)?)?)?\z"
 )
 
 # Rewrites that bring an accepted date-time text into its full ISO form, in this order.

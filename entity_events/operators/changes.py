@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from entity_events import fixed_values as fixed
 from entity_events.operators.skew import HOT_ROWS, with_neighbours
 
+TICKS_AT_ONCE = 4096
+
 
 def drop_removals(events: DataFrame) -> DataFrame:
     """Leave out events that tell an entity was removed."""
@@ -79,12 +81,36 @@ def poll_replay(
     first_tick = F.greatest(F.ceil((F.unix_micros("time") - origin) / step), F.lit(0))
     end_tick = F.floor((last - origin) / step)
     last_tick = F.least(F.coalesce(F.ceil((valid_to - origin) / step) - 1, end_tick), end_tick)
-    ticks = F.when(first_tick <= last_tick, F.sequence(first_tick, last_tick))
+    # Long silences expand in two steps, so that no row holds more than TICKS_AT_ONCE of them.
+    starts = F.when(first_tick <= last_tick, F.sequence(first_tick, last_tick, F.lit(TICKS_AT_ONCE)))
+    stretches = known.withColumn("_last_tick", last_tick).withColumn("_tick", F.explode(starts))
+    end_of_stretch = F.least(F.col("_tick") + (TICKS_AT_ONCE - 1), F.col("_last_tick"))
     return (
-        known.withColumn("_tick", F.explode(ticks))
+        stretches.withColumn("_tick", F.explode(F.sequence("_tick", end_of_stretch)))
         .withColumn("time", F.timestamp_micros(origin + F.col("_tick") * step))
         .withColumn("reason", F.lit(fixed.POLLING))
-        .drop("_tick", "following")
+        .drop("_tick", "_last_tick", "following")
+    )
+
+
+def poll_at(readings: DataFrame, ticks: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """What polling at each ``time`` of ``ticks`` would have gathered, whatever their spacing.
+
+    For the few ticks of a micro-batch: they travel as one sorted array, and each reading takes those from
+    its own time until just before the next reading.
+    """
+    known = with_neighbours(
+        readings, "entity_id", "time", ["time"], following=True, hot_rows=hot_rows
+    )
+    known = known.withColumn("_moments", ticks.agg(F.array_sort(F.collect_set("time"))).scalar())
+    until = F.col("following.time")
+    current = F.filter(
+        "_moments", lambda tick: (tick >= F.col("time")) & (until.isNull() | (tick < until))
+    )
+    return (
+        known.withColumn("time", F.explode(current))
+        .withColumn("reason", F.lit(fixed.POLLING))
+        .drop("following", "_moments")
     )
 
 

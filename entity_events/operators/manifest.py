@@ -7,9 +7,9 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from entity_events import fixed_values as fixed
 from entity_events.schemas import MANIFEST
@@ -23,7 +23,9 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     """The manifest table, empty where nothing has been written yet."""
     try:
         return spark.read.schema(MANIFEST).json(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], MANIFEST)
 
 
@@ -65,6 +67,12 @@ def rolled_over(
     )
 
 
+def generation(spark: SparkSession, path: str) -> int:
+    """The generation that documents are written to now: that of the schema row, 1 before any."""
+    row = _schema_row(read(spark, path), fixed.SCHEMA_VERSION)
+    return row["generation"] if row else 1
+
+
 def ensure_schema(spark: SparkSession, path: str, version: int = fixed.SCHEMA_VERSION) -> str:
     """Install or update the schema in the manifest at ``path``; returns what was done.
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entity_events import fixed_values as fixed
 from entity_events.functions import text
+from entity_events.operators import manifest, quality
 from entity_events.operators.documents import document_line
 from entity_events.schemas import BULK_RESPONSE
 
@@ -41,9 +43,51 @@ def table_layout(documents: DataFrame) -> DataFrame:
     )
 
 
-def append(documents: DataFrame, path: str, generation: int = 1) -> None:
-    """Append documents to the table: one folder per generation, stream and day."""
-    _write(documents, f"{path}/generation={generation}", "append")
+def append(documents: DataFrame, path: str, generation: int | None = None) -> None:
+    """Append documents to the table: one folder per generation, stream and day.
+
+    A point (stream, object id, timestamp) is created once: of several documents the first counts, and one
+    that the table has already is left as it is, so appending a batch again adds nothing. Only the folders
+    of the days that the batch has are read for that, and of those only the point columns. Without a
+    generation, that of the table's manifest is written to.
+    """
+    spark = documents.sparkSession
+    if generation is None:
+        generation = manifest.generation(spark, manifest_path(path))
+    fresh = quality.first_per_point(documents)
+    target = f"{path}/generation={generation}"
+    stored = _stored_points(spark, target)
+    if stored is not None:
+        dataset, day = F.col("data_stream.dataset"), F.col("timestamp").cast("date")
+        same = (
+            (dataset == F.col("_dataset"))
+            & (day == F.col("_day"))
+            & (F.col("object_id") == F.col("_object"))
+            & (F.col("timestamp") == F.col("_time"))
+        )
+        fresh = fresh.join(stored, same, "left_anti")
+    _write(fresh, target, "append")
+
+
+def manifest_path(path: str) -> str:
+    """Where a table keeps its manifest."""
+    return f"{path}/_manifest"
+
+
+def _stored_points(spark: SparkSession, target: str) -> DataFrame | None:
+    kinds = "object_id string, timestamp timestamp, dataset string, event_date date"
+    try:
+        stored = spark.read.schema(kinds).parquet(target)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return stored.select(
+        F.col("dataset").alias("_dataset"),
+        F.col("event_date").alias("_day"),
+        F.col("object_id").alias("_object"),
+        F.col("timestamp").alias("_time"),
+    )
 
 
 def replace_part(documents: DataFrame, path: str) -> None:

@@ -1,8 +1,8 @@
 """Joins and neighbour lookups that hold when one key owns a large share of the rows.
 
-A key is *hot* when it has more than ``HOT_ROWS`` rows. Hot keys are found by counting, with
-partial aggregation before the shuffle. The table of hot keys is broadcast, so it holds the
-``MAX_HOT_KEYS`` largest at most; every other key takes the plain path, which is as exact.
+A key is *hot* when it has more than ``hot_rows`` rows. Hot keys are found by counting, with partial
+aggregation before the shuffle; there are at most as many as ``rows / hot_rows``, and every one of them is
+split. Their table is broadcast where its size, known from the count, allows it.
 """
 
 from __future__ import annotations
@@ -14,15 +14,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_ROWS = 5_000_000
-MAX_HOT_KEYS = 100_000
 BROADCAST_BYTES = 128 << 20
 
 
-def _hot_keys(df: DataFrame, key: str, hot_rows: int, *extra: Column) -> DataFrame:
-    counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), *extra)
-    hot = counted.where(F.col("_rows") > hot_rows)
-    hot = hot.orderBy(F.desc("_rows"), key).limit(MAX_HOT_KEYS)
-    return hot.withColumn("_parts", F.ceil(F.col("_rows") / F.lit(hot_rows)))
+def _hot_keys(df: DataFrame, key: str, hot_rows: int) -> tuple[DataFrame, int, int]:
+    """Keys with more than ``hot_rows`` rows (key, _parts), their number, and the most parts of one."""
+    counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows)
+    hot = counted.select(key, F.ceil(F.col("_rows") / F.lit(hot_rows)).alias("_parts"))
+    keys, most = hot.agg(F.count(F.lit(1)), F.coalesce(F.max("_parts"), F.lit(0))).first()
+    return hot, keys, most
+
+
+def _small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
+    """Broadcast a table of a known number of rows where it is small enough."""
+    return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -61,35 +66,66 @@ class Lookup:
         """
         if self.small:
             return left.join(F.broadcast(self.rows), self.key, how)
-        hot = _hot_keys(left, self.key, hot_rows).select(self.key, "_parts")
+        hot, keys, _ = _hot_keys(left, self.key, hot_rows)
+        if not keys:
+            return left.join(self.rows, self.key, how)
+        hot = _small(hot, keys, 64)
         part = F.coalesce(F.pmod(F.xxhash64(*spread), F.col("_parts")), F.lit(0))
-        spread_left = left.join(F.broadcast(hot), self.key, "left").withColumn("_part", part)
+        spread_left = left.join(hot, self.key, "left").withColumn("_part", part)
         last_part = F.coalesce(F.col("_parts"), F.lit(1)) - 1
         repeated = (
-            self.rows.join(F.broadcast(hot), self.key, "left")
+            self.rows.join(hot, self.key, "left")
             .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), last_part)))
             .drop("_parts")
         )
         return spread_left.drop("_parts").join(repeated, [self.key, "_part"], how).drop("_part")
 
 
+def _cuts(rows: DataFrame, by: Sequence[str], value: Column, parts: int) -> DataFrame:
+    """Per group of ``by`` the values that divide its rows into about ``parts`` equal shares."""
+    shares = [i / parts for i in range(1, parts)]
+    return rows.groupBy(*by).agg(F.percentile_approx(value, shares, 20 * parts).alias("_cuts"))
+
+
+def _below(cuts: Column, value: Column) -> Column:
+    return F.size(F.filter(cuts, lambda cut: cut < value))
+
+
 def with_segments(
-    df: DataFrame, key: str, time: str, hot_rows: int, how: str = "left"
-) -> DataFrame:
-    """Add ``_segment``: 1, 2, ... along the time of a hot key, in equal widths, and 0 for other keys.
+    df: DataFrame, key: str, time: str, hot_rows: int, tie: str | None = "seq"
+) -> tuple[DataFrame, bool]:
+    """Add ``_segment``: 1, 2, ... along the order of a hot key, about ``hot_rows`` rows each; 0 for others.
 
-    An inner join leaves only the hot keys.
+    Also tells whether there is any hot key. Segments end at quantiles of the key's times, so bursts and
+    outliers do not matter. An instant that holds more rows than a segment should is a segment of its own
+    and is divided further along ``tie``.
     """
+    hot, keys, most = _hot_keys(df, key, hot_rows)
+    if not keys:
+        return df.withColumn("_segment", F.lit(0)), False
     micros = F.unix_micros(F.col(time))
-    span = (F.col("_last") - F.col("_start") + 1) / F.col("_parts")
-    hot = _hot_keys(df, key, hot_rows, F.min(micros).alias("_start"), F.max(micros).alias("_last"))
-    hot = hot.select(key, "_start", F.ceil(span).alias("_width"))
-    segment = 1 + F.floor((micros - F.col("_start")) / F.col("_width"))
-    return (
-        df.join(F.broadcast(hot), key, how)
-        .withColumn("_segment", F.coalesce(segment, F.lit(0)))
-        .drop("_start", "_width")
+    parts = max(2, 2 * most)
+    rows = df.join(_small(hot, keys, 64), key, "left_semi")
+    cuts = _cuts(rows, [key], micros, parts)
+    # A cut that occurs twice is an instant with more rows than a share.
+    cuts = cuts.select(
+        key,
+        F.array_distinct("_cuts").alias("_ends"),
+        F.array_distinct(
+            F.filter("_cuts", lambda cut, i: (i > 0) & (cut == F.get("_cuts", i - 1)))
+        ).alias("_instants"),
     )
+    cut = df.join(_small(cuts, keys, 64 + 16 * parts), key, "left")
+    crowded = F.coalesce(F.array_contains("_instants", micros), F.lit(False))
+    place = 2 * _below(F.col("_ends"), micros) + crowded.cast("int")
+    cut = cut.withColumn("_place", F.coalesce(place, F.lit(-1))).withColumn("_crowded", crowded)
+    segment = F.when(F.col("_ends").isNull(), F.lit(0)).otherwise(F.col("_place").cast("long") * parts + 1)
+    if tie:
+        inner = _cuts(cut.where("_crowded"), [key, "_place"], F.col(tie), parts)
+        inner = inner.select(key, "_place", F.col("_cuts").alias("_inner"))
+        cut = cut.join(_small(inner, keys * parts, 64 + 8 * parts), [key, "_place"], "left")
+        segment = segment + F.coalesce(_below(F.array_distinct("_inner"), F.col(tie)), F.lit(0))
+    return cut.withColumn("_segment", segment).select(*(F.col(name) for name in df.columns), "_segment"), True
 
 
 def with_neighbours(
@@ -105,33 +141,37 @@ def with_neighbours(
 ) -> DataFrame:
     """Add ``previous`` and/or ``following``: the ``values`` of the next row of the key in time.
 
-    A row without such a neighbour gets null. The history of a hot key is cut into time segments
-    of about ``hot_rows`` rows that are ordered independently; the row next to a segment border is
-    taken from the first and last row of each segment, a table of one row per segment. Without hot
-    keys that side is empty and adaptive execution leaves it out.
+    A row without such a neighbour gets null. The history of a hot key is cut into segments of about
+    ``hot_rows`` rows that are ordered independently; the row next to a segment border is taken from the
+    first and last row of each segment, a table of one row per segment. Without hot keys there is nothing
+    to cut or to join.
     """
     order = [time] + ([tie] if tie else [])
-    cut = with_segments(df, key, time, hot_rows)
+    cut, any_hot = with_segments(df, key, time, hot_rows, tie)
     taken, position = F.struct(*values), F.struct(*order)
-    borders = (
-        with_segments(df, key, time, hot_rows, "inner")
-        .groupBy(key, "_segment")
-        .agg(
-            F.min_by(taken, position).alias("_first"),
-            F.max_by(taken, position).alias("_last"),
+    before = after = F.lit(None)
+    out = cut
+    if any_hot:
+        borders = (
+            cut.where("_segment > 0")
+            .groupBy(key, "_segment")
+            .agg(
+                F.min_by(taken, position).alias("_first"),
+                F.max_by(taken, position).alias("_last"),
+            )
         )
-    )
-    along = Window.partitionBy(key).orderBy("_segment")
-    borders = borders.select(
-        key,
-        "_segment",
-        F.lag("_last").over(along).alias("_before"),
-        F.lead("_first").over(along).alias("_after"),
-    )
-    out = cut.join(borders, [key, "_segment"], "left")
+        along = Window.partitionBy(key).orderBy("_segment")
+        borders = borders.select(
+            key,
+            "_segment",
+            F.lag("_last").over(along).alias("_before"),
+            F.lead("_first").over(along).alias("_after"),
+        )
+        out = cut.join(borders, [key, "_segment"], "left")
+        before, after = F.col("_before"), F.col("_after")
     within = Window.partitionBy(key, "_segment").orderBy(*order)
     if previous:
-        out = out.withColumn("previous", F.coalesce(F.lag(taken).over(within), F.col("_before")))
+        out = out.withColumn("previous", F.coalesce(F.lag(taken).over(within), before))
     if following:
-        out = out.withColumn("following", F.coalesce(F.lead(taken).over(within), F.col("_after")))
+        out = out.withColumn("following", F.coalesce(F.lead(taken).over(within), after))
     return out.drop("_segment", "_before", "_after")

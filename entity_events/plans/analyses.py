@@ -7,13 +7,12 @@ choices of this library.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import UTC, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from entity_events.operators.skew import HOT_ROWS, with_neighbours
-from entity_events.session import materialized
+from entity_events.operators.skew import HOT_ROWS, with_neighbours, with_segments
 
 VALUE = "valueas.float"
 
@@ -28,7 +27,8 @@ def search(
     """Chosen columns of the documents in ``[start, end)`` that meet the condition."""
     found = documents.where((F.col("timestamp") >= F.lit(start)) & (F.col("timestamp") < F.lit(end)))
     if "event_date" in documents.columns:
-        found = found.where(F.col("event_date").between(F.lit(start.date()), F.lit(end.date())))
+        first, last = (moment.astimezone(UTC).date() for moment in (start, end))
+        found = found.where(F.col("event_date").between(F.lit(first), F.lit(last)))
     if condition is not None:
         found = found.where(condition)
     return found.select(*columns)
@@ -104,33 +104,24 @@ def sustained_deviation(
 ) -> DataFrame:
     """Runs of consecutive deviating values that span at least ``minutes``.
 
-    A run ends at its last deviating reading. Only readings at the border of a run go on to the
-    second step, where each first reading meets the last one, the next border of its entity. The
-    borders are written in between, since that step reads them more than once.
+    A run ends at its last deviating reading. Readings of a run have the same number of readings before
+    them that do not deviate: one running count per entity, and one aggregate of narrow rows. A hot entity
+    is counted segment by segment, and each segment begins from the counts of those before it.
     """
     numeric = documents.where(F.col(VALUE).isNotNull())
     series = _series(numeric, F.coalesce(deviates, F.lit(False)).alias("deviates"))
-    seen = with_neighbours(
-        series,
-        "entity_id",
-        "timestamp",
-        ["deviates"],
-        previous=True,
-        following=True,
-        hot_rows=hot_rows,
-    )
-    first = ~F.coalesce(F.col("previous.deviates"), F.lit(False))
-    last = ~F.coalesce(F.col("following.deviates"), F.lit(False))
-    borders = seen.where(F.col("deviates") & (first | last)).select(
-        "entity_id", "timestamp", "seq", first.alias("first"), last.alias("last")
-    )
-    paired = with_neighbours(
-        materialized(borders), "entity_id", "timestamp", ["timestamp"], following=True, hot_rows=hot_rows
-    )
-    end = F.when(F.col("last"), F.col("timestamp")).otherwise(F.col("following.timestamp"))
-    runs = paired.where("first").select(
-        "entity_id", F.col("timestamp").alias("started"), end.alias("ended")
-    )
+    cut, any_hot = with_segments(series, "entity_id", "timestamp", hot_rows)
+    calm = (~F.col("deviates")).cast("long")
+    inside = Window.partitionBy("entity_id", "_segment").orderBy("timestamp", "seq")
+    counted = cut.withColumn("run", F.sum(calm).over(inside))
+    if any_hot:
+        along = Window.partitionBy("entity_id").orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
+        totals = cut.where("_segment > 0").groupBy("entity_id", "_segment").agg(F.sum(calm).alias("calm"))
+        before = totals.select("entity_id", "_segment", F.sum("calm").over(along).alias("before"))
+        counted = counted.join(before, ["entity_id", "_segment"], "left")
+        counted = counted.withColumn("run", F.col("run") + F.coalesce("before", F.lit(0)))
+    runs = counted.where("deviates").groupBy("entity_id", "run")
+    runs = runs.agg(F.min("timestamp").alias("started"), F.max("timestamp").alias("ended")).drop("run")
     micros = F.unix_micros("ended") - F.unix_micros("started")
     return runs.where(micros >= minutes * 60_000_000)
 

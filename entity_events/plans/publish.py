@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 
 from entity_events.operators import changes, documents, filters, quality
@@ -19,10 +21,14 @@ def publish(
     """Documents of the readings (with ``reason``) that pass the rules; map-side but for the join.
 
     Readings whose attributes are no JSON object are left to :func:`quality.quarantined`. A feed that
-    is ``trusted`` to have none skips that test, so queries that use no attribute never read them.
+    is ``trusted`` to have none skips that test, so queries that use no attribute never read them. Tags of
+    the settings are used where the static fields give none.
     """
+    settings, static = settings or Settings(), static or StaticFields()
+    if settings.tags and not static.tags:
+        static = replace(static, tags=settings.tags)
     checked = readings if trusted else quality.readable(readings)
-    return documents.build(filters.accepted(checked, lookup, settings or Settings()), static)
+    return documents.build(filters.accepted(checked, lookup, settings), static)
 
 
 def classify_and_publish(

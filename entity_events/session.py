@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 _REQUIRED = {
     # Times are instants; text forms are written in UTC.
@@ -29,34 +28,6 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Return a fresh folder below the cluster's checkpoint folder.
-
-    Only where no such folder is set, as in local tests, a local temporary folder is used.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return f"{root.rstrip('/')}/entity-events-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    return tempfile.mkdtemp(prefix="entity-events-")
-
-
-def materialized(df: DataFrame) -> DataFrame:
-    """Write an intermediate result as a table in the shared folder and read it from there.
-
-    Runs at once. What follows starts from the written files, however often it reads them and
-    whichever executors are lost.
-    """
-    path = shared_folder(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal an input that was read in very few pieces out to all cores.
-
-    For costly work per row on a small input, such as one file of one row group. An input with
-    enough pieces passes as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 4 <= cores else df
+    """Return a fresh folder below the cluster's checkpoint folder, or below its warehouse where none is set."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/entity-events-{uuid.uuid4().hex}"

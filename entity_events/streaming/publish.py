@@ -5,6 +5,10 @@ entity, a table written next to the output. Everything a batch writes goes into
 the query and the batch, as a whole, so a batch that is run again after a failure replaces its own
 output: each document is stored once. Offsets are committed only after the batch has been written,
 so nothing is lost while the output cannot be reached.
+
+Readings are compared in the order of their times within what a batch knows: the newest reading of each
+entity before the batch, and the batch. A reading that arrives later than a newer one of an earlier batch has
+no predecessor there and counts as a state change.
 """
 
 from __future__ import annotations
@@ -12,11 +16,13 @@ from __future__ import annotations
 import threading
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from entity_events import schemas
+from entity_events.functions import attributes as attrs
 from entity_events.operators import changes as ops
 from entity_events.operators import filters, quality, sinks
 from entity_events.operators.enrich import Registry, details_lookup
@@ -118,21 +124,27 @@ def _publish_batch(
     gathered = None
     if settings.change_types:
         gathered = changes if known_reason else _classified(wanted)
-    span = batch.where(F.col("kind") == _TICK).agg(F.min("time").alias("a"), F.max("time").alias("b"))
-    first, last = span.first()
-    if first is not None:
-        polled = ops.poll_replay(wanted.drop("carried"), first, last, settings.poll_seconds)
+    polls = batch.where(F.col("kind") == _TICK).select("time").distinct()
+    if not polls.isEmpty():
+        polled = ops.poll_at(wanted.drop("carried"), polls)
         gathered = polled if gathered is None else ops.merge(gathered, polled)
 
+    # What was written is counted from what was written; a batch without documents counts none.
+    stored = 0
     if gathered is not None:
-        counted = Observation()
         documents = publish(gathered, lookup, settings, static)
-        documents = documents.observe(counted, F.count(F.lit(1)).alias("documents"))
         sinks.replace_part(documents, f"{folder}/documents/{part}")
-        refused = quality.quarantined(changes, lookup)
-        refused.write.mode("overwrite").parquet(f"{folder}/quarantine/{part}")
-        outcome = spark.createDataFrame([(counted.get["documents"],)], "documents long")
-        outcome.write.mode("overwrite").json(f"{folder}/outcomes/{part}")
+        stored = spark.read.schema(documents.schema).parquet(f"{folder}/documents/{part}").count()
+        if settings.audit_attributes:
+            audit = gathered.select(
+                "entity_id", "time", "seq", F.inline(attrs.rejected(attrs.parse(F.col("attributes"))))
+            )
+            audit.write.mode("overwrite").parquet(f"{folder}/audit/{part}")
+    refused = quality.quarantined(changes, lookup)
+    refused.write.mode("overwrite").parquet(f"{folder}/quarantine/{part}")
+    failed = spark.read.schema(refused.schema).parquet(f"{folder}/quarantine/{part}").count()
+    outcome = spark.createDataFrame([(stored, stored, failed)], "documents long, succeeded long, failed long")
+    outcome.write.mode("overwrite").json(f"{folder}/outcomes/{part}")
 
     newest = ops.latest_state(history.select(*reading)).select(*reading)
     newest.write.mode("overwrite").parquet(latest_path(folder, query_id, batch_id))
@@ -143,5 +155,12 @@ def _classified(history: DataFrame) -> DataFrame:
 
 
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents published into ``folder`` so far."""
-    return spark.read.parquet(f"{folder}/documents")
+    """Documents published into ``folder`` so far; an empty table before the first."""
+    try:
+        return spark.read.parquet(f"{folder}/documents")
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+    nothing = [spark.createDataFrame([], kind) for kind in (schemas.ENTITY, schemas.DEVICE, schemas.AREA, schemas.FLOOR)]
+    readings = spark.createDataFrame([], schemas.READING).withColumn("reason", F.lit(None).cast("string"))
+    return publish(readings, details_lookup(Registry(*nothing)))

@@ -56,15 +56,56 @@ def test_neighbours_do_not_depend_on_how_hot_keys_are_cut(spark, hot_rows):
 def test_a_hot_key_is_cut_into_parts_of_about_the_limit(spark):
     rows = [("hot", at(i), i, "x", None) for i in range(1000)]
     rows += [(f"cold.{i % 50}", at(i), i, "x", None) for i in range(500)]
-    cut = with_segments(frame(spark, rows), "entity_id", "time", hot_rows=100)
+    cut, any_hot = with_segments(frame(spark, rows), "entity_id", "time", hot_rows=100)
     sizes = cut.groupBy("entity_id", "_segment").count().collect()
-    assert max(r["count"] for r in sizes) <= 101
+    assert any_hot and max(r["count"] for r in sizes) <= 200
     assert all((r["_segment"] == 0) == (r["entity_id"] != "hot") for r in sizes)
 
 
-def test_keys_beyond_the_broadcast_bound_take_the_plain_path(spark, monkeypatch):
-    monkeypatch.setattr("entity_events.operators.skew.MAX_HOT_KEYS", 1)
+SHAPES = {
+    "burst and outliers": [at(i % 7) for i in range(1000)] + [at(-(10**7)), at(10**7), at(3 * 10**7)],
+    "one instant": [at(5)] * 1000,
+    "two instants": [at(5)] * 700 + [at(6)] * 300 + [at(10**6)],
+    "even": [at(i) for i in range(1000)],
+}
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+def test_no_segment_of_a_hot_key_exceeds_twice_the_limit(spark, shape):
+    times = SHAPES[shape]
+    rows = [("hot", time, seq, "x", None) for seq, time in enumerate(times)] + [("cold", at(0), -1, "x", None)]
+    cut, _ = with_segments(frame(spark, rows), "entity_id", "time", hot_rows=100)
+    assert max(r["count"] for r in cut.groupBy("entity_id", "_segment").count().collect()) <= 200
+    ends = cut.groupBy("_segment").agg(F.min(F.struct("time", "seq")).alias("a"), F.max(F.struct("time", "seq")).alias("b"))
+    ordered = sorted((r["_segment"], r["a"], r["b"]) for r in ends.where("_segment > 0").collect())
+    assert all(left[2] < right[1] for left, right in zip(ordered, ordered[1:]))
+    got = with_neighbours(frame(spark, rows), "entity_id", "time", ["seq"], previous=True, hot_rows=100)
+    order = sorted((time, seq) for seq, time in enumerate(times))
+    expected = {right[1]: left[1] for left, right in zip(order, order[1:])}
+    assert {r["seq"]: r["previous"] and r["previous"]["seq"] for r in got.where("entity_id = 'hot'").collect()} == {
+        seq: expected.get(seq) for _, seq in order
+    }
+
+
+def test_a_long_silence_is_polled_throughout(spark, monkeypatch):
+    monkeypatch.setattr(changes, "TICKS_AT_ONCE", 7)
+    rows = [("a.b", at(0), 1, "x", None), ("a.b", at(1000), 2, "y", None)]
+    got = changes.poll_replay(frame(spark, rows), at(0), at(1100), 10).groupBy("seq").count().collect()
+    assert {r["seq"]: r["count"] for r in got} == {1: 100, 2: 11}
+
+
+def test_polls_at_uneven_ticks(spark):
+    rows = [("a.b", at(0), 1, "x", None), ("a.b", at(10), 2, "y", None)]
+    ticks = spark.createDataFrame([(at(s),) for s in (-5, 0, 9, 10, 33, 33)], "time timestamp")
+    got = changes.poll_at(frame(spark, rows), ticks).orderBy("time").collect()
+    assert [(r["seq"], r["time"]) for r in got] == [(1, local(at(0))), (1, local(at(9))), (2, local(at(10))), (2, local(at(33)))]
+
+
+def test_every_hot_key_is_split(spark, monkeypatch):
+    monkeypatch.setattr("entity_events.operators.skew.BROADCAST_BYTES", 1)
     feed = [(f"e.{i % 3}", at(i), i, "x", None) for i in range(90)]
+    cut, _ = with_segments(frame(spark, feed), "entity_id", "time", hot_rows=10)
+    assert max(r["count"] for r in cut.groupBy("entity_id", "_segment").count().collect()) <= 20
     got = with_neighbours(frame(spark, feed), "entity_id", "time", ["seq"], previous=True, hot_rows=10)
     assert {r["seq"]: r["previous"] and r["previous"]["seq"] for r in got.collect()} == {
         i: i - 3 if i >= 3 else None for i in range(90)

@@ -11,9 +11,9 @@ from entity_events.plans.publish import publish
 from entity_events.settings import StaticFields
 from tests import home
 
-NOON = datetime(2023, 4, 12, 12, tzinfo=UTC)
+NOON = datetime(2031, 5, 6, 12, tzinfo=UTC)
 READING = "entity_id string, time timestamp, seq long, state string, attributes string, reason string"
-SIMPLE = {"string": "abc123", "int": 123, "float": 123.456}
+SIMPLE = {"depth": 3, "note": "dry soil", "level": 0.25}
 E = fixed.ENTITY_FIELD
 
 
@@ -30,26 +30,17 @@ def document(*args, **given):
 
 
 def expected_details(entity_area, entity_floor, entity_labels, device_area, device_floor, device_labels):
-    fields = {
-        "id": home.ENTITY_ID,
-        "name": "user-modified entity name",
-        "domain": "counter",
-        "device_class": "user-modified entity device class",
-        "platform": "entity platform",
-        "unit_of_measurement": "Mbit/s",
-        "friendly_name": "entity object id",
-        "object.id": "entity_object_id",
-        "device.id": home.DEVICE_ID,
-        "device.name": "device name",
-    }
+    kept = ("name", "domain", "device_class", "platform", "unit_of_measurement")
+    fields = {"id": home.ENTITY_ID, **{name: home.ENTITY[name] for name in kept}}
+    fields |= {"friendly_name": "north bench", "object.id": "north_bench", "device.id": home.DEVICE_ID, "device.name": "Probe"}
     if entity_area:
-        fields |= {"area.id": "entity_area", "area.name": "entity area"}
+        fields |= {"area.id": "bench", "area.name": "Bench"}
         if entity_floor:
-            fields |= {"area.floor.id": "entity_floor", "area.floor.name": "entity floor"}
+            fields |= {"area.floor.id": "ground", "area.floor.name": "Ground"}
     if device_area:
-        fields |= {"device.area.id": "device_area", "device.area.name": "device area"}
+        fields |= {"device.area.id": "shed", "device.area.name": "Shed"}
         if device_floor:
-            fields |= {"device.area.floor.id": "device_floor", "device.area.floor.name": "device floor"}
+            fields |= {"device.area.floor.id": "gallery", "device.area.floor.name": "Gallery"}
     if entity_labels:
         fields["labels"] = home.ENTITY_LABELS
     if device_labels:
@@ -57,24 +48,25 @@ def expected_details(entity_area, entity_floor, entity_labels, device_area, devi
     return {f"{E}.{name}": value for name, value in fields.items()}
 
 
-ENTITY_KINDS = [(True, True, True), (False, False, False), (False, False, True), (True, False, True)]
-DEVICE_KINDS = [(True, True, True), (False, False, False), (False, False, True), (True, False, False)]
+# With or without an area, a floor of the area, and labels; a floor needs an area.
+PLACES = [(area, floor, labels) for area, floor, labels in product([True, False], repeat=3) if area or not floor]
+#: State, reason, attributes given and published, and the typed state.
 STATES = [
-    ("string state value", fixed.STATE, SIMPLE, {"string": "string state value"}),
-    ("123.456", fixed.STATE, {}, {"float": 123.456}),
-    ("123", fixed.ATTRIBUTE, {"Collision Test": 1, "collision_test": 2, "none": None}, {"float": 123.0}),
-    ("True", fixed.POLLING, {"": "blank"}, {"string": "True"}),
+    ("leaking", fixed.STATE, SIMPLE, SIMPLE, {"string": "leaking"}),
+    ("-4.75", fixed.STATE, {}, {}, {"float": -4.75}),
+    ("40", fixed.ATTRIBUTE, {"Pump Speed": 1, "pump_speed": 9, "fault": None}, {"pump_speed": 9}, {"float": 40.0}),
+    ("off", fixed.POLLING, {"  ": "no name"}, {}, {"boolean": False}),
     (
-        "2024-04-12T00:00:00+00:00",
+        "2031-05-06T07:08:09+02:00",
         fixed.POLLING,
         SIMPLE,
-        {"date": "2024-04-12", "datetime": "2024-04-12T00:00:00+00:00", "time": "00:00:00"},
+        SIMPLE,
+        {"date": "2031-05-06", "datetime": "2031-05-06T07:08:09+02:00", "time": "07:08:09"},
     ),
 ]
-PUBLISHED = [SIMPLE, {}, {"collision_test": 2}, {}, SIMPLE]
 
 
-@pytest.mark.parametrize(("entity", "device"), list(product(ENTITY_KINDS, DEVICE_KINDS)))
+@pytest.mark.parametrize(("entity", "device"), list(zip(PLACES * len(PLACES), [p for p in PLACES for _ in PLACES])))
 def test_whole_documents(spark, make_registry, entity, device):
     registry = make_registry(
         [home.entity(entity[0], entity[2])],
@@ -84,24 +76,24 @@ def test_whole_documents(spark, make_registry, entity, device):
     )
     rows = [
         (home.ENTITY_ID, NOON, i, state, json.dumps(attributes), reason)
-        for i, (state, reason, attributes, _) in enumerate(STATES)
+        for i, (state, reason, attributes, *_) in enumerate(STATES)
     ]
     readings = spark.createDataFrame(rows, READING)
     docs = publish(readings, enrich.details_lookup(registry))
     got = docs.select("seq", documents.document_line(docs).alias("line")).collect()
     for row in got:
-        state, reason, _, valueas = STATES[row["seq"]]
+        state, reason, _, published, valueas = STATES[row["seq"]]
         assert json.loads(row["line"]) == {
-            fixed.TIMESTAMP_FIELD: "2023-04-12T12:00:00+00:00",
+            fixed.TIMESTAMP_FIELD: "2031-05-06T12:00:00+00:00",
             "event.action": fixed.ACTION_TEXT[reason],
             "event.kind": "event",
             "event.type": "info" if reason == fixed.POLLING else "change",
             **expected_details(*entity, *device),
             f"{E}.value": state,
             **{f"{E}.valueas.{kind}": value for kind, value in valueas.items()},
-            **{f"{E}.attributes.{k}": v for k, v in PUBLISHED[row["seq"]].items()},
+            **{f"{E}.attributes.{k}": v for k, v in published.items()},
             "data_stream.type": fixed.STREAM_TYPE,
-            "data_stream.dataset": fixed.DATASET_PREFIX + ".counter",
+            "data_stream.dataset": fixed.DATASET_PREFIX + ".sensor",
             "data_stream.namespace": fixed.STREAM_NAMESPACE,
         }
     assert len(got) == len(STATES)
@@ -109,20 +101,20 @@ def test_whole_documents(spark, make_registry, entity, device):
 
 def test_bulk_text_of_a_polled_reading(spark, make_registry):
     registry = make_registry([home.entity()], [home.device()], home.areas(), home.FLOORS)
-    static = StaticFields("1.0.0", "x86", "Linux", "my_host", -99.0, 99.0)
+    static = StaticFields("4.2", "riscv", "Plan 9", "shed-pi", 12.5, -7.0)
     (text,) = lines(spark, registry, "value", fixed.POLLING, static=static)
     action, line = text.split("\n")
-    stream = f"{fixed.STREAM_TYPE}-{fixed.DATASET_PREFIX}.counter-{fixed.STREAM_NAMESPACE}"
+    stream = f"{fixed.STREAM_TYPE}-{fixed.DATASET_PREFIX}.sensor-{fixed.STREAM_NAMESPACE}"
     assert action == '{"create":{"_index":"' + stream + '"}}'
     assert list(json.loads(line))[:5] == [
         fixed.TIMESTAMP_FIELD, "event.action", "event.kind", "event.type", f"{E}.id",
     ]
     assert line.endswith(
-        f'"{E}.value":"value","{E}.valueas.string":"value","{E}.object.id":"entity_object_id",'
-        f'"data_stream.type":"{fixed.STREAM_TYPE}","data_stream.dataset":"{fixed.DATASET_PREFIX}.counter",'
-        f'"data_stream.namespace":"{fixed.STREAM_NAMESPACE}","agent.version":"1.0.0",'
-        '"host.architecture":"x86","host.os.name":"Linux","host.hostname":"my_host",'
-        '"host.location":[-99.0,99.0]}'
+        f'"{E}.value":"value","{E}.valueas.string":"value","{E}.object.id":"north_bench",'
+        f'"data_stream.type":"{fixed.STREAM_TYPE}","data_stream.dataset":"{fixed.DATASET_PREFIX}.sensor",'
+        f'"data_stream.namespace":"{fixed.STREAM_NAMESPACE}","agent.version":"4.2",'
+        '"host.architecture":"riscv","host.os.name":"Plan 9","host.hostname":"shed-pi",'
+        '"host.location":[12.5,-7.0]}'
     )
 
 

@@ -33,7 +33,7 @@ def passes(spark, lookup, settings, **given):
 GRID = list(
     product(
         [[home.ENTITY_LABELS[0]], [home.DEVICE_LABELS[0]], []],
-        [["entity_area"], []],
+        [["bench"], []],
         [[home.DEVICE_ID], []],
         [[home.ENTITY_ID], []],
     )
@@ -121,7 +121,7 @@ def test_inclusion_with_nothing_listed_passes_nothing(spark, lookup):
 
 
 def test_area_of_the_device_does_not_count(spark, lookup):
-    settings = Settings(include_enabled=True, include=Targets(area_ids=("device_area",)))
+    settings = Settings(include_enabled=True, include=Targets(area_ids=("shed",)))
     assert not passes(spark, lookup, settings)[0]
 
 

@@ -103,10 +103,13 @@ def test_envelope(spark, lookup):
 
 def test_append_and_read_back(spark, lookup, tmp_path):
     docs = publish(some(spark), lookup)
-    sinks.append(docs, str(tmp_path / "t"))
+    for _ in range(2):
+        sinks.append(docs, str(tmp_path / "t"))
+    late = readings(spark, [("light.a", T0 + timedelta(days=1, hours=1), 200, "on", None), ("light.a", T0, 201, "off", None)])
+    sinks.append(publish(late, lookup), str(tmp_path / "t"))
     sinks.append(docs.where("seq = 99"), str(tmp_path / "t"), generation=2)
     stored = spark.read.parquet(str(tmp_path / "t"))
-    assert stored.count() == 11
+    assert sorted((r["generation"], r["seq"]) for r in stored.collect()) == [(1, 0), (1, 10), (1, 20), (1, 99), (1, 200), (2, 99)]
     assert stored.where("generation = 2").select("dataset").first()[0] == fixed.DATASET_PREFIX + ".sensor"
     plan = stored.where("dataset = 'x' AND event_date > DATE '2024-01-01'")._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(dataset" in plan
@@ -116,25 +119,8 @@ def test_append_and_read_back(spark, lookup, tmp_path):
     assert spark.read.parquet(str(tmp_path / "p")).count() == 10
 
 
-FAILED = {
-    "errors": True,
-    "took": 0,
-    "items": [
-        {
-            "create": {
-                "_index": "i1",
-                "_id": "a",
-                "status": 400,
-                "error": {"type": "document_parsing_exception", "reason": "missing", "caused_by": {"type": "t", "reason": "r"}},
-            }
-        }
-    ],
-}
-DONE = {
-    "errors": False,
-    "took": 2004,
-    "items": [{"create": {"_index": "i2", "_id": "b", "_version": 1, "result": "created", "status": 201}}] * 2,
-}
+FAILED = {"errors": True, "items": [{"create": {"_index": "i1", "status": 429, "error": {"type": "busy", "reason": "queue is full"}}}]}
+DONE = {"errors": False, "items": [{"create": {"_index": "i2", "status": 200}}, {"create": {"_index": "i3", "status": 201}}]}
 
 
 def test_bulk_response(spark):
@@ -142,9 +128,9 @@ def test_bulk_response(spark):
     items = sinks.bulk_items(spark.createDataFrame(bodies, "batch_id long, response string"))
     rows = [tuple(r) for r in items.orderBy("batch_id", "position").collect()]
     assert rows == [
-        (1, 0, "create", False, 400, "i1", "document_parsing_exception", "missing"),
-        (2, 0, "create", True, 201, "i2", None, None),
-        (2, 1, "create", True, 201, "i2", None, None),
+        (1, 0, "create", False, 429, "i1", "busy", "queue is full"),
+        (2, 0, "create", True, 200, "i2", None, None),
+        (2, 1, "create", True, 201, "i3", None, None),
     ]
     counts = sinks.outcome_counts(items).orderBy("batch_id").collect()
     assert [tuple(c) for c in counts] == [(1, 1, 0, 1), (2, 2, 2, 0)]
@@ -164,10 +150,22 @@ def test_schema_is_installed_updated_and_kept(spark, tmp_path):
         STREAM.format("counter"): (fixed.SCHEMA_VERSION, 5),
         "metrics-other.x-default": (1, 1),
     }
+    assert manifest.generation(spark, path) == 2
     assert manifest.ensure_schema(spark, path) == manifest.KEEP
     assert manifest.ensure_schema(spark, path, version=3) == manifest.UPDATE
 
 
+def test_documents_go_to_the_generation_of_the_manifest(spark, lookup, tmp_path):
+    table = str(tmp_path / "t")
+    docs = publish(some(spark), lookup)
+    sinks.append(docs, table)
+    manifest.ensure_schema(spark, sinks.manifest_path(table), version=1)
+    manifest.ensure_schema(spark, sinks.manifest_path(table))
+    sinks.append(docs, table)
+    rows = spark.read.parquet(table).groupBy("generation").count().collect()
+    assert {r["generation"]: r["count"] for r in rows} == {1: 4, 2: 4}
+
+
 def test_feeds_and_registries_from_files(spark, make_registry, tmp_path):
     state = {"entity_id": "light.a", "state": "on", "attributes": "{}", "last_changed": "2024-01-01T00:00:00Z"}
     event = json.dumps({"time_fired": "2024-01-01T00:00:00Z", "new_state": state})

@@ -75,6 +75,42 @@ def test_stream_equals_batch_over_several_batches_and_restarts(spark, tmp_path,
     assert outcomes.agg(F.sum("documents")).first()[0] == 80
 
 
+@pytest.mark.parametrize(
+    "settings", [Settings(), Settings(include_enabled=True), Settings(change_types=(), poll_seconds=0)]
+)
+def test_batches_without_documents_do_not_stop_the_stream(spark, tmp_path, registry, settings):
+    assert stream.read_documents(spark, f"{tmp_path}/out").count() == 0
+    unknown = [("light.unknown", T0 + timedelta(minutes=i), i, "on", "{}") for i in range(3)]
+    put(spark, f"{tmp_path}/in", unknown)
+    run(spark, tmp_path, registry, settings)
+    assert stream.read_documents(spark, f"{tmp_path}/out").count() == 0
+    put(spark, f"{tmp_path}/in", feed(0, 20))
+    run(spark, tmp_path, registry, settings)
+    published = 20 if settings == Settings() else 0
+    assert stream.read_documents(spark, f"{tmp_path}/out").count() == published
+    outcomes = spark.read.json(f"{tmp_path}/out/outcomes").agg(F.sum("succeeded"), F.sum("failed")).first()
+    assert tuple(outcomes) == (published, 4)
+
+
+def test_a_tick_before_any_reading(spark, tmp_path, registry):
+    put(spark, f"{tmp_path}/ticks", [(T0 - timedelta(hours=1),)], "time timestamp")
+    put(spark, f"{tmp_path}/in", [], schemas.READING)
+    run(spark, tmp_path, registry, Settings(change_types=()), ticks=True)
+    put(spark, f"{tmp_path}/in", feed(0, 10))
+    put(spark, f"{tmp_path}/ticks", [(T0 + timedelta(hours=1),), (T0 + timedelta(hours=1, seconds=7),)], "time timestamp")
+    run(spark, tmp_path, registry, Settings(change_types=()), ticks=True)
+    assert stream.read_documents(spark, f"{tmp_path}/out").count() == 10
+
+
+def test_tags_and_audit_switch_take_effect(spark, tmp_path, registry):
+    rows = [("light.l1", T0, 1, "on", '{"icon": "x", "a": 1, " ": 2}')]
+    put(spark, f"{tmp_path}/in", rows)
+    run(spark, tmp_path, registry, Settings(tags=("lab",), audit_attributes=True))
+    assert [r["tags"] for r in stream.read_documents(spark, f"{tmp_path}/out").collect()] == [["lab"]]
+    audit = spark.read.parquet(f"{tmp_path}/out/audit").collect()
+    assert sorted((r["entity_id"], r["key"]) for r in audit) == [("light.l1", " "), ("light.l1", "icon")]
+
+
 def test_a_batch_that_failed_is_stored_once(spark, tmp_path, registry, monkeypatch):
     put(spark, f"{tmp_path}/in", feed(0, 20))
     run(spark, tmp_path, registry)

@@ -154,3 +154,17 @@ def test_strict_date(spark):
     assert evaluate(spark, rules.strict_date(F.col("t")), t="2024-2-9") is None
     assert evaluate(spark, rules.strict_date(F.col("t")), t="2023-02-29") is None
     assert evaluate(spark, rules.tolerant(F.col("t"), "float"), t="1.5x") is None
+
+
+@pytest.mark.parametrize("given", ["2024-04-12T12:00:00Z\n", "2024-04-12\n"])
+def test_a_line_end_is_no_part_of_a_time(spark, given):
+    frame = spark.createDataFrame([(given,)], "v string")
+    row = frame.select(
+        values.as_datetime(F.col("v")).isNull().alias("moment"), rules.strict_date(F.col("v")).isNull().alias("date")
+    ).first()
+    assert row["moment"] and row["date"]
+
+
+def test_a_line_end_is_no_part_of_a_clock_time(spark):
+    frame = spark.createDataFrame([("12:00:00",), ("12:00:00\n",)], "v string")
+    assert [row[0] for row in frame.select(rules.clock_time(F.col("v"))).collect()] == ["12:00:00", None]
