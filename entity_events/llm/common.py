@@ -17,7 +17,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one numpy pass takes; a longer single text is one pass of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+
+#: Rows that a Python worker gets at a time.
+BATCH_ROWS = 1000
+
+#: Measured bytes up to which a side of a join is broadcast.
+BROADCAST_BYTES = 64 << 20
 
 #: Words as runs without ASCII white space, in the notation of Java, Python and RE2.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -48,6 +54,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def joinable(df: DataFrame, name: str) -> DataFrame:
+    """A small side of a join, written once, and broadcast where its measured size allows it.
+
+    Beyond that size Spark shuffles both sides and splits hot keys by its adaptive skew join.
+    """
+    side = written(df, name)
+    size = side.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return F.broadcast(side) if size <= BROADCAST_BYTES else side
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python workers few at a time, so that a worker's memory is bounded by few long texts."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def unit_draw(seed: str, *keys: Column) -> Column:
     """A number in [0, 1) that depends on the seed and the keys only; the same in any SQL engine with SHA-256."""
     text = F.concat(F.lit(f"{seed}:"), *(F.coalesce(key.cast("string"), F.lit("null")) for key in keys))

@@ -11,8 +11,8 @@ Plan: items are fingerprinted into a small table. Its hashes also fill a bitmap
 (``FILTER_BITS``), which each task uses to drop fingerprints that no item has before any shuffle; it only
 lets too many through, never too few. What is left, a few rows per copied passage, is joined with the items'
 table by fingerprint: broadcast or shuffled by measured size, with hot fingerprints split by the adaptive
-skew join. Per document its runs and items are gathered; documents meet their result in one join of narrow
-rows. Texts are never shuffled.
+skew join. Per document its runs and items are gathered into a small table, which documents meet in one join:
+broadcast up to a measured size, so that texts are shuffled only beyond it.
 
 Defined results: a null or empty text has no words, no hits and is clean; items without words match nothing;
 null document ids and repeated rows get a result each; items of one id count once; an empty benchmark leaves
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entity_events.llm.common import ALPHANUMERIC, Texts, Words, gram_hashes, mix, text_slices, words_of
+from entity_events.llm.common import ALPHANUMERIC, Texts, Words, gram_hashes, joinable, mix, small_batches, text_slices, words_of
 
 WINDOW = 13
 GRAM = 7
@@ -221,6 +221,7 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
 
     ``docs`` has doc_id and text, ``items`` item_id and text.
     """
+    small_batches(docs.sparkSession)
     short = list(range(1, WINDOW))
     known = _windows(items.select(F.col("item_id").cast("string").alias("item_id"), "text"), ["item_id"], short, None)
     lengths = sorted(row.length for row in known.select("length").distinct().collect() if row.length < WINDOW)
@@ -234,6 +235,7 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
         F.array_sort(F.collect_set("item_id")).alias("items"),
     )
     by_text = by_text.select("hit_id", "hit_hash", _covered(F.col("runs")).alias("covered"), "items")
+    by_text = joinable(by_text, "contamination")
     names = [f"`{name}`" for name in docs.columns]
     counted = F.coalesce(F.regexp_count("text", F.lit(_WORD)), F.lit(0)).cast("long")
     base = docs.select(F.struct(*names).alias("row"), "doc_id", text_hash, counted.alias("n_words"))

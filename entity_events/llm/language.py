@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from entity_events.llm.common import ALPHANUMERIC, Texts, Words, mix, text_slices, words_of
+from entity_events.llm.common import ALPHANUMERIC, Texts, Words, mix, small_batches, text_slices, words_of
 
 UNKNOWN = "und"
 
@@ -271,6 +271,7 @@ def predicted(docs: DataFrame, learnable: Column, sample: int = SAMPLE) -> DataF
 
     ``learnable`` tells the documents whose ``lang`` may be learned from.
     """
+    small_batches(docs.sparkSession)
     rows = sorted(tuple(row) for row in training_sample(docs, learnable, sample).collect())
     field = learn([text for text, _ in rows], [language for _, language in rows])
 

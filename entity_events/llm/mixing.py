@@ -5,9 +5,9 @@ over its size. A document is emitted ``floor(rate)`` times, plus once more when
 below the fraction of the rate. Built-in functions only.
 
 Plan: one partial aggregate of (source, words) per input split, window functions over the table of
-sources (one row per source), and a join of that table back to the documents. The join carries no hint:
-Spark broadcasts the sources while their measured size is below its threshold and otherwise shuffles,
-splitting a hot source by its adaptive skew join. Documents are never grouped.
+sources (one row per source), and a join of that table back to the documents. The table is written once and
+broadcast up to a measured size; beyond it Spark shuffles, splitting a hot source by its adaptive skew join.
+Documents are never grouped.
 
 Defined results: a null text has no words; a null source is a source of its own, last in order; a null
 ``doc_id`` draws like the text ``null``; rows with the same ``doc_id`` share a draw; a source without
@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from entity_events.llm.common import unit_draw, word_count
+from entity_events.llm.common import joinable, unit_draw, word_count
 
 #: Relative weights given to the sources in order of their names, repeated as often as needed.
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -90,7 +90,7 @@ def planned(
         F.col("doc_id"),
         word_count(F.col("text")).alias("size"),
     )
-    targets = source_targets(sized, weights, share, most).withColumnRenamed("source", "named")
+    targets = joinable(source_targets(sized, weights, share, most).withColumnRenamed("source", "named"), "targets")
     joined = sized.join(targets, F.col("source").eqNullSafe(F.col("named")), "left")
     return joined.select(
         "row", "doc_id", "size", "source_size", "target", copies(F.col("doc_id"), F.col("rate"), seed).alias("copies")

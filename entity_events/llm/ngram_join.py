@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entity_events.llm.common import NOT_SPACE, Texts, gram_hashes, mix, text_slices, words_of, written
+from entity_events.llm.common import NOT_SPACE, Texts, gram_hashes, joinable, mix, small_batches, text_slices, words_of, written
 
 SHINGLE = 5
 #: Sets link when SIMILAR[1] * common >= SIMILAR[0] * all.
@@ -49,10 +49,9 @@ BAND_RATIO = 1.4
 LARGE = 64
 BLOCK = 256
 BUCKETS_PER_PARTITION = 16
+PACKED_AT_ONCE = 1 << 20
 #: Pairs with one common set that are verified in one group.
 CHUNK = 128
-#: Ids up to this many bytes are broadcast to fetch their texts; beyond, both sides are shuffled.
-BROADCAST_BYTES = 64 << 20
 
 _U = np.uint64
 
@@ -184,6 +183,9 @@ class Packer:
         self.buckets = buckets
         self.parts: list[tuple[np.ndarray, ...]] = []
 
+    def __len__(self) -> int:
+        return sum(len(part[0]) for part in self.parts)
+
     def add(self, signatures: np.ndarray, band: int, tags: np.ndarray, flags: np.ndarray | None = None) -> None:
         high, code = _code(signatures, band)
         bucket = (high * _U(self.buckets) >> _U(32)).astype(np.int32)
@@ -350,7 +352,9 @@ def _indexed(docs: DataFrame, buckets: int) -> DataFrame:
                     if len(rows):
                         subsets = Subsets(*_taken(values, offsets, rows), band)
                         packer.add(subsets.signatures, band, tags[rows][subsets.owner])
-            yield from packer.batch()
+                if len(packer) >= PACKED_AT_ONCE:
+                    yield from packer.batch()
+        yield from packer.batch()
 
     return docs.select("text").mapInArrow(indexed, _PACKED)
 
@@ -358,10 +362,7 @@ def _indexed(docs: DataFrame, buckets: int) -> DataFrame:
 def _texts_of(docs: DataFrame, classes: DataFrame, jobs: DataFrame) -> DataFrame:
     """One text of every class with the columns of ``jobs`` (one row a tag) and its key."""
     jobs = jobs.join(classes.select("tag", "key", "any.doc_id", "any.text_hash").toDF("tag", "key", "of_id", "of_hash"), "tag")
-    jobs = written(jobs, "jobs")
-    size = jobs.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
-    if size <= BROADCAST_BYTES:
-        jobs = F.broadcast(jobs)
+    jobs = joinable(jobs, "jobs")
     same = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("text_hash") == F.col("of_hash"))
     return docs.join(jobs, same).drop("doc_id", "text_hash", "of_id", "of_hash")
 
@@ -662,6 +663,7 @@ def _links(docs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def _with_components(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, n_shingles, component (null without shingles) and its smallest id, of every document."""
+    small_batches(docs.sparkSession)
     docs = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     rows = written(_described(docs), "classes")
     classes = rows.where("n_shingles > 0").groupBy("tag", "key").agg(
@@ -693,9 +695,7 @@ def distinct_documents(docs: DataFrame) -> DataFrame:
     found = found.join(best, "component").withColumn("stays", order == F.col("best"))
     # Only what goes, or is there several times, is listed.
     listed = found.where(~F.col("stays") | (F.col("rows") > 1))
-    listed = written(listed.select(F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash"), "stays"), "dropped")
-    if listed.count() * 64 <= BROADCAST_BYTES:
-        listed = F.broadcast(listed)
+    listed = joinable(listed.select(F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash"), "stays"), "dropped")
     names = [F.col(f"`{name}`") for name in docs.columns]
     wrapped = docs.select(F.struct(*names).alias("row"), "doc_id", F.xxhash64("text").alias("text_hash"))
     same = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("text_hash") == F.col("of_hash"))

@@ -9,7 +9,8 @@ live. Live-looking candidates become spans of the kind ``live`` besides those fo
 Plan: one pass of ``mapInArrow`` finds the spans and candidates of each text. Candidate hashes are freed of
 repeats by (hash, owner, repository) with partial aggregation before the shuffle, counted in two steps, and
 only the live ones are joined back, so a value that a third of all documents share is one row per owner and
-repository. Texts are never shuffled. Spark chooses the joins by measured sizes.
+repository. The spans are a small table that documents meet in one join, broadcast up to a measured size, so
+that texts are shuffled only beyond it.
 
 Defined results: a null or empty text has no spans; null ids, owners and repositories count as values of
 their own; repeated rows are found repeatedly and do not count as further owners; an empty table gives no
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entity_events.llm.common import Texts, text_slices, written
+from entity_events.llm.common import Texts, joinable, small_batches, text_slices, written
 
 #: Kinds in the order that spans with one start are listed in.
 KINDS = ("assign", "access", "hex", "live")
@@ -136,6 +137,7 @@ def found_spans(docs: DataFrame, *kept: str) -> DataFrame:
             columns = [batch.column(name) for name in kept]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(spans, kind)], [*kept, "found"])
 
+    small_batches(docs.sparkSession)
     source = docs.select(*dict.fromkeys([*kept, "text"]))
     schema = [f"`{name}` {source.schema[name].dataType.simpleString()}" for name in kept]
     return source.mapInArrow(scanned, ", ".join([*schema, f"found {FOUND}"]))
@@ -206,6 +208,7 @@ def with_spans(docs: DataFrame, **options) -> DataFrame:
     names = [f"`{name}`" for name in docs.columns]
     wrapped = keyed(docs.select(F.struct(*names).alias("row"), "doc_id", "text"))
     spans = scan(docs, **options).withColumnsRenamed({"doc_id": "_doc_id", "text_hash": "_text_hash"})
+    spans = joinable(spans, "spans")
     same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_hash") == F.col("_text_hash"))
     none = F.expr("CAST(array() AS array<struct<start:int,end:int,kind:string,owners:bigint,live:boolean>>)")
     return wrapped.join(spans, same, "left").select("row", "doc_id", F.coalesce("spans", none).alias("spans"))

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
-from entity_events.llm.common import ALPHANUMERIC, BASE, Texts, Words, mix, text_slices, words_of
+from entity_events.llm.common import ALPHANUMERIC, BASE, Texts, Words, mix, small_batches, text_slices, words_of
 
 SAMPLE = 2500
 #: Lengths of the beginnings of words that may carry a weight, in bytes.
@@ -326,6 +326,7 @@ def scored(
 
     ``labels`` has doc_id and toxic (0 or 1); ``learnable`` tells the documents whose label may be learned from.
     """
+    small_batches(docs.sparkSession)
     known = training_sample(docs.select("doc_id", "text"), labels, learnable, sample).collect()
     texts = {label: sorted(row.text or "" for row in known if row.toxic == label) for label in (0, 1)}
     model = learn(texts[1], texts[0])
