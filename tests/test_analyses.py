@@ -1,5 +1,5 @@
 import random
-from datetime import UTC, datetime, timedelta
+from datetime import UTC, datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -126,3 +126,12 @@ def test_panel_search_threshold_tags_latest(docs, feed):
     assert analyses.tagged(docs.drop("tags"), "lab").count() == 0
     latest = {r["entity_id"]: r["value"] for r in analyses.latest_value(docs).collect()}
     assert latest == {entity: rows[-1][3] for entity, rows in per_entity(feed)}
+
+
+def test_search_prunes_by_utc_days(spark):
+    west = timezone(timedelta(hours=-5))
+    moment = datetime(2024, 1, 16, 2, tzinfo=UTC)
+    rows = spark.createDataFrame([(moment, "a")], "timestamp timestamp, object_id string")
+    rows = rows.withColumn("event_date", F.col("timestamp").cast("date"))
+    found = analyses.search(rows, datetime(2024, 1, 15, 20, tzinfo=west), datetime(2024, 1, 15, 23, tzinfo=west), ["object_id"])
+    assert found.count() == 1
