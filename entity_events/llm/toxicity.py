@@ -215,29 +215,40 @@ def _features(texts: Texts, lexicon: Lexicon, machine: Transducer) -> np.ndarray
 # Learning
 
 
-def _entry_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Entries, the number of documents that have each, and the number of different words before it.
-
-    Copies of a text repeat an entry in one context; a word of the language of insults has many.
-    """
-    documents, contexts = [], []
+def _parts(texts: list[str]) -> Iterator[tuple[Words, list[np.ndarray], int]]:
+    """Words of slices of the texts with their entries, and the number of texts before each slice."""
     before = 0
     for part in text_slices(pa.array(texts, pa.string())):
         data = part.lower()
         words = words_of(part, data, ALPHANUMERIC)
-        owner = words.text.astype(np.uint64) + np.uint64(before)
+        yield words, _entries(data, words), before
         before += len(part)
-        context = np.concatenate([[np.uint64(0)], words.hashes[:-1]]) if len(words.hashes) else words.hashes
-        for entry in _entries(data, words):
-            some = entry != 0
-            documents.append(_distinct(entry[some], owner[some])[0])
-            contexts.append(_distinct(entry[some], context[some]))
-    if not documents:
-        return np.zeros(0, np.uint64), np.zeros(0, int), np.zeros(0, int)
-    entries, counts = np.unique(np.concatenate(documents), return_counts=True)
-    everywhere = _distinct(*(np.concatenate(column) for column in zip(*contexts)))[0]
-    _, places = np.unique(everywhere, return_counts=True)
-    return entries, counts, places
+
+
+def _document_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Entries and the number of documents that have each."""
+    found = [np.zeros(0, np.uint64)]
+    for words, entries, before in _parts(texts):
+        owner = words.text.astype(np.uint64) + np.uint64(before)
+        found += [_distinct(entry[entry != 0], owner[entry != 0])[0] for entry in entries]
+    return np.unique(np.concatenate(found), return_counts=True)
+
+
+def _context_counts(texts: list[str], keys: np.ndarray) -> np.ndarray:
+    """Number of different words before each of the sorted entries ``keys``.
+
+    Copies of a text repeat an entry in one context; a word of the language of insults has many.
+    """
+    wanted = _Lookup(keys, keys)
+    found = [(np.zeros(0, np.uint64), np.zeros(0, np.uint64))]
+    for words, entries, _ in _parts(texts):
+        context = np.roll(words.hashes, 1)
+        context[:1] = 0
+        for entry in entries:
+            at, key = wanted.find(entry)
+            found.append(_distinct(key, context[at]))
+    everywhere = _distinct(*(np.concatenate(column) for column in zip(*found)))[0]
+    return np.bincount(np.searchsorted(keys, everywhere), minlength=len(keys))
 
 
 def _distinct(entries: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -247,16 +258,22 @@ def _distinct(entries: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def _learned_lexicon(toxic: list[str], clean: list[str]) -> Lexicon:
-    keys, inside, places = _entry_counts(toxic)
-    other, outside, _ = _entry_counts(clean)
+    keys, inside = _document_counts(toxic)
+    other, outside = _document_counts(clean)
     spot = np.minimum(np.searchsorted(other, keys), max(len(other) - 1, 0))
     n_clean = np.where(other[spot] == keys, outside[spot], 0) if len(other) else np.zeros(len(keys))
-    support = np.minimum(inside, places)
-    a, c = support + 0.5, n_clean + 0.5
-    odds = np.log(a / (len(toxic) + 1)) - np.log(c / (len(clean) + 1))
-    bound = odds - DEVIATIONS * np.sqrt(1 / a + 1 / c)
     least = max(LEAST_PLACES, LEAST_SHARE * len(toxic))
-    kept = np.flatnonzero((support >= least) & (bound > LEAST_ODDS))
+
+    def judged(support: np.ndarray, n_clean: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        a, c = support + 0.5, n_clean + 0.5
+        odds = np.log(a / (len(toxic) + 1)) - np.log(c / (len(clean) + 1))
+        bound = odds - DEVIATIONS * np.sqrt(1 / a + 1 / c)
+        return np.flatnonzero((support >= least) & (bound > LEAST_ODDS)), odds, bound
+
+    # Support can only fall by contexts, so contexts are counted for what passes without them.
+    some, _, _ = judged(inside, n_clean)
+    keys, inside, n_clean = keys[some], inside[some], n_clean[some]
+    kept, odds, bound = judged(np.minimum(inside, _context_counts(toxic, keys)), n_clean)
     kept = kept[np.argsort(-bound[kept], kind="stable")[:MOST_ENTRIES]]
     return Lexicon(keys[kept], odds[kept])
 
