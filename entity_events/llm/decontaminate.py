@@ -149,8 +149,9 @@ def _rows(texts: Texts, lengths: list[int], bitmap: np.ndarray | None) -> tuple[
     return np.concatenate(owner), columns
 
 
-def _windows(df: DataFrame, keys: list[str], lengths: list[int], bitmap: np.ndarray | None) -> DataFrame:
+def _windows(df: DataFrame, keys: list[str], lengths: list[int], packed: np.ndarray | None) -> DataFrame:
     def emitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = None if packed is None else np.unpackbits(packed, bitorder="little").astype(bool)
         for batch in batches:
             for texts in text_slices(batch.column("text")):
                 owner, columns = _rows(texts, lengths, bitmap)
@@ -163,7 +164,10 @@ def _windows(df: DataFrame, keys: list[str], lengths: list[int], bitmap: np.ndar
 
 
 def _bitmap(windows: DataFrame) -> np.ndarray:
-    """The filter over the hashes of ``windows``, gathered as at most ``2 ** FILTER_BITS / 64`` numbers."""
+    """The filter over the hashes of ``windows``, eight bits a byte.
+
+    Gathered as at most ``2 ** FILTER_BITS / 64`` numbers; tasks get it packed.
+    """
 
     def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(1 << FILTER_BITS, bool)
@@ -178,7 +182,7 @@ def _bitmap(windows: DataFrame) -> np.ndarray:
     gathered = cells.toArrow()
     packed = np.zeros((1 << FILTER_BITS) // 64, np.int64)
     packed[gathered.column("cell").to_numpy()] = gathered.column("bits").to_numpy()
-    return np.unpackbits(packed.view(np.uint8), bitorder="little").astype(bool)
+    return packed.view(np.uint8)
 
 
 def _agree(eq: Column, start: int, backwards: bool) -> Column:
