@@ -13,8 +13,11 @@ passages that many documents share, families of copies) are left out like empty
 is made up for elsewhere, by what it costs. A set that leaves out more than ``SPARE`` segments raises as many
 of its best other segments from the same subset to subsets that differ in one shingle, through the one-deletion
 neighbourhoods of both sides. Where a set has too few other segments even for that, the sets of its family of
-groups are compared block by block, by products of incidence matrices. So no link is lost, and no group is
-ever written out as all its pairs.
+groups are compared block by block, by products of incidence matrices; and it shows all its subsets, those in
+large groups too, to the neighbourhoods of sets that could still raise. (Of two sets that both could, the one
+with more left out raises enough segments that neither leaves out.) Sets that have too few because nearly all
+their segments are empty are one family a band. So no link is lost, and no group is ever written out as all
+its pairs.
 
 Plan: one pass computes sets and subsets in ``mapInArrow``, free of repeats within a batch, and packs them by
 bucket of their hash, so the shuffle moves few and large rows of 12 bytes a subset; a bucket is worked out by
@@ -564,12 +567,16 @@ def _raise(packer: Packer, values: np.ndarray, tag: int, band: int, gids: list[i
     best = np.zeros(len(usable), bool)
     best[np.argsort(np.where(usable, -subsets.sizes, 1), kind="stable")[:needed]] = True
     best &= usable
+    shown = ~large
     if best.sum() < needed:
         best[:] = False
+        # Sets that are not marked may meet this one only where it is in large groups.
+        shown[:] = True
         packer.mark(band, np.array([tag]))
-    signatures, subset = subsets.deletions(usable)
+    # Without its only shingle a subset is empty, and empty segments are not raised.
+    signatures, subset = subsets.deletions(shown & (subsets.sizes > 1))
     packer.add(signatures, band, np.full(len(subset), tag), best[subset])
-    packer.add(subsets.signatures[usable], band, np.full(int(usable.sum()), tag), best[usable])
+    packer.add(subsets.signatures[shown], band, np.full(int(shown.sum()), tag), best[shown])
 
 
 # Components
@@ -638,7 +645,8 @@ def _links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     blocks = None
     if not left_out.isEmpty():
         near = written(_grouped(_raised(docs, classes, left_out, buckets)), "near")
-        saturated = near.where("gid < 0").select("tag").distinct()
+        marked = near.where("gid < 0").select("tag", "band").distinct()
+        saturated = marked.select("tag").distinct()
         near = near.where("gid >= 0")
         one = near.where(F.col("flag") & (F.col("size") <= LARGE)).select("gid", F.col("tag").alias("one"))
         two = near.where(F.col("size") <= LARGE).select("gid", F.col("tag").alias("two"))
@@ -649,6 +657,10 @@ def _links(docs: DataFrame, classes: DataFrame) -> DataFrame:
         crowded = members.where(F.col("size") > LARGE).join(saturated, "tag", "left_semi").select("pivot", "tag")
         probed = near.where((F.col("size") > LARGE) & F.col("flag")).select("gid").distinct()
         crowded = crowded.union(near.join(probed, "gid", "left_semi").select("pivot", "tag"))
+        # Two that have too few segments may have only empty ones in common.
+        bare = marked.join(slack.where("slack < 0"), ["tag", "band"], "left_semi")
+        lowest = bare.groupBy("band").agg(F.min("tag").alias("pivot"))
+        crowded = crowded.union(bare.join(lowest, "band").select("pivot", "tag"))
         tied = crowded.select(F.lpad(F.hex("tag"), 16, "0").alias("a"), F.lpad(F.hex("pivot"), 16, "0").alias("b")).distinct()
         if not tied.isEmpty():
             family = components(tied).toDF("hex", "family")

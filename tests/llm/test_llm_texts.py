@@ -3,11 +3,14 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from entity_events.llm import decontaminate, fingerprints, mixing, ngram_join, secrets, token_counts
+from entity_events.llm.common import text_slices
 from tests.llm import plain
 
 DOCS = "doc_id long, text string, source string, row string, size long, copies int, tag string, spans string"
@@ -245,6 +248,57 @@ def test_join_where_no_segment_is_spare(make, monkeypatch):
     compare_join(make, list(enumerate(near_copies(random.Random(8)))))
 
 
+def test_join_of_a_hub_with_many_variants(make):
+    """All segments of the hub are in large groups; some texts link to it alone."""
+    rng = random.Random(12)
+    base = [f"h{i}" for i in range(104)]
+    texts = [" ".join(base)]
+    for i in range(90):
+        at = 5 + i // 2
+        texts.append(" ".join([*base[:at], f"v{i}", *base[at + 1 :]]))
+    for i in range(60):
+        copy, at = list(base), rng.randrange(55, 80)
+        copy[at], copy[rng.randrange(at + 5, 98)] = f"x{i}", f"y{i}"
+        texts.append(" ".join(copy))
+    sets = [plain.shingles(text) for text in texts]
+    ties = [[j for j in range(len(texts)) if j != i and plain.linked(sets[i], sets[j])] for i in range(len(texts))]
+    assert len(ties[0]) > 2 * ngram_join.LARGE and ties.count([0]) > 0
+    compare_join(make, list(enumerate(texts)))
+
+
+def test_join_of_sets_in_one_segment(make):
+    """Two linked sets whose shingles all lie in one segment have only empty segments in common."""
+    rng = random.Random(13)
+    band = int(ngram_join.bands_of(np.array([8]))[1][0])
+
+    def segments(text):
+        values, offsets = ngram_join.shingle_sets(next(text_slices(pa.array([text]))))
+        return set(ngram_join.Subsets(values, offsets, band).segment.tolist())
+
+    text = words(rng, 5, 10**6)
+    wanted = segments(" ".join(text))
+    while len(text) < 14:
+        more = [*text, *words(rng, 1, 10**6)]
+        if segments(" ".join(more)) == wanted:
+            text = more
+    compare_join(make, [(1, " ".join(text)), (2, " ".join(text[:12])), (3, "other words of another text here")])
+
+
+def test_subsets_of_one_shingle_are_shown():
+    """A set that raises meets the subset of one shingle, with which its own has all but one in common."""
+    values = np.sort(np.random.default_rng(14).integers(0, 2**64, 100, dtype=np.uint64))
+    band = int(ngram_join.bands_of(np.array([100]))[1][0])
+    subsets = ngram_join.Subsets(values, np.array([0, 100]), band)
+    high, code = ngram_join._code(subsets.signatures, band)
+    packer = ngram_join.Packer(64)
+    gids = ((high * np.uint64(64) >> np.uint64(32)) << np.uint64(32) | code.astype(np.uint64)).astype(np.int64)
+    single = subsets.sizes == 1
+    left = gids[~single][: int(ngram_join.SPARE[band]) + 2].tolist()
+    ngram_join._raise(packer, values, 1, band, left)
+    shown = {int(code) for _, codes, _, flags in packer.parts for code, flag in zip(codes, flags) if flag != ngram_join.MARKED}
+    assert single.any() and set(code[single].tolist()) <= shown
+
+
 def test_one_document_of_each_component_stays(make):
     texts = ["x y z a b c d e f g h"] * 3 + ["", None, "", "other words of another text here"]
     docs = documents(make, texts)
