@@ -3,8 +3,9 @@
 Each text is scanned for assignments (``api_key = ...``), access keys and long runs of hexadecimal digits.
 Beyond these, any long run of key letters is a candidate. What a candidate is worth depends on the corpus:
 the hashes of candidate values are counted by distinct repositories and distinct owners. A value that many
-owners have is a copied example; a value that stays with one owner, and whose letters look random, looks
-live. Live-looking candidates become spans of the kind ``live`` besides those found by the rules.
+owners have, or that is in many repositories even of one owner, is a copied example; a value that stays with one
+owner and few repositories, and whose letters look random, looks live. Live-looking candidates become spans of
+the kind ``live`` besides those found by the rules. Spans of the rules are kept and masked whatever their counts.
 
 Plan: one pass of ``mapInArrow`` finds the spans and candidates of each text. Candidate hashes are freed of
 repeats by (hash, owner, repository) with partial aggregation before the shuffle, counted in two steps, and
@@ -45,6 +46,8 @@ ASSIGN_LETTERS, ACCESS_LETTERS, HEX_LETTERS = 12, 18, 16
 KEY_LETTERS, KEY_CLASSES, KEY_BITS = 20, 3, 3.5
 #: Owners from which on a value is a copied example.
 EXAMPLE_OWNERS = 2
+#: Repositories from which on a value is a copied example, even under one owner.
+EXAMPLE_REPOSITORIES = 100
 
 MASK = "[SECRET]"
 
@@ -161,13 +164,21 @@ def _without_overlap(span: Column, base: Column) -> Column:
 
 
 def scan(
-    docs: DataFrame, owner: str = "source", repository: str = "doc_id", example_owners: int = EXAMPLE_OWNERS
+    docs: DataFrame,
+    owner: str = "source",
+    repository: str = "doc_id",
+    example_owners: int = EXAMPLE_OWNERS,
+    example_repositories: int = EXAMPLE_REPOSITORIES,
 ) -> DataFrame:
     """``doc_id``, ``text_hash`` and ``spans`` (start, end, kind, owners, live) of every text that has any.
 
     Base spans stay whatever their value; a candidate stays where its value has fewer than
-    ``example_owners`` owners and where no base span covers it.
+    ``example_owners`` owners and ``example_repositories`` repositories and where no base span covers it.
     """
+
+    def live(span: Column) -> Column:
+        return (span["owners"] < example_owners) & (span["repositories"] < example_repositories)
+
     needed = list(dict.fromkeys(["doc_id", "text_hash", owner, repository]))
     found = found_spans(keyed(docs).select(*dict.fromkeys([*needed, "text"])), *needed)
     # Two uses follow; the texts are scanned once. Only texts with a span leave rows.
@@ -183,7 +194,7 @@ def scan(
     kept = F.filter(
         "all",
         lambda s: (s["span"]["kind"] != "live")
-        | ((s["owners"] < example_owners) & _without_overlap(s["span"], F.col("base"))),
+        | (live(s) & _without_overlap(s["span"], F.col("base"))),
     )
     spans = F.transform(
         kept,
@@ -192,7 +203,7 @@ def scan(
             s["span"]["end"].alias("end"),
             s["span"]["kind"].alias("kind"),
             s["owners"].alias("owners"),
-            (s["owners"] < example_owners).alias("live"),
+            live(s).alias("live"),
         ),
     )
     return joined.select("doc_id", "text_hash", spans.alias("spans"))

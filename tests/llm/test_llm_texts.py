@@ -348,6 +348,19 @@ def test_a_value_of_one_owner_is_live_and_of_many_an_example(make):
     assert spans == {0: [("live", True)], 1: [], 2: []}
 
 
+def test_a_value_in_many_repositories_of_one_owner_is_an_example(make):
+    key, copied = "aB3dE6gH9jK2mN5pQ8sT1vW4", "zY9xW6vU3tS0rQ7pO4nM1lK8"
+    n = secrets.EXAMPLE_REPOSITORIES
+    texts = [f"copy {copied}"] * n + [f"one {key}"] * (n - 1)
+    docs = documents(make, texts, {i: "a" for i in range(len(texts))})
+    spans = [len(row.spans) for row in sorted(secrets.with_spans(docs).collect(), key=lambda row: row.doc_id)]
+    assert spans == [0] * n + [1] * (n - 1)
+    masked = {row.doc_id: row.text for row in secrets.redacted(docs).collect()}
+    assert (masked[0], masked[n]) == (texts[0], f"one {secrets.MASK}")
+    few = {row.doc_id for row in secrets.with_spans(docs, example_repositories=n + 1).collect() if row.spans}
+    assert len(few) == len(texts)
+
+
 def test_redacted(make):
     docs = make(
         [(1, "é password=hunter2hunter2 x 0123456789abcdef y", "s", 44), (2, None, None, None), (3, "clean", "s", 5)],
