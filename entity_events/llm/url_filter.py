@@ -40,8 +40,60 @@ LEAST_STRENGTH, MOST_STRENGTH = 1.0, 1000.0
 #: Standard deviations below the mean at which the bound lies, and the rate above which a page is blocked.
 DEVIATIONS, LIMIT = 1.64, 0.5
 
-#: Suffixes of two labels under which names are registered; all other suffixes are one label.
-LONG_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "co.nz", "com.br", "co.in")
+
+def _under(country: str, names: str) -> tuple[str, ...]:
+    return tuple(f"{name}.{country}" for name in names.split())
+
+
+#: Suffixes of two labels under which names are registered, by registries and by hosts of many sites; all other
+#: suffixes are taken to be one label. A choice of the widely used ones, not the public suffix list.
+LONG_SUFFIXES = (
+    *_under("uk", "co org ac gov ltd plc me net nhs sch police"),
+    *_under("au", "com net org edu gov id asn"),
+    *_under("jp", "co ne or ac go ed ad gr lg"),
+    *_under("nz", "co net org ac govt school geek gen iwi maori"),
+    *_under("br", "com net org gov edu art blog eco ind inf jus leg mil"),
+    *_under("in", "co net org ac edu gov firm gen ind nic res"),
+    *_under("cn", "com net org edu gov ac mil"),
+    *_under("kr", "co ne or ac go re pe"),
+    *_under("tw", "com net org edu gov idv"),
+    *_under("hk", "com net org edu gov idv"),
+    *_under("sg", "com net org edu gov per"),
+    *_under("my", "com net org edu gov name"),
+    *_under("id", "co or ac go web sch my net"),
+    *_under("th", "co in or ac go net"),
+    *_under("vn", "com net org edu gov"),
+    *_under("ph", "com net org edu gov"),
+    *_under("pk", "com net org edu gov"),
+    *_under("bd", "com net org edu gov ac"),
+    *_under("za", "co org ac gov net web"),
+    *_under("ng", "com net org edu gov"),
+    *_under("ke", "co or ac go ne"),
+    *_under("eg", "com net org edu gov"),
+    *_under("il", "co org ac gov net muni"),
+    *_under("tr", "com net org edu gov gen web bel k12"),
+    *_under("sa", "com net org edu gov"),
+    *_under("ua", "com net org edu gov in kiev"),
+    *_under("ru", "com org net msk spb"),
+    *_under("pl", "com net org edu gov info waw"),
+    *_under("at", "co or ac gv"),
+    *_under("hu", "co org"),
+    *_under("es", "com nom org gob edu"),
+    *_under("pt", "com org edu gov"),
+    *_under("gr", "com net org edu gov"),
+    *_under("fr", "com asso gouv nom"),
+    *_under("it", "gov edu"),
+    *_under("mx", "com net org edu gob"),
+    *_under("ar", "com net org edu gob gov int mil"),
+    *_under("co", "com net org edu gov nom"),
+    *_under("pe", "com net org edu gob nom"),
+    *_under("ve", "com co net org edu gob"),
+    *_under("ec", "com net org edu gob fin"),
+    *_under("uy", "com net org edu gub"),
+    *("github.io", "gitlab.io", "blogspot.com", "wordpress.com", "netlify.app", "vercel.app", "pages.dev", "web.app"),
+    *("herokuapp.com", "firebaseapp.com", "workers.dev", "azurewebsites.net", "cloudfront.net", "appspot.com"),
+    *("readthedocs.io", "tumblr.com", "weebly.com", "wixsite.com", "livejournal.com", "uk.com", "us.com", "eu.org"),
+)
 
 _ADDRESS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -68,12 +120,12 @@ def matching_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     return F.coalesce(*(F.when(fits(rules[i]), F.lit(i)) for i in places))
 
 
-def _levels(host: Column) -> tuple[Column, Column]:
+def _levels(host: Column, suffixes: Sequence[str]) -> tuple[Column, Column]:
     """Registered domain and suffix of a host; an address of numbers is its own domain and suffix."""
     name = F.regexp_replace(host, r"^.*@|:[0-9]*$", "")
     labels = F.split(name, r"\.")
     two = F.substring_index(name, ".", -2)
-    long = two.isin(*LONG_SUFFIXES)
+    long = two.isin(*suffixes)
     numbers = name.rlike(r"^[0-9.]+$") | name.contains("[")
     suffix = F.when(numbers, name).when(long, two).otherwise(F.element_at(labels, -1))
     domain = F.when(numbers, name).when(long, F.substring_index(name, ".", -3)).otherwise(two)
@@ -111,34 +163,37 @@ def _below(groups: DataFrame, parents: DataFrame, parent: str) -> DataFrame:
     return groups.join(parents.select(F.col(parent), F.col("mean").alias("parent_mean")), parent)
 
 
-def reputations(outcomes: DataFrame) -> dict[str, DataFrame]:
+def reputations(outcomes: DataFrame, suffixes: Sequence[str] = LONG_SUFFIXES) -> dict[str, DataFrame]:
     """Posteriors of hosts, domains, suffixes and of everything, from ``outcomes`` (host, bad 0/1)."""
-    domain, suffix = _levels(F.col("host"))
+    domain, suffix = _levels(F.col("host"), suffixes)
     bad = F.sum("bad").alias("bad")
     hosts = outcomes.groupBy("host").agg(F.count("bad").alias("pages"), bad)
     hosts = hosts.withColumn("domain", domain).withColumn("suffix", suffix)
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("pages").alias("pages"), bad)
-    suffixes = hosts.groupBy("suffix").agg(F.sum("pages").alias("pages"), bad)
+    ends = hosts.groupBy("suffix").agg(F.sum("pages").alias("pages"), bad)
     totals = hosts.agg(F.coalesce(F.sum("pages"), F.lit(0)).alias("pages"), F.coalesce(bad, F.lit(0)).alias("bad"))
     weight = F.col("pages") + PRIOR_STRENGTH
     everything = totals.select(weight.alias("weight"), ((F.col("bad") + PRIOR_MEAN * PRIOR_STRENGTH) / weight).alias("mean"))
-    suffixes = _posterior(suffixes.withColumn("parent_mean", everything.select("mean").scalar()))
-    domains = _posterior(_below(domains, suffixes, "suffix"))
+    ends = _posterior(ends.withColumn("parent_mean", everything.select("mean").scalar()))
+    domains = _posterior(_below(domains, ends, "suffix"))
     hosts = _posterior(_below(hosts, domains, "domain"))
-    return {"host": hosts, "domain": domains, "suffix": suffixes, "all": everything}
+    return {"host": hosts, "domain": domains, "suffix": ends, "all": everything}
 
 
-def judged(pages: DataFrame, outcomes: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+def judged(
+    pages: DataFrame, outcomes: DataFrame, rules: Sequence[Rule], suffixes: Sequence[str] = LONG_SUFFIXES
+) -> DataFrame:
     """``page_id``, ``host``, ``path``, ``rule``, ``verdict`` and ``bad_bound`` of every page.
 
     ``pages`` has page_id and url, ``outcomes`` page_id and bad (0 or 1). A host without outcomes is judged by
-    its domain, suffix, or all pages, whichever is the nearest with any.
+    its domain, suffix, or all pages, whichever is the nearest with any. ``suffixes`` are the suffixes of two
+    labels under which names are registered.
     """
     pages = pages.select("page_id", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
     known = outcomes.where("bad is not null").select(F.col("page_id").alias("outcome_of"), "bad")
     found = pages.join(known, F.col("page_id") == F.col("outcome_of")).select("host", "bad")
-    levels = reputations(found)
-    domain, suffix = _levels(F.col("host"))
+    levels = reputations(found, suffixes)
+    domain, suffix = _levels(F.col("host"), suffixes)
     pages = pages.withColumn("domain", domain).withColumn("suffix", suffix)
     everything = levels.pop("all").select(F.struct("weight", "mean")).scalar()
     for level, groups in levels.items():

@@ -207,6 +207,18 @@ def test_reputation_shrinks_to_domain_and_suffix(make):
     assert all(row.rule is None for row in found.values())
 
 
+def test_hosts_under_long_suffixes_are_domains_of_their_own(make):
+    hosts = ["a.com.cn", "x.b.com.cn", "c.co.kr", "d.gov.uk", "e.github.io", "f.co.uk", "y.g.org", "h.shop.test"]
+    outcomes = make([(name, 1) for name in hosts], "host string, bad long")
+    domains = {row.domain: row.suffix for row in url_filter.reputations(outcomes)["domain"].collect()}
+    assert domains == {
+        **{"a.com.cn": "com.cn", "b.com.cn": "com.cn", "c.co.kr": "co.kr", "d.gov.uk": "gov.uk"},
+        **{"e.github.io": "github.io", "f.co.uk": "co.uk", "g.org": "org", "shop.test": "test"},
+    }
+    own = {row.domain for row in url_filter.reputations(outcomes, ["shop.test"])["domain"].collect()}
+    assert "h.shop.test" in own and "com.cn" in own
+
+
 # Chats
 
 LOG = "conv_id long, message int, seq int, kind string, role string, text string"
