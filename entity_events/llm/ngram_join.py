@@ -25,7 +25,8 @@ sorting. Candidates are first held against the sizes of their sets and sketches
 never rule out a link; then the sets of what is left are computed anew and sent to the groups that compare
 them. Links join as components by
 alternating large-star and small-star steps over a table in the shared folder; the driver sees counts only.
-The number of buckets follows ``spark.sql.shuffle.partitions``; it is the setting that bounds a bucket.
+The number of buckets follows ``spark.sql.shuffle.partitions``, which bounds a bucket only on average: all sets
+that share one subset have one signature and meet in one task, which no setting splits.
 
 Defined results: a null or empty text, or one without words, has no shingles and links with nothing, not even
 its like; fewer than five words are one shingle; equal sets are one class and link; a repeated row is a member
