@@ -151,3 +151,113 @@ SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_it
     sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
 FROM docs LEFT JOIN covered USING (place) LEFT JOIN named USING (place)
 """
+
+
+# The scores of all anchors with all rows, then the ranks by window functions.
+ORACLES["op12_hard_negatives"] = """
+WITH usable AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, row_number() OVER () AS place,
+        list_transform(embedding, lambda x: CAST(floor(x::DOUBLE * 256) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.place AS anchor, a.vec_id AS anchor_id, r.vec_id, r.label = a.label AS same,
+        CAST(list_sum(list_transform(list_zip(a.v, r.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM usable a JOIN usable r ON a.place <> r.place WHERE a.vec_id % 50 = 0
+), positives AS (
+    SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) AS nth FROM scored WHERE same
+    QUALIFY nth <= 5
+), negatives AS (
+    SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+        row_number() OVER (PARTITION BY p.anchor, p.nth ORDER BY n.score DESC, n.vec_id) AS turn
+    FROM positives p JOIN scored n ON p.anchor = n.anchor AND NOT n.same
+        AND 100 * n.score BETWEEN 50 * p.score AND 95 * p.score
+    QUALIFY turn <= 3
+)
+SELECT anchor_id, positive_id, CAST(turn AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM negatives
+"""
+
+
+def _vote(place: int, bad: str, good: str) -> str:
+    return f"(CASE WHEN {bad} THEN 0 WHEN {good} THEN 2 ELSE 1 END) * {3**place}"
+
+
+def _low_is_good(place: int, count: str, good: float, bad: float, of: str = "n_words") -> str:
+    share = f"{count}::DOUBLE / nullif({of}, 0)"
+    return _vote(place, f"{share} > {bad}", f"{share} < {good}")
+
+
+_VOTES = " + ".join(
+    [
+        _vote(0, "n_words < 50", "n_words BETWEEN 100 AND 100000"),
+        _vote(
+            1,
+            "word_chars::DOUBLE / nullif(n_words, 0) < 2 OR word_chars::DOUBLE / nullif(n_words, 0) > 15",
+            "word_chars::DOUBLE / nullif(n_words, 0) BETWEEN 3 AND 10",
+        ),
+        _low_is_good(2, "n_symbols", 0.02, 0.1),
+        _low_is_good(3, "n_dup_lines", 0.1, 0.6, of="n_lines"),
+        _low_is_good(4, "n_repeat_words", 0.2, 0.4),
+        _low_is_good(5, "n_capitals", 0.1, 0.4),
+        _low_is_good(6, "n_marks", 0.02, 0.1),
+        _low_is_good(7, "n_separators", 0.02, 0.1),
+        _low_is_good(8, "n_endings", 0.05, 0.2),
+    ]
+)
+
+_CAPITALS = r"\p{Lu}{2,}"
+_COUNT = "CAST(len(regexp_extract_all(t, '{}')) AS BIGINT)".format
+
+# Rounds of expectation-maximisation as a recursive table: a row per pattern and rule, with the model beside it.
+ORACLES["op11_quality_rules"] = f"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, row_number() OVER () AS place, coalesce(text, '') AS t,
+        regexp_extract_all(coalesce(text, ''), '{WORD}') AS words,
+        list_filter(string_split(coalesce(text, ''), chr(10)), lambda line: regexp_matches(line, '{WORD}')) AS lines
+    FROM documents
+), windows AS (
+    SELECT place, unnest(range(1, len(words) - 1)) AS i, array_to_string(words[i : i + 2], ' ') AS gram FROM docs WHERE len(words) > 2
+), repeated AS (
+    SELECT place, count(DISTINCT word) AS n FROM (
+        SELECT place, unnest([i, i + 1, i + 2]) AS word FROM (SELECT *, count(*) OVER (PARTITION BY place, gram) AS seen FROM windows) WHERE seen > 1
+    ) GROUP BY place
+), counted AS (
+    SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+        {_COUNT("[#*$%&|<>]")} AS n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+        coalesce(n, 0) AS n_repeat_words, len(lines) AS n_lines, {_COUNT(r"\p{{Lu}}{{2,}}".replace("{{", "{").replace("}}", "}"))} AS n_capitals,
+        {_COUNT("[.!?]{2,}")} AS n_marks,
+        len(list_filter(words, lambda w: NOT regexp_matches(w, '[\p{{L}}\p{{N}}]'))) AS n_separators,
+        len(list_filter(words, lambda w: regexp_matches(w, '[^\p{{L}}\p{{N}}.,;:!?''")\]]$'))) AS n_endings
+    FROM docs LEFT JOIN repeated USING (place)
+), voted AS (
+    SELECT *, {_VOTES} AS pattern FROM counted
+), patterns AS (
+    SELECT pattern, count(*)::DOUBLE AS n FROM voted GROUP BY pattern
+), votes AS (
+    SELECT pattern, n, rule, (pattern // CAST(pow(3, rule) AS BIGINT)) % 3 AS vote FROM patterns, range(9) r(rule)
+), em AS (
+    SELECT 0 AS round, rule, 0.8::DOUBLE AS share, 0.995::DOUBLE AS on_good, 0.3::DOUBLE AS on_bad FROM range(9) r(rule)
+    UNION ALL
+    SELECT round + 1, rule, (sum(n * p) OVER () / 9 + 1) / (sum(n) OVER () / 9 + 2), g, greatest(b, 1 - g)
+    FROM (
+        SELECT any_value(round) AS round, rule, sum(n) AS n, sum(n * p) / sum(n) AS p,
+            (sum(n * p * (vote = 2)::INT) + 1) / (sum(n * p * (vote <> 1)::INT) + 2) AS g,
+            (sum(n * (1 - p) * (vote = 0)::INT) + 1) / (sum(n * (1 - p) * (vote <> 1)::INT) + 2) AS b
+        FROM (
+            SELECT v.*, round, 1 / (1 + exp(-(ln(share) - ln(1 - share) + sum(CASE vote
+                WHEN 2 THEN ln(on_good) - ln(1 - on_bad) WHEN 0 THEN ln(1 - on_good) - ln(on_bad) ELSE 0 END)
+                OVER (PARTITION BY pattern)))) AS p
+            FROM votes v JOIN em USING (rule) WHERE round < 30
+        ) GROUP BY rule
+    )
+), qualities AS (
+    SELECT pattern, 1 / (1 + exp(-(any_value(ln(share) - ln(1 - share)) + sum(CASE vote
+        WHEN 2 THEN ln(on_good) - ln(1 - on_bad) WHEN 0 THEN ln(1 - on_good) - ln(on_bad) ELSE 0 END)))) AS quality
+    FROM votes JOIN em USING (rule) WHERE round = 30 GROUP BY pattern
+), judged AS (
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM voted JOIN qualities USING (pattern)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND quality >= 0.5 AS kept
+FROM judged
+"""

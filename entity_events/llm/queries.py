@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entity_events.llm import chat, decontaminate, fingerprints, language, mixing, ngram_join, secrets, token_counts, toxicity, url_filter
+from entity_events.llm import (
+    alignment,
+    chat,
+    decontaminate,
+    fingerprints,
+    hard_negatives,
+    language,
+    mixing,
+    ngram_join,
+    quality_rules,
+    secrets,
+    token_counts,
+    toxicity,
+    url_filter,
+)
 from entity_events.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,3 +138,23 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     outcomes = table(spark, folder, "labels").select(F.col("doc_id").alias("page_id"), bad.cast("long").alias("bad"))
     pages = table(spark, folder, "pages").select("page_id", "url")
     return url_filter.judged(pages, outcomes, RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+@register("op11_quality_rules")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality_rules.assessed(table(spark, folder, "documents"), ["doc_id"])
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judged.select("row.doc_id", *counts, "base_failed", "kept")
+
+
+@register("op12_hard_negatives")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label").cast("long")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mined(table(spark, folder, "embeddings"), vec_id % 50 == 0, moved)
+
+
+@register("op13_align_tokens")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.aligned(table(spark, folder, "documents"), *paths)
