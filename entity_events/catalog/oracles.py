@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from entity_events import fixed_values as fixed
-from entity_events.catalog.queries import END, POLL_SECONDS, SETTINGS, START, STATIC
+from entity_events.catalog.queries import END, MIDDLE, POLL_SECONDS, SETTINGS, START, STATIC
 from entity_events.operators import quality
+from entity_events.operators.manifest import SCHEMA_NAME
 from entity_events.settings import Targets
 from entity_events.sources import supplied
 
@@ -525,8 +526,17 @@ ORACLES["c9_stream_constants"] = _over(
 )
 ORACLES["k1_append_stream"] = _over(
     "mixed",
-    "SELECT dataset, CAST(CAST(time AS DATE) AS VARCHAR) AS day, count(*) AS documents, "
-    f"{_decimal('sum(as_float)')} AS total FROM docs_mixed GROUP BY 1, 2",
+    f"SELECT CASE WHEN time < {_moment_literal(MIDDLE)} OR dataset NOT IN (SELECT dataset FROM docs_mixed "
+    f"WHERE time < {_moment_literal(MIDDLE)}) THEN 1::BIGINT ELSE 2 END AS generation, dataset, "
+    "CAST(CAST(time AS DATE) AS VARCHAR) AS day, count(*) AS documents, "
+    f"{_decimal('sum(as_float)')} AS total FROM docs_mixed GROUP BY 1, 2, 3",
+)
+_HALF = f"(SELECT count(*) FROM docs_mixed WHERE time < {_moment_literal(MIDDLE)})"
+ORACLES["k5_append_counts"] = _over(
+    "mixed",
+    f"SELECT CAST(batch AS BIGINT) AS batch, CASE batch WHEN 0 THEN {_HALF} WHEN 1 THEN count(*) - {_HALF} ELSE 0 END AS created, "
+    f"CASE batch WHEN 0 THEN 0 WHEN 1 THEN {_HALF} ELSE count(*) END AS refused, 0::BIGINT AS failed "
+    "FROM docs_mixed, range(3) b(batch) GROUP BY batch",
 )
 ORACLES["k2_action_envelope"] = _over(
     "mixed",
@@ -622,6 +632,12 @@ ORACLES["k7_generation_rollover"] = _with(
     "streams",
     "current_streams",
 )
+ORACLES["k7_written_streams"] = _over(
+    "mixed",
+    f"SELECT '{SCHEMA_NAME}' AS name, CAST({fixed.SCHEMA_VERSION} AS INTEGER) AS schema_version, 2::INTEGER AS generation "
+    f"UNION ALL SELECT DISTINCT '{fixed.STREAM_TYPE}-' || dataset || '{supplied.STREAM_TAIL}', CAST({fixed.SCHEMA_VERSION} AS INTEGER), "
+    f"CASE WHEN min(time) < {_moment_literal(MIDDLE)} THEN 2::INTEGER ELSE 1 END FROM docs_mixed GROUP BY dataset",
+)
 _REGISTERED_SWITCH = "FROM reasons_switch WHERE entity_id IN (SELECT entity_id FROM entity)"
 ORACLES["t1_publish_stream"] = _with(
     f"SELECT entity_id, seq, state AS value, {_ACTION} AS action {_REGISTERED_SWITCH}",

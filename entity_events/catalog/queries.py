@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import astuple
 from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +26,7 @@ QUERIES: dict[str, Query] = {}
 
 START = datetime(2024, 1, 1, tzinfo=UTC)
 END = datetime(2024, 1, 31, tzinfo=UTC)
+MIDDLE = datetime(2024, 1, 16, tzinfo=UTC)
 POLL_SECONDS = 6 * 3600
 
 OPTIONS = {
@@ -680,13 +682,25 @@ def c9(spark: SparkSession, folder: str) -> DataFrame:
 @register("k1_append_stream")
 def k1(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_folder(spark)
+    manifest.ensure_schema(spark, sinks.manifest_path(path), version=1)
     rows = docs(spark, folder)
+    sinks.append(rows.where(F.col("timestamp") < F.lit(MIDDLE)), path)
+    manifest.ensure_schema(spark, sinks.manifest_path(path))
     sinks.append(rows, path)
     sinks.append(rows, path)
     stored = spark.read.parquet(path)
-    return stored.groupBy("dataset", F.col("event_date").cast("string").alias("day")).agg(
-        F.count(F.lit(1)).alias("documents"), decimal(F.sum("valueas.float")).alias("total")
-    )
+    return stored.groupBy(
+        F.col("generation").cast("bigint").alias("generation"), "dataset", F.col("event_date").cast("string").alias("day")
+    ).agg(F.count(F.lit(1)).alias("documents"), decimal(F.sum("valueas.float")).alias("total"))
+
+
+@register("k5_append_counts")
+def k5_append(spark: SparkSession, folder: str) -> DataFrame:
+    path = shared_folder(spark)
+    rows = docs(spark, folder)
+    half = rows.where(F.col("timestamp") < F.lit(MIDDLE))
+    told = [(i, *astuple(sinks.append(batch, path))) for i, batch in enumerate((half, rows, rows))]
+    return spark.createDataFrame(told, "batch long, created long, refused long, failed long")
 
 
 @register("k2_action_envelope")
@@ -739,6 +753,19 @@ def k7(spark: SparkSession, folder: str) -> DataFrame:
     return manifest.rolled_over(_manifest(spark, folder))
 
 
+@register("k7_written_streams")
+def k7_written(spark: SparkSession, folder: str) -> DataFrame:
+    """The manifest of a table that two appends wrote to, with an update of the schema between them."""
+    path = shared_folder(spark)
+    record = sinks.manifest_path(path)
+    manifest.ensure_schema(spark, record, version=1)
+    rows = docs(spark, folder)
+    sinks.append(rows.where(F.col("timestamp") < F.lit(MIDDLE)), path)
+    manifest.ensure_schema(spark, record)
+    sinks.append(rows, path)
+    return manifest.current(manifest.read(spark, record))
+
+
 # Streams: what each wrote, read back
 
 

@@ -8,27 +8,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from entity_events import fixed_values as fixed
+from entity_events import schemas
 from entity_events.operators.skew import HOT_ROWS, with_neighbours
 
 TICKS_AT_ONCE = 4096
 
 
 def drop_removals(events: DataFrame) -> DataFrame:
-    """Leave out events that tell an entity was removed."""
-    return events.where(F.col("new_state").isNotNull())
+    """Leave out events that tell an entity was removed; lines that could not be read are none."""
+    present = F.col("new_state").isNotNull()
+    if schemas.UNREADABLE_LINE in events.columns:
+        present = present | F.col(schemas.UNREADABLE_LINE).isNotNull()
+    return events.where(present)
 
 
 def classify_events(events: DataFrame) -> DataFrame:
-    """Readings with a reason from events that carry the old state: no state of our own is needed."""
+    """Readings with a reason from events that carry the old state: no state of our own is needed.
+
+    Lines that could not be read stay, with nothing but their text; they end in the quarantine.
+    """
     old, new = F.col("old_state"), F.col("new_state")
     changed = old.isNull() | ~old["state"].eqNullSafe(new["state"])
+    reason = F.when(new.isNull(), None).when(changed, fixed.STATE).otherwise(fixed.ATTRIBUTE)
+    seq = F.when(new.isNotNull(), F.coalesce(F.unix_micros(new["last_updated"]), F.lit(0)))
     return drop_removals(events).select(
         new["entity_id"].alias("entity_id"),
         F.col("time_fired").alias("time"),
-        F.coalesce(F.unix_micros(new["last_updated"]), F.lit(0)).alias("seq"),
+        seq.alias("seq"),
         new["state"].alias("state"),
         new["attributes"].alias("attributes"),
-        F.when(changed, fixed.STATE).otherwise(fixed.ATTRIBUTE).alias("reason"),
+        reason.alias("reason"),
+        *(name for name in events.columns if name == schemas.UNREADABLE_LINE),
     )
 
 

@@ -1,11 +1,14 @@
 """Which schema version the table has, and the generation each stream is writing to.
 
+An append records each stream it writes to; an update of the schema moves the streams that fit the pattern.
+
 The manifest is a small append-only table; the newest row of a name is its current state.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -67,10 +70,18 @@ def rolled_over(
     )
 
 
-def generation(spark: SparkSession, path: str) -> int:
-    """The generation that documents are written to now: that of the schema row, 1 before any."""
-    row = _schema_row(read(spark, path), fixed.SCHEMA_VERSION)
-    return row["generation"] if row else 1
+def join_streams(spark: SparkSession, path: str, streams: Sequence[str]) -> dict[str, int]:
+    """The generation that each of the streams is written to; those that are new are recorded with their first.
+
+    The record is made before anything is written, so a stream that has documents also has a row. The row of
+    the schema gives the version that new streams begin with.
+    """
+    known = {row["name"]: row for row in current(read(spark, path)).where(F.col("name").isin(SCHEMA_NAME, *streams)).collect()}
+    version = known[SCHEMA_NAME]["schema_version"] if SCHEMA_NAME in known else fixed.SCHEMA_VERSION
+    new = [(name, version, 1) for name in streams if name not in known]
+    if new:
+        spark.createDataFrame(new, MANIFEST).coalesce(1).write.mode("append").json(path)
+    return {name: known[name]["generation"] if name in known else 1 for name in streams}
 
 
 def ensure_schema(spark: SparkSession, path: str, version: int = fixed.SCHEMA_VERSION) -> str:

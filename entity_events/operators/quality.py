@@ -8,11 +8,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from entity_events import fixed_values as fixed
+from entity_events import schemas
 from entity_events.functions import text
 from entity_events.operators.skew import Lookup
 
 UNKNOWN_ENTITY = "entity not found"
 UNREADABLE = "attributes are not a JSON object"
+UNREADABLE_LINE = "line is not a change event"
 
 
 def first_per_point(documents: DataFrame) -> DataFrame:
@@ -62,9 +64,14 @@ def _unreadable() -> Column:
 
 
 def quarantined(readings: DataFrame, lookup: Lookup) -> DataFrame:
-    """Readings that cannot become documents, each with an ``error``; they never stop the others."""
+    """Readings that cannot become documents, each with an ``error``; they never stop the others.
+
+    Feed lines that could not be read are among them, with their text in ``unreadable_line``.
+    """
     known = lookup.with_rows(lookup.rows.select("entity_id", F.lit(True).alias("_known")))
     error = F.when(F.col("_known").isNull(), UNKNOWN_ENTITY).when(_unreadable(), UNREADABLE)
+    if schemas.UNREADABLE_LINE in readings.columns:
+        error = F.when(F.col(schemas.UNREADABLE_LINE).isNotNull(), UNREADABLE_LINE).otherwise(error)
     joined = known.join(readings, "left").withColumn("error", error)
     return joined.where(F.col("error").isNotNull()).drop("_known")
 

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
+from datetime import date, timedelta
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,38 +41,116 @@ def table_layout(documents: DataFrame) -> DataFrame:
     Rebalancing collects the rows of a stream and day into few files and, being adaptive, splits a
     stream and day that is too large for one task.
     """
-    laid_out = documents.withColumns(
-        {"dataset": F.col("data_stream.dataset"), "event_date": F.col("timestamp").cast("date")}
-    )
+    laid_out = documents.withColumns({"dataset": _dataset(), "event_date": _day()})
+    generation = [name for name in documents.columns if name == "generation"]
     return laid_out.hint("rebalance", "dataset", "event_date").sortWithinPartitions(
-        "dataset", "event_date", "object_id", "timestamp"
+        *generation, "dataset", "event_date", "object_id", "timestamp"
     )
 
 
-def append(documents: DataFrame, path: str, generation: int | None = None) -> None:
+def _dataset() -> Column:
+    return F.col("data_stream.dataset")
+
+
+def _day() -> Column:
+    return F.col("timestamp").cast("date")
+
+
+@dataclass(frozen=True)
+class Outcome:
+    """What an append did: documents created, refused because their point was there, and without a point."""
+
+    created: int
+    refused: int
+    failed: int
+
+
+@dataclass(frozen=True)
+class Touched:
+    """The days that a batch has of one stream."""
+
+    stream: str
+    dataset: str
+    days: tuple[date, ...]
+
+    def ranges(self) -> list[tuple[date, date]]:
+        """The days as stretches without a gap."""
+        found: list[tuple[date, date]] = []
+        for day in sorted(self.days):
+            if found and day - found[-1][1] <= timedelta(days=1):
+                found[-1] = found[-1][0], day
+            else:
+                found.append((day, day))
+        return found
+
+    def condition(self) -> Column:
+        """The folders of these days, in a form that prunes the stored table when it is planned."""
+        days = [F.col("event_date").between(F.lit(a), F.lit(b)) for a, b in self.ranges()]
+        return (F.col("dataset") == self.dataset) & reduce(or_, days)
+
+
+def touched_by(documents: DataFrame) -> tuple[list[Touched], int, int]:
+    """Streams and days of a batch, and how many documents have a point and how many have none.
+
+    One aggregate that reads three columns; its rows are one for each stream of the batch.
+    """
+    complete = _complete()
+    rows = (
+        documents.groupBy(text.stream_name(F.col("data_stream")).alias("stream"), _dataset().alias("dataset"))
+        .agg(
+            F.collect_set(F.when(complete, _day())).alias("days"),
+            F.count_if(complete).alias("complete"),
+            F.count_if(~complete).alias("failed"),
+        )
+        .collect()
+    )
+    touched = [Touched(row["stream"], row["dataset"], tuple(row["days"])) for row in rows if row["days"]]
+    return touched, sum(row["complete"] for row in rows), sum(row["failed"] for row in rows)
+
+
+def _complete() -> Column:
+    parts = (F.col("timestamp"), F.col("object_id"), text.stream_name(F.col("data_stream")))
+    return reduce(and_, (part.isNotNull() for part in parts))
+
+
+def append(documents: DataFrame, path: str, generation: int | None = None) -> Outcome:
     """Append documents to the table: one folder per generation, stream and day.
 
-    A point (stream, object id, timestamp) is created once: of several documents the first counts, and one
-    that the table has already is left as it is, so appending a batch again adds nothing. Only the folders
-    of the days that the batch has are read for that, and of those only the point columns. Without a
-    generation, that of the table's manifest is written to.
+    A point (stream, object id, timestamp) is created once, whatever generation it is in: of several
+    documents the first counts, and one that the table has already is left as it is, so appending a batch
+    again adds nothing and tells that all were refused. For that, only the point columns of the folders of the
+    streams and days that the batch has are read. A document without one of the three is counted as failed.
+
+    Without a generation, each stream is written to its own, which the table's manifest records from the
+    stream's first document on. What was created is counted in the table, before and after; with two
+    appends to the same days at a time those counts overlap.
     """
     spark = documents.sparkSession
-    if generation is None:
-        generation = manifest.generation(spark, manifest_path(path))
-    fresh = quality.first_per_point(documents)
-    target = f"{path}/generation={generation}"
-    stored = _stored_points(spark, target)
+    touched, complete, failed = touched_by(documents)
+    if not touched:
+        return Outcome(0, 0, failed)
+    fresh = quality.first_per_point(documents.where(_complete()))
+    stored = stored_points(spark, path, touched)
+    before = 0
     if stored is not None:
-        dataset, day = F.col("data_stream.dataset"), F.col("timestamp").cast("date")
+        before = stored.count()
         same = (
-            (dataset == F.col("_dataset"))
-            & (day == F.col("_day"))
+            (_dataset() == F.col("_dataset"))
+            & (_day() == F.col("_day"))
             & (F.col("object_id") == F.col("_object"))
             & (F.col("timestamp") == F.col("_time"))
         )
         fresh = fresh.join(stored, same, "left_anti")
-    _write(fresh, target, "append")
+    if generation is None:
+        writing = manifest.join_streams(spark, manifest_path(path), [each.stream for each in touched])
+        number = F.create_map(*(F.lit(x) for pair in writing.items() for x in pair))[
+            text.stream_name(F.col("data_stream"))
+        ]
+    else:
+        number = F.lit(generation)
+    _write(fresh.withColumn("generation", number), path, "append", "generation")
+    created = stored_points(spark, path, touched).count() - before
+    return Outcome(created, complete - created, failed)
 
 
 def manifest_path(path: str) -> str:
@@ -74,15 +158,16 @@ def manifest_path(path: str) -> str:
     return f"{path}/_manifest"
 
 
-def _stored_points(spark: SparkSession, target: str) -> DataFrame | None:
-    kinds = "object_id string, timestamp timestamp, dataset string, event_date date"
+def stored_points(spark: SparkSession, path: str, touched: Sequence[Touched]) -> DataFrame | None:
+    """Points that the table has in the given streams and days, over all generations; None without a table."""
+    kinds = "object_id string, timestamp timestamp, generation int, dataset string, event_date date"
     try:
-        stored = spark.read.schema(kinds).parquet(target)
+        stored = spark.read.schema(kinds).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
-    return stored.select(
+    return stored.where(reduce(or_, (each.condition() for each in touched))).select(
         F.col("dataset").alias("_dataset"),
         F.col("event_date").alias("_day"),
         F.col("object_id").alias("_object"),
@@ -95,12 +180,12 @@ def replace_part(documents: DataFrame, path: str) -> None:
     _write(documents, path, "overwrite")
 
 
-def _write(documents: DataFrame, path: str, mode: str) -> None:
+def _write(documents: DataFrame, path: str, mode: str, *above: str) -> None:
     (
         table_layout(documents)
         .write.mode(mode)
         .option("compression", "zstd")
-        .partitionBy("dataset", "event_date")
+        .partitionBy(*above, "dataset", "event_date")
         .parquet(path)
     )
 

@@ -20,6 +20,9 @@ STATE = _struct(
 #: A change event as fired by the source system; a null ``new_state`` is a removal.
 CHANGE_EVENT = _struct(("time_fired", _time), ("old_state", STATE), ("new_state", STATE))
 
+#: Column with the text of a feed line that is not a change event; null beside one that is.
+UNREADABLE_LINE = "unreadable_line"
+
 #: One reading of one entity. ``seq`` breaks ties between readings of the same instant.
 READING = _struct(
     ("entity_id", _text),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from entity_events import fixed_values as fixed
 from entity_events import schemas
 from entity_events.functions import text
-from entity_events.operators import enrich, manifest, quality, sinks
+from entity_events.operators import changes, enrich, manifest, quality, sinks
 from entity_events.plans.publish import publish
 from entity_events.sources import feed
 
@@ -109,8 +109,8 @@ def test_append_and_read_back(spark, lookup, tmp_path):
     sinks.append(publish(late, lookup), str(tmp_path / "t"))
     sinks.append(docs.where("seq = 99"), str(tmp_path / "t"), generation=2)
     stored = spark.read.parquet(str(tmp_path / "t"))
-    assert sorted((r["generation"], r["seq"]) for r in stored.collect()) == [(1, 0), (1, 10), (1, 20), (1, 99), (1, 200), (2, 99)]
-    assert stored.where("generation = 2").select("dataset").first()[0] == fixed.DATASET_PREFIX + ".sensor"
+    assert sorted((r["generation"], r["seq"]) for r in stored.collect()) == [(1, 0), (1, 10), (1, 20), (1, 99), (1, 200)]
+    assert stored.where("seq = 99").select("dataset").first()[0] == fixed.DATASET_PREFIX + ".sensor"
     plan = stored.where("dataset = 'x' AND event_date > DATE '2024-01-01'")._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(dataset" in plan
     assert stored.where("seq = 10").select(F.col("attributes")["k"].cast("int")).first()[0] == 1
@@ -150,20 +150,74 @@ def test_schema_is_installed_updated_and_kept(spark, tmp_path):
         STREAM.format("counter"): (fixed.SCHEMA_VERSION, 5),
         "metrics-other.x-default": (1, 1),
     }
-    assert manifest.generation(spark, path) == 2
+    streams = [STREAM.format("sensor"), STREAM.format("new")]
+    assert manifest.join_streams(spark, path, streams) == {streams[0]: 2, streams[1]: 1}
+    assert manifest.current(manifest.read(spark, path)).where(F.col("name") == streams[1]).count() == 1
     assert manifest.ensure_schema(spark, path) == manifest.KEEP
     assert manifest.ensure_schema(spark, path, version=3) == manifest.UPDATE
 
 
-def test_documents_go_to_the_generation_of_the_manifest(spark, lookup, tmp_path):
+def test_each_stream_is_written_to_its_generation(spark, lookup, tmp_path):
+    table = str(tmp_path / "t")
+    record = sinks.manifest_path(table)
+    docs = publish(some(spark), lookup)
+    lights = docs.where("data_stream.dataset LIKE '%light'")
+    manifest.ensure_schema(spark, record, version=1)
+    assert sinks.append(lights, table) == sinks.Outcome(3, 6, 0)
+    manifest.ensure_schema(spark, record)
+    assert sinks.append(docs, table) == sinks.Outcome(1, 9, 0)
+    assert sinks.append(docs, table) == sinks.Outcome(0, 10, 0)
+    late = readings(spark, [("light.a", T0 + timedelta(days=1, hours=1), 200, "on", None)])
+    assert sinks.append(publish(late, lookup), table) == sinks.Outcome(1, 0, 0)
+    rows = spark.read.parquet(table).groupBy("generation", "dataset").count().collect()
+    short = {(r["generation"], r["dataset"].split(".")[1]): r["count"] for r in rows}
+    assert short == {(1, "light"): 3, (1, "sensor"): 1, (2, "light"): 1}
+    state = {r["name"]: r["generation"] for r in manifest.current(manifest.read(spark, record)).collect()}
+    assert state == {manifest.SCHEMA_NAME: 2, STREAM.format("light"): 2, STREAM.format("sensor"): 1}
+
+
+def test_an_append_reads_only_the_folders_of_its_days(spark, lookup, tmp_path):
     table = str(tmp_path / "t")
     docs = publish(some(spark), lookup)
     sinks.append(docs, table)
-    manifest.ensure_schema(spark, sinks.manifest_path(table), version=1)
-    manifest.ensure_schema(spark, sinks.manifest_path(table))
-    sinks.append(docs, table)
-    rows = spark.read.parquet(table).groupBy("generation").count().collect()
-    assert {r["generation"]: r["count"] for r in rows} == {1: 4, 2: 4}
+    batch = docs.where("seq >= 10 AND seq < 99")
+    touched, complete, failed = sinks.touched_by(batch)
+    assert (complete, failed) == (6, 0)
+    first = (T0 + timedelta(days=1)).date()
+    assert [each.ranges() for each in touched] == [[(first, first + timedelta(days=1))]]
+    points = sinks.stored_points(spark, table, touched)
+    assert len(points.inputFiles()) == len(spark.read.parquet(table).inputFiles())
+    scan = points._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in scan and "event_date" in scan.split("PartitionFilters: [")[1].split("]")[0]
+    assert points.count() == 2
+    gaps = sinks.Touched("s", "d", (first, first + timedelta(days=3), first + timedelta(days=4)))
+    assert len(gaps.ranges()) == 2
+
+
+def test_documents_without_a_point_fail(spark, lookup, tmp_path):
+    rows = readings(spark, [("light.a", None, 1, "on", None), ("light.a", T0, 2, "on", None)])
+    docs = publish(rows, lookup)
+    assert sinks.append(docs, str(tmp_path / "t")) == sinks.Outcome(1, 0, 1)
+    assert sinks.append(docs.where("timestamp IS NULL"), str(tmp_path / "t")) == sinks.Outcome(0, 0, 1)
+
+
+def test_no_feed_line_is_lost(spark, lookup, tmp_path):
+    state = {"entity_id": "light.a", "state": "on", "attributes": "{}", "last_updated": "2024-01-01T00:00:01Z"}
+    good = json.dumps({"time_fired": "2024-01-01T00:00:00Z", "old_state": None, "new_state": state})
+    removal = json.dumps({"time_fired": "2024-01-01T00:00:00Z", "old_state": state, "new_state": None})
+    bad = [good[:40], "[1, 2]", "{}", '{"time_fired": "yesterday", "new_state": {"state": "on"}}', "plain text", '{"time_fired": 7']
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text("\n".join([good, "", removal, *bad]) + "\n")
+    events = feed.read_events(spark, str(tmp_path / "in"))
+    assert events.count() == 2 + len(bad)
+    kept = changes.classify_events(events)
+    assert kept.where("unreadable_line IS NULL").select("seq", "reason").collect() == [(1_704_067_201_000_000, fixed.STATE)]
+    refused = quality.quarantined(kept, lookup).collect()
+    assert sorted(r["unreadable_line"] for r in refused) == sorted(bad)
+    assert {r["error"] for r in refused} == {quality.UNREADABLE_LINE}
+    assert publish(kept, lookup).count() == 1
+    bodies = spark.createDataFrame([(line.encode(),) for line in bad] + [(None,), (b" ",)], "value binary")
+    assert feed.parse_events(bodies).where("unreadable_line IS NOT NULL").count() == len(bad)
 
 
 def test_feeds_and_registries_from_files(spark, make_registry, tmp_path):
