@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import date, timedelta
+from datetime import UTC, date, datetime, timedelta
 from functools import reduce
 from operator import and_, or_
 
@@ -17,6 +17,7 @@ from entity_events.functions import text
 from entity_events.operators import manifest, quality
 from entity_events.operators.documents import document_line
 from entity_events.schemas import BULK_RESPONSE
+from entity_events.sources import folders
 
 
 def envelope(documents: DataFrame) -> DataFrame:
@@ -175,6 +176,23 @@ def stored_points(spark: SparkSession, path: str, touched: Sequence[Touched]) ->
     )
 
 
+def drop_expired(spark: SparkSession, path: str, as_of: datetime, days: int = fixed.RETENTION_DAYS) -> list[str]:
+    """Delete the table's date folders that hold only documents :func:`quality.retained` would leave out.
+
+    Folders are chosen by name; none is read and no file is rewritten. Doing it again drops nothing more.
+    """
+    oldest = (as_of - timedelta(days=days)).astimezone(UTC).date()
+    dropped = []
+    for generation in folders.values(spark, path, "generation"):
+        for dataset in folders.values(spark, f"{path}/generation={generation}", "dataset"):
+            above = f"generation={generation}/dataset={dataset}"
+            for day in folders.values(spark, f"{path}/{above}", "event_date"):
+                if date.fromisoformat(day) < oldest:
+                    folders.drop(spark, f"{path}/{above}/event_date={day}")
+                    dropped.append(f"{above}/event_date={day}")
+    return dropped
+
+
 def replace_part(documents: DataFrame, path: str) -> None:
     """Write documents as the whole content of a folder; writing it again changes nothing."""
     _write(documents, path, "overwrite")

@@ -120,7 +120,7 @@ def test_a_batch_that_failed_is_stored_once(spark, tmp_path, registry, monkeypat
         raise OSError("the output went away after the documents were written")
 
     with monkeypatch.context() as patched:
-        patched.setattr(stream.ops, "latest_state", broken)
+        patched.setattr(stream.quality, "quarantined", broken)
         with pytest.raises(Exception, match="went away"):
             run(spark, tmp_path, registry)
     run(spark, tmp_path, registry)
