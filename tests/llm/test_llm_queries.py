@@ -19,6 +19,7 @@ SCHEMAS = {
     "pages": "page_id long, url string, html string",
     "benchmark": "item_id long, text string",
     "labels": "doc_id long, quality int, toxic int",
+    "embeddings": "vec_id long, embedding array<float>, label int",
     "conversations": "conv_id long, turn long, role string, text string",
 }
 
@@ -29,8 +30,8 @@ def test_query_agrees_with_its_sql(spark, name):
     assert compare(spark, connect(FOLDER), FOLDER, name) == ""
 
 
-def test_ten_operators_and_the_pipeline_are_registered():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+def test_all_operators_and_the_pipeline_are_registered():
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
 
 
