@@ -731,3 +731,63 @@ ORACLES["a10_latest_value"] = _over(
     "decimal",
     f"SELECT entity_id, {_stamp('max(time)')} AS time, arg_max(state, time) AS value FROM docs_decimal GROUP BY 1",
 )
+
+_LINE_PARTS = (
+    f"SELECT {supplied.ENTITY_ID} AS entity_id, date_trunc('second', ts) AS time, {supplied.STATES['switch']} AS state, "
+    f"event_id, {supplied.EVENT_LINE} AS line, {supplied.BROKEN_LINE} AS broken FROM events"
+)
+ORACLES["s1_feed_lines"] = (
+    "SELECT CASE WHEN NOT broken THEN entity_id END AS entity_id, "
+    f"CASE WHEN NOT broken THEN {_stamp('time')} END AS time, CASE WHEN NOT broken THEN state END AS state, "
+    "CASE WHEN NOT broken THEN '{\"n\":' || event_id || '}' END AS attributes, "
+    f"CASE WHEN NOT broken THEN '{fixed.STATE}' END AS reason, CASE WHEN broken THEN line END AS unreadable_line "
+    f"FROM ({_LINE_PARTS})"
+)
+ORACLES["e1_broken_lines"] = _with(
+    "SELECT CASE WHEN NOT broken THEN p.entity_id END AS entity_id, CASE WHEN NOT broken THEN event_id END AS number, "
+    "CASE WHEN broken THEN line END AS line, "
+    f"CASE WHEN broken THEN '{quality.UNREADABLE_LINE}' WHEN e.entity_id IS NULL THEN '{quality.UNKNOWN_ENTITY}' END AS error "
+    f"FROM ({_LINE_PARTS}) p LEFT JOIN entity e ON p.entity_id = e.entity_id",
+    "entity",
+)
+ORACLES["w1_keyed_stream"] = ORACLES["w1_classify_change"]
+ORACLES["c7_stream_dedup"] = ORACLES["t1_publish_stream"]
+ORACLES["t3_folded_batches"] = ORACLES["t3_exactly_once"]
+ORACLES["c6_stream_hook"] = _over(
+    "decimal",
+    f"SELECT seq, {_decimal('celsius')} AS celsius FROM (SELECT seq, (as_float - 32) * 5 / 9 AS celsius FROM docs_decimal) "
+    "WHERE celsius > 0",
+)
+ORACLES["c8_dropped_folders"] = _over(
+    "mixed",
+    "SELECT dataset, CAST(CAST(time AS DATE) AS VARCHAR) AS day, count(*) AS documents FROM docs_mixed "
+    "WHERE time >= TIMESTAMP '2024-01-10' GROUP BY 1, 2",
+)
+_CLOSED = "(SELECT max(time) - INTERVAL 1 HOUR FROM docs_decimal)"
+ORACLES["a2_stream_windows"] = _over(
+    "decimal",
+    _BUCKETED.format(
+        by="entity_id",
+        width="6 hours",
+        values=_HOURLY,
+        where=f"AND time_bucket(INTERVAL '6 hours', time, TIMESTAMP '2000-01-01') + INTERVAL 6 HOUR <= {_CLOSED}",
+        having="",
+    ),
+)
+ORACLES["a7_stream_breaches"] = _over(
+    "decimal",
+    _BUCKETED.format(
+        by="area_name AS area",
+        width="1 day",
+        values=f"{_decimal('min(as_float)')} AS lowest, {_decimal('max(as_float)')} AS highest",
+        where=f"AND time_bucket(INTERVAL '1 day', time, TIMESTAMP '2000-01-01') + INTERVAL 1 DAY <= {_CLOSED}",
+        having="HAVING min(as_float) < 1.0 OR max(as_float) > 200.0",
+    ),
+)
+ORACLES["a6_running_alert"] = _over(
+    "decimal",
+    f"SELECT entity_id, {_stamp('started')} AS started, {_stamp('min(time)')} AS reached FROM ("
+    "SELECT *, min(time) OVER (PARTITION BY entity_id, island) AS started FROM ("
+    "SELECT *, sum(CASE WHEN as_float < 60 THEN 0 ELSE 1 END) OVER (PARTITION BY entity_id ORDER BY time, seq) "
+    "AS island FROM docs_decimal) WHERE as_float < 60) WHERE time - started >= INTERVAL 1 DAY GROUP BY entity_id, island, started",
+)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import astuple
 from datetime import UTC, datetime
+from itertools import pairwise
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +20,8 @@ from entity_events.plans import analyses
 from entity_events.plans.publish import classify_and_publish, publish
 from entity_events.session import configure, shared_folder
 from entity_events.settings import Settings, StaticFields
-from entity_events.sources import supplied
+from entity_events.sources import feed, supplied
+from entity_events.streaming import keyed
 from entity_events.streaming import publish as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,6 +114,15 @@ def s1(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("entity_id", stamp("time").alias("time"), "seq", "state", "attributes")
 
 
+@register("s1_feed_lines")
+def s1_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """A feed of text lines, some broken: every line is a reading or kept as it is."""
+    path = shared_folder(spark)
+    supplied.feed_lines(spark, folder).select("value").write.text(path)
+    rows = changes.classify_events(feed.read_events(spark, path))
+    return rows.select("entity_id", stamp("time").alias("time"), "state", "attributes", "reason", "unreadable_line")
+
+
 @register("s2_poll_snapshot")
 def s2(spark: SparkSession, folder: str) -> DataFrame:
     rows = polled(spark, folder)
@@ -775,7 +787,7 @@ def _published_stream(
     configure(spark)
     schema = supplied.table(spark, folder, "events").schema
     reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-    feed = supplied.readings_of(reader.parquet(folder), "switch")
+    readings = supplied.readings_of(reader.parquet(folder), "switch")
     ticks = None
     if poll:
         ticks = reader.parquet(folder).select(
@@ -783,7 +795,7 @@ def _published_stream(
         )
     out = shared_folder(spark)
     query = stream.start(
-        feed,
+        readings,
         out,
         lambda: supplied.registry(spark, folder),
         settings,
@@ -821,6 +833,176 @@ def t3(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+EDGES = [None, *(datetime(2024, 1, day, tzinfo=UTC) for day in (8, 16, 24)), None]
+
+
+def _slices(rows: DataFrame, time: str = "time") -> Iterator[DataFrame]:
+    """All rows in stretches of time, one after the other, as a feed would bring them."""
+    for begin, end in pairwise(EDGES):
+        part = rows
+        if begin:
+            part = part.where(F.col(time) >= F.lit(begin))
+        if end:
+            part = part.where(F.col(time) < F.lit(end))
+        yield part
+
+
+def _streamed(rows: DataFrame, time: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What a stream gives out that is stopped and started again for every slice of its source."""
+    spark = rows.sparkSession
+    source, out = shared_folder(spark), shared_folder(spark)
+    for part in _slices(rows, time):
+        part.write.mode("append").parquet(source)
+        query = (
+            build(spark.readStream.schema(rows.schema).parquet(source))
+            .writeStream.format("parquet")
+            .option("checkpointLocation", f"{out}/checkpoint")
+            .trigger(availableNow=True)
+            .start(f"{out}/rows")
+        )
+        query.awaitTermination()
+    return spark.read.parquet(f"{out}/rows")
+
+
+def _published_slices(rows: DataFrame, registry: Callable[[], enrich.Registry], **options) -> str:
+    """The folder that a publishing stream fills which is stopped and started again for every slice."""
+    spark = rows.sparkSession
+    source, out = shared_folder(spark), shared_folder(spark)
+    for part in _slices(rows):
+        part.write.mode("append").parquet(source)
+        readings = spark.readStream.schema(rows.schema).parquet(source)
+        stream.start(readings, out, registry, available_now=True, **options).awaitTermination()
+    return out
+
+
+@register("w1_keyed_stream")
+def w1_keyed(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _streamed(supplied.readings(spark, folder, "switch"), "time", keyed.classified)
+    return rows.select("entity_id", "seq", "state", "reason")
+
+
+@register("c7_stream_dedup")
+def c7_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Every reading comes again a slice later, as another state; only the first is published."""
+    rows = supplied.readings(spark, folder, "switch")
+    source, out = shared_folder(spark), shared_folder(spark)
+    again = None
+    for part in _slices(rows):
+        (part.unionByName(again) if again else part).write.mode("append").parquet(source)
+        again = part.withColumn("state", F.lit("late copy"))
+        readings = spark.readStream.schema(rows.schema).parquet(source)
+        registry = lambda: supplied.registry(spark, folder)
+        stream.start(readings, out, registry, available_now=True, first_within="20 days").awaitTermination()
+    stored = stream.read_documents(spark, out)
+    return stored.select(F.col("entity.id").alias("entity_id"), "seq", "value", F.col("event.action").alias("action"))
+
+
+@register("t3_folded_batches")
+def t3_folded(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream one of whose batches fails first, folded into the table as it goes and once more at the end."""
+    rows = supplied.readings(spark, folder, "switch")
+    source, out, table = (shared_folder(spark) for _ in range(3))
+    failures = iter((False, True, False))
+
+    def registry() -> enrich.Registry:
+        if next(failures, False):
+            raise OSError("the registry cannot be read")
+        return supplied.registry(spark, folder)
+
+    for part in _slices(rows):
+        part.write.mode("append").parquet(source)
+        for _ in range(2):
+            readings = spark.readStream.schema(rows.schema).parquet(source)
+            try:
+                stream.start(readings, out, registry, available_now=True).awaitTermination()
+                break
+            except StreamingQueryException:
+                continue
+        stream.fold(spark, out, table)
+        stream.drop_folded(spark, out, table)
+    stream.fold(spark, out, table)
+    return spark.read.parquet(table).groupBy("dataset").agg(
+        F.count(F.lit(1)).alias("documents"), F.sum("seq").alias("seq_total")
+    )
+
+
+@register("c6_stream_hook")
+def c6_stream(spark: SparkSession, folder: str) -> DataFrame:
+    def celsius(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("celsius", (F.col("valueas.float") - 32) * 5 / 9)
+
+    def above_freezing(rows: DataFrame) -> DataFrame:
+        return rows.where("celsius > 0")
+
+    readings = supplied.readings(spark, folder, "decimal")
+    out = _published_slices(readings, lambda: supplied.registry(spark, folder), hooks=(celsius, above_freezing))
+    return stream.read_documents(spark, out).select("seq", decimal("celsius").alias("celsius"))
+
+
+@register("c8_dropped_folders")
+def c8_folders(spark: SparkSession, folder: str) -> DataFrame:
+    path = shared_folder(spark)
+    sinks.append(docs(spark, folder), path)
+    for _ in range(2):
+        sinks.drop_expired(spark, path, datetime(2024, 1, 20, tzinfo=UTC), days=10)
+    stored = spark.read.parquet(path)
+    return stored.groupBy("dataset", F.col("event_date").cast("string").alias("day")).agg(F.count(F.lit(1)).alias("documents"))
+
+
+@register("e1_broken_lines")
+def e1_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream of text lines, some broken: what was stored and what went to the quarantine."""
+    source, out = shared_folder(spark), shared_folder(spark)
+    for part in _slices(supplied.feed_lines(spark, folder)):
+        part.select("value").write.mode("append").text(source)
+        events = changes.classify_events(feed.stream_events(spark, source))
+        registry = lambda: supplied.registry(spark, folder)
+        stream.start(events, out, registry, available_now=True).awaitTermination()
+    stored = stream.read_documents(spark, out)
+    number = F.col("attributes")["n"].cast("bigint")
+    refused = spark.read.parquet(f"{out}/quarantine")
+    nothing = F.lit(None).cast("string")
+    return stored.select(
+        F.col("entity.id").alias("entity_id"), number.alias("number"), nothing.alias("line"), nothing.alias("error")
+    ).unionByName(
+        refused.select(
+            "entity_id",
+            F.get_json_object("attributes", "$.n").cast("bigint").alias("number"),
+            F.col("unreadable_line").alias("line"),
+            "error",
+        )
+    )
+
+
+def _watched(spark: SparkSession, folder: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """An analysis of a stream of documents, with a watermark an hour behind."""
+    rows = docs(spark, folder, "decimal").select("timestamp", "entity", "valueas", "seq")
+    return _streamed(rows, "timestamp", lambda given: build(given.withWatermark("timestamp", "1 hour")))
+
+
+@register("a2_stream_windows")
+def a2_stream(spark: SparkSession, folder: str) -> DataFrame:
+    return _hourly(_watched(spark, folder, lambda rows: analyses.value_over_time(rows, width="6 hours")))
+
+
+@register("a7_stream_breaches")
+def a7_stream(spark: SparkSession, folder: str) -> DataFrame:
+    by = F.col("entity.area.name").alias("area")
+    rows = _watched(spark, folder, lambda given: analyses.threshold_breaches(given, [by], 1.0, 200.0, "1 day"))
+    return rows.select(
+        "area", stamp("bucket").alias("bucket"), decimal("lowest").alias("lowest"), decimal("highest").alias("highest")
+    )
+
+
+@register("a6_running_alert")
+def a6_stream(spark: SparkSession, folder: str) -> DataFrame:
+    series = docs(spark, folder, "decimal").select(
+        F.col("entity.id").alias("entity_id"), F.col("timestamp").alias("time"), "seq", F.col("valueas.float").alias("number")
+    )
+    alerts = _streamed(series, "time", lambda rows: keyed.running_deviation(rows, F.col("number") < 60, 24 * 60))
+    return alerts.select("entity_id", stamp("started").alias("started"), stamp("reached").alias("reached"))
+
+
 @register("e1_quarantine")
 def e1(spark: SparkSession, folder: str) -> DataFrame:
     readings = supplied.readings(spark, folder)

@@ -39,7 +39,8 @@ def value_over_time(
 ) -> DataFrame:
     """Average, minimum, maximum and number of numeric values per entity and time bucket.
 
-    The condition picks the entities: by id, by friendly name, or by area.
+    The condition picks the entities: by id, by friendly name, or by area. On a stream of documents with a
+    watermark, each bucket is given out once, when the watermark has passed its end.
     """
     numeric = documents.where(F.col(VALUE).isNotNull())
     if condition is not None:
@@ -129,12 +130,12 @@ def sustained_deviation(
 def threshold_breaches(
     documents: DataFrame, by: Sequence[Column], low: float, high: float, width: str = "1 hour"
 ) -> DataFrame:
-    """Groups and time buckets whose values leave ``[low, high]``."""
+    """Groups and time buckets whose values leave ``[low, high]``; on a stream with a watermark, once they are over."""
     numeric = documents.where(F.col(VALUE).isNotNull())
-    return (
-        numeric.groupBy(*by, F.window("timestamp", width)["start"].alias("bucket"))
-        .agg(F.min(VALUE).alias("lowest"), F.max(VALUE).alias("highest"))
-        .where((F.col("lowest") < low) | (F.col("highest") > high))
+    buckets = numeric.groupBy(*by, F.window("timestamp", width)).agg(F.min(VALUE).alias("lowest"), F.max(VALUE).alias("highest"))
+    groups = [name for name in buckets.columns if name not in ("window", "lowest", "highest")]
+    return buckets.where((F.col("lowest") < low) | (F.col("highest") > high)).select(
+        *groups, F.col("window.start").alias("bucket"), "lowest", "highest"
     )
 
 

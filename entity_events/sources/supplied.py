@@ -74,6 +74,15 @@ AREA_COLUMNS = {
 }
 FLOOR_COLUMNS = {"floor_id": "'floor_' || CAST(r_regionkey AS STRING)", "name": "r_name"}
 
+#: ``events`` as lines of a change feed, some of them cut short or no JSON at all.
+_SECOND = "substring(CAST(ts AS STRING), 1, 10) || 'T' || substring(CAST(ts AS STRING), 12, 8) || 'Z'"
+_NUMBERED = "'{' || chr(92) || '\"n' || chr(92) || '\":' || CAST(event_id AS STRING) || '}'"
+_WHOLE_LINE = f"""'{{"time_fired":"' || {_SECOND} || '","old_state":null,"new_state":{{"entity_id":"' || {ENTITY_ID}
+    || '","state":"' || {STATES["switch"]} || '","attributes":"' || {_NUMBERED} || '"}}}}'"""
+EVENT_LINE = f"""CASE WHEN event_id % 50 = 7 THEN substring({_WHOLE_LINE}, 1, CAST(20 + event_id % 90 AS INT))
+    WHEN event_id % 100 = 57 THEN 'no event ' || CAST(event_id AS STRING) ELSE {_WHOLE_LINE} END"""
+BROKEN_LINE = "event_id % 50 = 7"
+
 #: Event rows that report a removed entity, and bulk items that failed.
 REMOVAL = "seq % 50 = 0"
 FAILED = "value > 100"
@@ -102,6 +111,13 @@ def readings(spark: SparkSession, folder: str, states: str = "mixed") -> DataFra
     return readings_of(table(spark, folder, "events"), states)
 
 
+def feed_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """``events`` as text lines (value) of a change feed, with the time of each beside it."""
+    return table(spark, folder, "events").select(
+        F.expr(EVENT_LINE).alias("value"), F.col("ts").cast("timestamp").alias("time")
+    )
+
+
 def order_readings(spark: SparkSession, folder: str) -> DataFrame:
     """``orders`` as a long, sparse feed: one reading per order of the customer's entity."""
     return table(spark, folder, "orders").select(

@@ -9,8 +9,8 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
+from typing import TYPE_CHECKING
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +20,9 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from entity_events import fixed_values as fixed
 from entity_events import schemas
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 #: Stands for a missing time or number in the order of readings; before all others.
 _NONE = -(2**63)
 
@@ -49,15 +52,22 @@ def _lines(rows: DataFrame) -> list[str]:
     return [schemas.UNREADABLE_LINE] if schemas.UNREADABLE_LINE in rows.columns else []
 
 
+def _in_order(chunks: Iterator[pd.DataFrame]) -> pd.DataFrame:
+    import pandas as pd
+
+    return pd.concat(list(chunks), ignore_index=True).sort_values(["_at", "_order"], kind="stable")
+
+
 def first_arrivals(readings: DataFrame, delay: str) -> DataFrame:
     """Of the readings of an entity at one instant the first to arrive, as long as copies follow within ``delay``.
 
     A point is remembered until the watermark, ``delay`` behind the newest reading, has passed it; readings older
-    than the watermark are left out and counted, see :func:`left_out`. A reading without a time is taken as of now.
+    than the watermark are left out and counted, see :func:`left_out`. Rows without a time, such as lines that could
+    not be read, have no point: all of them stay.
     """
-    timed = readings.withColumn("_event_time", F.coalesce("time", F.current_timestamp()))
-    point = ["entity_id", "time", *_lines(readings)]
-    return timed.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark(point).drop("_event_time")
+    pointless = F.when(F.col("time").isNull(), F.uuid())
+    points = readings.withColumn("_pointless", pointless).withWatermark("time", delay)
+    return points.dropDuplicatesWithinWatermark(["entity_id", "time", "_pointless"]).drop("_pointless")
 
 
 def left_out(query: StreamingQuery) -> dict[str, int]:
@@ -81,7 +91,7 @@ def classified(readings: DataFrame) -> DataFrame:
     kinds = T.StructType([*rows.schema.fields, T.StructField("reason", T.StringType())])
 
     def assign(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(chunks), ignore_index=True).sort_values(["_at", "_order"], kind="stable")
+        batch = _in_order(chunks)
         if key[0].startswith("\x00"):
             yield batch.assign(reason=None)[kinds.names]
             return
@@ -118,7 +128,9 @@ def running_deviation(series: DataFrame, deviates: Column, minutes: int) -> Data
     least = minutes * 60_000_000
 
     def follow(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(chunks), ignore_index=True).sort_values(["_at", "_order"], kind="stable")
+        import pandas as pd
+
+        batch = _in_order(chunks)
         at, number, started, told = state.get if state.exists else (_NONE, _NONE, _NONE, False)
         alerts = []
         for time, order, out in zip(batch["_at"].tolist(), batch["_order"].tolist(), batch["deviates"].tolist()):

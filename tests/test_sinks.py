@@ -72,6 +72,20 @@ def test_retention(spark, lookup):
     assert quality.retained(sinks.table_layout(docs), as_of).count() == 6
 
 
+def test_expired_folders_are_dropped_by_name(spark, lookup, tmp_path):
+    table = tmp_path / "t"
+    sinks.append(publish(some(spark), lookup), str(table))
+    as_of = T0 + timedelta(days=fixed.RETENTION_DAYS + 1, hours=5)
+    kept = {f: f.read_bytes() for f in table.rglob("*.parquet") if "event_date=2024-01-01" not in str(f)}
+    dropped = sinks.drop_expired(spark, str(table), as_of)
+    assert sorted(each.split("/")[1:] for each in dropped) == [
+        [f"dataset={fixed.DATASET_PREFIX}.{name}", "event_date=2024-01-01"] for name in ("light", "sensor")
+    ]
+    assert {f: f.read_bytes() for f in table.rglob("*.parquet")} == kept
+    assert sinks.drop_expired(spark, str(table), as_of) == []
+    assert sinks.drop_expired(spark, str(tmp_path / "none"), as_of) == []
+
+
 def test_stream_constants(spark, lookup):
     actions = sinks.envelope(publish(some(spark), lookup))
     rows = {r["_index"]: (r["documents"], r["constant"]) for r in quality.stream_constants(actions).collect()}

@@ -1,3 +1,5 @@
+import json
+import random
 import uuid
 from datetime import UTC, datetime, timedelta
 
@@ -7,9 +9,12 @@ from pyspark.sql import types as T
 
 from entity_events import fixed_values as fixed
 from entity_events import schemas
-from entity_events.operators import changes, enrich
+from entity_events.operators import changes, enrich, quality, sinks
 from entity_events.plans.publish import publish
 from entity_events.settings import Settings
+from entity_events.sources import feed as feeds
+from entity_events.sources import folders
+from entity_events.streaming import keyed
 from entity_events.streaming import publish as stream
 
 T0 = datetime(2024, 1, 1, tzinfo=UTC)
@@ -164,6 +169,185 @@ def test_a_known_reason_is_kept(spark, tmp_path, registry):
     assert [r[0] for r in actions.collect()] == ["Attribute change"]
 
 
+def plain_reasons(batches):
+    """Reasons of batches of (entity, time, seq, state), the newest reading of an entity carried from batch to batch."""
+    newest, out = {}, []
+    for batch in batches:
+        for entity in {row[0] for row in batch}:
+            rows = sorted((row for row in batch if row[0] == entity), key=lambda row: row[1:3])
+            carried = newest.get(entity)
+            line = sorted([*rows, carried] if carried else rows, key=lambda row: (row[1:3], row is not carried))
+            for before, row in zip([None, *line], line):
+                if row is not carried:
+                    changed = before is None or before[3] != row[3]
+                    out.append((row[0], row[2], fixed.STATE if changed else fixed.ATTRIBUTE))
+            newest[entity] = line[-1]
+    return sorted(out)
+
+
+def test_state_per_entity_follows_the_order_of_times(spark, tmp_path):
+    rng = random.Random(3)
+    batches, seq = [], 0
+    for number in range(4):
+        rows = []
+        for _ in range(60):
+            seq += 1
+            at = T0 + timedelta(minutes=20 * number + rng.randrange(-15, 20), microseconds=rng.randrange(3))
+            rows.append((f"light.l{rng.randrange(6)}", at, seq, rng.choice(["on", "off", None]), None))
+        batches.append(rows)
+    got = []
+    for number, rows in enumerate(batches):
+        put(spark, f"{tmp_path}/in", rows)
+        source = spark.readStream.schema(schemas.READING).parquet(f"{tmp_path}/in")
+        query = (
+            keyed.classified(source)
+            .writeStream.format("parquet")
+            .option("checkpointLocation", f"{tmp_path}/checkpoint")
+            .trigger(availableNow=True)
+            .start(f"{tmp_path}/out")
+        )
+        query.awaitTermination()
+        # A batch changes the state of no other entity than its own.
+        updated = sum(o.numRowsUpdated for p in query.recentProgress for o in p.stateOperators)
+        assert updated <= len({row[0] for row in rows})
+        got = spark.read.parquet(f"{tmp_path}/out").select("entity_id", "seq", "reason", "time").collect()
+        assert len(got) == 60 * (number + 1)
+    assert sorted((r["entity_id"], r["seq"], r["reason"]) for r in got) == plain_reasons([[row[:4] for row in b] for b in batches])
+    assert {r["seq"]: r["time"] for r in got} == {row[2]: row[1].replace(tzinfo=None) for b in batches for row in b}
+
+
+def test_copies_in_later_batches_are_left_out_and_counted(spark, tmp_path, registry):
+    put(spark, f"{tmp_path}/in", feed(0, 40))
+    query = stream.start(
+        spark.readStream.schema(schemas.READING).parquet(f"{tmp_path}/in"),
+        f"{tmp_path}/out",
+        lambda: registry,
+        available_now=True,
+        first_within="15 minutes",
+    )
+    query.awaitTermination()
+    copies = [(*row[:2], row[2] + 500, "late copy", row[4]) for row in feed(30, 40)[:-1]]
+    late = [(ENTITIES[0], T0, 900, "on", "{}")]
+    put(spark, f"{tmp_path}/in", copies + late + feed(40, 45))
+    query = stream.start(
+        spark.readStream.schema(schemas.READING).parquet(f"{tmp_path}/in"),
+        f"{tmp_path}/out",
+        lambda: registry,
+        available_now=True,
+        first_within="15 minutes",
+    )
+    query.awaitTermination()
+    stored = stream.read_documents(spark, f"{tmp_path}/out")
+    assert sorted(r["seq"] for r in stored.select("seq").collect()) == list(range(45))
+    assert keyed.left_out(query) == {"late": 1, "copies": 10}
+
+
+def test_lines_that_cannot_be_read_reach_the_quarantine(spark, tmp_path, registry):
+    (tmp_path / "lines").mkdir()
+    for number in range(3):
+        state = {"entity_id": ENTITIES[number], "state": "on", "attributes": "{}"}
+        good = json.dumps({"time_fired": "2024-01-01T00:00:00Z", "new_state": state})
+        (tmp_path / "lines" / f"{number}.json").write_text(f"{good}\n{good[: 30 + number]}\nno event\n")
+        for _ in range(2):  # nothing new the second time
+            events = feeds.stream_events(spark, str(tmp_path / "lines"), maxFilesPerTrigger="1")
+            query = stream.start(
+                changes.classify_events(events), f"{tmp_path}/out", lambda: registry, available_now=True, first_within="1 hour"
+            )
+            query.awaitTermination()
+    refused = spark.read.parquet(f"{tmp_path}/out/quarantine").collect()
+    assert len(refused) == 6 and {r["error"] for r in refused} == {quality.UNREADABLE_LINE}
+    assert stream.read_documents(spark, f"{tmp_path}/out").count() == 3
+
+
+def test_runs_are_told_once_while_they_last(spark, tmp_path):
+    def at(minute, out, entity="a"):
+        return entity, T0 + timedelta(minutes=minute), minute, out
+
+    batches = [
+        [at(0, True), at(5, True), at(0, False, "b"), at(3, True, "b")],
+        [at(10, True), at(12, True), at(13, False), at(14, True), at(20, True, "b")],
+        [at(11, False), at(20, True), at(30, True), at(40, None), at(41, True), at(55, True, "b")],
+    ]
+    for rows in batches:
+        put(spark, f"{tmp_path}/in", rows, "entity_id string, time timestamp, seq long, out boolean")
+        source = spark.readStream.schema("entity_id string, time timestamp, seq long, out boolean").parquet(f"{tmp_path}/in")
+        query = (
+            keyed.running_deviation(source, F.col("out"), 10)
+            .writeStream.format("parquet")
+            .option("checkpointLocation", f"{tmp_path}/checkpoint")
+            .trigger(availableNow=True)
+            .start(f"{tmp_path}/out")
+        )
+        query.awaitTermination()
+    minutes = lambda moment: int((moment.replace(tzinfo=UTC) - T0).total_seconds() // 60)
+    told = sorted((r["entity_id"], minutes(r["started"]), minutes(r["reached"])) for r in spark.read.parquet(f"{tmp_path}/out").collect())
+    assert told == [("a", 0, 10), ("a", 14, 30), ("b", 3, 20)]
+
+
+def test_batches_are_folded_once_whenever_the_job_ends(spark, tmp_path, registry, monkeypatch):
+    out, table = f"{tmp_path}/out", f"{tmp_path}/table"
+    assert stream.fold(spark, out, table) == sinks.Outcome(0, 0, 0)
+    put(spark, f"{tmp_path}/in", feed(0, 20))
+    run(spark, tmp_path, registry)
+    put(spark, f"{tmp_path}/in", [("light.unknown", T0, 1, "on", "{}")])
+    run(spark, tmp_path, registry)
+    put(spark, f"{tmp_path}/in", feed(20, 40))
+    run(spark, tmp_path, registry)
+
+    def ended(*_):
+        raise OSError("the job ended before it wrote its log")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(spark, "createDataFrame", ended)
+        with pytest.raises(Exception, match="its log|created"):
+            stream.fold(spark, out, table)
+    assert stream.fold(spark, out, table).refused in (0, 40)
+    assert stream.fold(spark, out, table) == sinks.Outcome(0, 0, 0)
+    assert sorted(r["seq"] for r in spark.read.parquet(table).select("seq").collect()) == list(range(40))
+    assert stream.drop_folded(spark, out, table) == 3
+    assert stream.drop_folded(spark, out, table) == 0
+    put(spark, f"{tmp_path}/in", feed(40, 50))
+    run(spark, tmp_path, registry)
+    assert stream.fold(spark, out, table) == sinks.Outcome(10, 0, 0)
+    assert spark.read.parquet(table).count() == 50
+
+
+def test_hooks_run_in_order_and_may_not_lose_a_place(spark, tmp_path, registry):
+    def counted(rows):
+        return rows.withColumn("n", F.col("attributes")["n"].cast("int"))
+
+    def even(rows):
+        return rows.where("n % 2 = 0")
+
+    def careless(rows):
+        return rows.drop("object_id")
+
+    put(spark, f"{tmp_path}/in", feed(0, 20))
+    source = spark.readStream.schema(schemas.READING).parquet(f"{tmp_path}/in")
+    stream.start(source, f"{tmp_path}/out", lambda: registry, available_now=True, hooks=(counted, even)).awaitTermination()
+    assert sorted(r["n"] for r in stream.read_documents(spark, f"{tmp_path}/out").select("n").collect()) == list(range(0, 20, 2))
+    rows = spark.read.schema(schemas.READING).parquet(f"{tmp_path}/in").withColumn("reason", F.lit(fixed.STATE))
+    with pytest.raises(ValueError, match="careless loses or changes object_id"):
+        publish(rows, enrich.details_lookup(registry), hooks=(counted, careless))
+
+
+def test_newest_readings_are_kept_as_a_whole_and_parts(spark, tmp_path, registry):
+    settings = Settings(change_types=(), poll_seconds=600)
+    put(spark, f"{tmp_path}/ticks", [(T0 + timedelta(minutes=5),)], "time timestamp")
+    for first in range(0, 40, 10):
+        put(spark, f"{tmp_path}/in", feed(first, first + 10))
+        if first == 30:
+            put(spark, f"{tmp_path}/ticks", [(T0 + timedelta(hours=2),)], "time timestamp")
+        query_id = run(spark, tmp_path, registry, settings, ticks=True).id
+    root = f"{tmp_path}/out/latest/query_id={query_id}"
+    whole = list(map(int, folders.values(spark, f"{root}/kind=whole", "batch_id")))
+    assert len(whole) == 2 and folders.values(spark, f"{root}/kind=part", "batch_id")
+    polled = stream.read_documents(spark, f"{tmp_path}/out").where("timestamp > '2024-01-01 01:00:00'")
+    assert sorted(r["seq"] for r in polled.select("seq").collect()) == list(range(35, 40))
+    newest = spark.read.schema(schemas.READING).parquet(f"{root}/kind=whole/batch_id={max(whole)}")
+    assert newest.where("entity_id LIKE 'light.l%'").count() == 5
+
+
 def test_publishing_can_be_off(spark, tmp_path, registry):
     (tmp_path / "in").mkdir()
     source = spark.readStream.schema(schemas.READING).parquet(f"{tmp_path}/in")
