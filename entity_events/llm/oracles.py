@@ -225,7 +225,7 @@ WITH RECURSIVE docs AS (
 ), counted AS (
     SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
         {_COUNT("[#*$%&|<>]")} AS n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
-        coalesce(n, 0) AS n_repeat_words, len(lines) AS n_lines, {_COUNT(r"\\p{{Lu}}{{2,}}".replace("{{", "{").replace("}}", "}"))} AS n_capitals,
+        coalesce(n, 0) AS n_repeat_words, len(lines) AS n_lines, {_COUNT(_CAPITALS)} AS n_capitals,
         {_COUNT("[.!?]{2,}")} AS n_marks,
         len(list_filter(words, lambda w: NOT regexp_matches(w, '[\\p{{L}}\\p{{N}}]'))) AS n_separators,
         len(list_filter(words, lambda w: regexp_matches(w, '[^\\p{{L}}\\p{{N}}.,;:!?''")\\]]$'))) AS n_endings
