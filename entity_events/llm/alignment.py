@@ -21,8 +21,9 @@ from __future__ import annotations
 import functools
 import hashlib
 import json
+import os
 from collections.abc import Iterator
-from itertools import accumulate
+from operator import concat
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from entity_events.llm.common import shared_path, small_batches
-from entity_events.llm.token_counts import _byte_letters
+from entity_events.llm.token_counts import KEPT_PIECES, PIECES, _byte_letters
 
 #: Bytes of text of a block.
 BLOCK_BYTES = 8 << 20
 
+#: Letters of the longest piece whose ids a worker keeps.
+_SHORT = 64
+
 _ALIGNED = (
     "summary boolean, block long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
     "links binary, pairs array<long>, counts array<long>"
@@ -50,6 +54,7 @@ class TokenPair:
     """Two tokenizers: ids of a text, and the bytes that each id stands for."""
 
     def __init__(self, byte_level: str, pieces: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
@@ -72,22 +77,36 @@ class TokenPair:
             else self.b.id_to_piece(i).replace("▁", " ").encode()
             for i in range(self.b.get_piece_size())
         ]
+        self.a_sizes, self.b_sizes = (np.array(list(map(len, each))) for each in (self.a_bytes, self.b_bytes))
+        #: Decimal ids; those of A also with the sign that sets them off from those of B.
         self.names = [str(i) for i in range(max(len(self.a_bytes), len(self.b_bytes)))]
+        self.led = [f"{name}|" for name in self.names]
+        self._known: dict[str, list[int]] = {}
+        self._letters = {byte: letter for letter, byte in letters.items()}
+
+    def _piece(self, piece: str) -> list[int]:
+        """Ids of a piece that merges do not cross, by the library's model; short ones are kept."""
+        ids = [token.id for token in self.a.model.tokenize(piece.encode().decode("latin-1").translate(self._letters))]
+        if len(piece) <= _SHORT:
+            if len(self._known) >= KEPT_PIECES:
+                self._known.clear()
+            self._known[piece] = ids
+        return ids
 
     def encoded(self, text: str | None) -> tuple[list[int], list[int]]:
         """Ids of a space and the text in both; none where the tokens' bytes are not these."""
         if not text:
             return [], []
         whole = f" {text}"
-        a, b = self.a.encode(whole, add_special_tokens=False).ids, self.b.encode(text)
+        a: list[int] = []
+        for piece in PIECES.findall(whole):
+            a += self._known.get(piece) or self._piece(piece)
+        b = self.b.encode(text)
         data = whole.encode()
-        if b"".join(map(self.a_bytes.__getitem__, a)) != data or b"".join(map(self.b_bytes.__getitem__, b)) != data:
+        if b"".join([self.a_bytes[i] for i in a]) != data or b"".join([self.b_bytes[i] for i in b]) != data:
             return [], []
         return a, b
 
-    def ends(self, ids: list[int], spelled: list[bytes]) -> list[int]:
-        return list(accumulate(len(spelled[i]) for i in ids))
-
 
 @functools.lru_cache(maxsize=1)
 def token_pair(byte_level: str, pieces: str) -> TokenPair:
@@ -136,26 +155,40 @@ def groups(a: list[int], b: list[int]) -> Iterator[tuple[int, int, int, int, lis
         i, j = k + 1, m + 1
 
 
+def _along(first: list[int], lengths: np.ndarray) -> np.ndarray:
+    """The numbers from each of ``first`` on, as many as its length."""
+    before = np.cumsum(lengths) - lengths
+    return np.repeat(np.array(first, np.int64) - before, lengths) + np.arange(lengths.sum())
+
+
 class Alignment:
     """Groups and links of one text."""
 
     def __init__(self, pair: TokenPair, text: str | None):
         a, b = pair.encoded(text)
         self.n_a, self.n_b = len(a), len(b)
-        a_names, b_names = [pair.names[i] for i in a], [pair.names[i] for i in b]
-        left, right, written = [], [], []
-        for i, k, j, m, links in groups(pair.ends(a, pair.a_bytes), pair.ends(b, pair.b_bytes)):
+        a_ids, b_ids = np.array(a, np.int64), np.array(b, np.int64)
+        led, names = [pair.led[i] for i in a], [pair.names[i] for i in b]
+        straight: tuple[list[int], list[int], list[int]] = [], [], []
+        crossing: list[tuple[int, int]] = []
+        written: list[str] = []
+        for i, k, j, m, links in groups(np.cumsum(pair.a_sizes[a_ids]).tolist(), np.cumsum(pair.b_sizes[b_ids]).tolist()):
             if links is None:
-                left += a[i:k]
-                right += b[j:m]
-                written += map("|".join, zip(a_names[i:k], b_names[j:m]))
+                written += map(concat, led[i:k], names[j:m])
+                straight[0].append(i)
+                straight[1].append(j)
+                straight[2].append(k - i)
             else:
-                left += [a[x] for x, _ in links]
-                right += [b[y] for _, y in links]
-                written.append(f"{','.join(a_names[i:k])}|{','.join(b_names[j:m])}")
+                crossing += links
+                written.append(f"{','.join([pair.names[x] for x in a[i:k]])}|{','.join(names[j:m])}")
+        lengths = np.array(straight[2], np.int64)
+        left, right = (_along(first, lengths) for first in straight[:2])
+        if crossing:
+            places = np.array(crossing, np.int64)
+            left, right = np.concatenate([left, places[:, 0]]), np.concatenate([right, places[:, 1]])
         self.n_groups, self.n_links = len(written), len(left)
         self.digest = hashlib.sha256(";".join(written).encode()).hexdigest() if written else ""
-        codes = np.array(left, np.int64) * len(pair.b_bytes) + np.array(right, np.int64)
+        codes = a_ids[left] * len(pair.b_bytes) + b_ids[right]
         self.pairs, self.counts = np.unique(codes, return_counts=True)
 
 
@@ -176,7 +209,7 @@ def _summed(pairs: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarr
     return codes, np.bincount(where, np.concatenate(counts), len(codes)).astype(np.int64)
 
 
-def _aligning(byte_level: str, pieces: str) -> object:
+def _aligning(byte_level: str, pieces: str, block_bytes: int) -> object:
     """The map from texts to their alignments, with a row of summed pairs at the end of every block."""
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,7 +244,7 @@ def _aligning(byte_level: str, pieces: str) -> object:
                 if len(pairs) >= 512:  # merge now and then, so that what is kept stays small
                     codes, sums = _summed(pairs, counts)
                     pairs, counts = [codes], [sums]
-                if size >= BLOCK_BYTES:
+                if size >= block_bytes:
                     if pairs:
                         rows.append(summary())
                     block, size, pairs, counts = block + 1, 0, [], []
@@ -247,12 +280,12 @@ def pair_counts(summaries: DataFrame, b_size: int) -> DataFrame:
     return totals.join(most, "b").select("pair", "total", best)
 
 
-def aligned(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
+def aligned(docs: DataFrame, byte_level: str, pieces: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per document the tokens, groups and links of both encodings, and how common its links are in the corpus."""
     spark = docs.sparkSession
     small_batches(spark)
     path = shared_path(spark, "alignments")
-    docs.select("doc_id", "text").mapInArrow(_aligning(byte_level, pieces), _ALIGNED).write.partitionBy(
+    docs.select("doc_id", "text").mapInArrow(_aligning(byte_level, pieces, block_bytes), _ALIGNED).write.partitionBy(
         "summary"
     ).parquet(path)
     texts, sums = (spark.read.schema(_ALIGNED).parquet(path) for _ in range(2))
