@@ -791,3 +791,23 @@ ORACLES["a6_running_alert"] = _over(
     "SELECT *, sum(CASE WHEN as_float < 60 THEN 0 ELSE 1 END) OVER (PARTITION BY entity_id ORDER BY time, seq) "
     "AS island FROM docs_decimal) WHERE as_float < 60) WHERE time - started >= INTERVAL 1 DAY GROUP BY entity_id, island, started",
 )
+ORACLES["a8_recorded_trend"] = ORACLES["a8_area_floor_trend"]
+ORACLES["s6_rule_table"] = _with(
+    """SELECT entity_id, CASE
+        WHEN rule_area_id = 'area_4' THEN 'excluded by area'
+        WHEN device_id IN (SELECT 'device_' || c_custkey FROM customer WHERE c_custkey % 6 = 2) THEN 'excluded by device'
+        WHEN CAST(split_part(entity_id, 'user_', 2) AS BIGINT) % 5 < 2
+            OR rule_area_id IN (SELECT 'area_' || n_nationkey FROM nation WHERE n_nationkey % 2 = 0)
+            OR list_has_any(label_list, (SELECT list(c_mktsegment) FROM customer WHERE c_mktsegment LIKE 'M%'))
+            OR list_has_any(device_label_list, (SELECT list(c_mktsegment) FROM customer WHERE c_mktsegment LIKE 'M%'))
+            THEN 'passed'
+        ELSE 'not included' END AS target_decision FROM details""",
+    *_REGISTRY,
+)
+ORACLES["c3_search_columns"] = _over(
+    "mixed",
+    "SELECT seq, state AS value_keyword, CAST(trunc(as_float) AS BIGINT) AS integer, "
+    "CASE WHEN seq % 8 = 3 THEN split_part(state, 'T', 1) END AS date, "
+    "CASE WHEN seq % 8 = 3 THEN split_part(state, 'T', 2) END AS time, "
+    "split_part(entity_id, '.', 1) AS kind FROM docs_mixed",
+)

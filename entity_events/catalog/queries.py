@@ -184,6 +184,25 @@ def s6(spark: SparkSession, folder: str) -> DataFrame:
 # Filters
 
 
+@register("s6_rule_table")
+def s6_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Rules as tables: one row for each customer, area and label of a kind, of any number."""
+    customers, areas = (supplied.table(spark, folder, name) for name in ("customer", "nation"))
+    domain = F.explode(F.array(*map(F.lit, supplied.DOMAINS))).alias("domain")
+
+    def ids(rows: DataFrame, kind: str, sql: str) -> DataFrame:
+        return rows.select(F.lit(kind).alias("kind"), F.expr(sql).alias("id"))
+
+    named = customers.select("c_custkey", domain)
+    include = ids(named.where("c_custkey % 5 < 2"), "entity", supplied.ENTITY_COLUMNS["entity_id"])
+    include = include.unionByName(ids(areas.where("n_nationkey % 2 = 0"), "area", supplied.AREA_COLUMNS["id"]))
+    include = include.unionByName(ids(customers.where("c_mktsegment LIKE 'M%'").select("c_mktsegment"), "label", "c_mktsegment"))
+    exclude = ids(customers.where("c_custkey % 6 = 2"), "device", "'device_' || CAST(c_custkey AS STRING)")
+    exclude = exclude.unionByName(ids(areas.where("n_nationkey = 4"), "area", supplied.AREA_COLUMNS["id"]))
+    decided = filters.decided_by_tables(lookup(spark, folder), include, exclude)
+    return decided.rows.select("entity_id", "target_decision")
+
+
 @register("p1_drop_removals")
 def p1(spark: SparkSession, folder: str) -> DataFrame:
     kept = changes.drop_removals(supplied.change_events(spark, folder))
@@ -645,6 +664,19 @@ def c3(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@register("c3_search_columns")
+def c3_search(spark: SparkSession, folder: str) -> DataFrame:
+    rows = documents.with_search_columns(docs(spark, folder)).select("seq", "search.*")
+    return rows.select(
+        "seq",
+        "value_keyword",
+        F.col("integer").cast("bigint").alias("integer"),
+        F.col("date").cast("string").alias("date"),
+        "time",
+        F.col("attributes")["kind"].alias("kind"),
+    )
+
+
 @register("c4_attribute_text")
 def c4(spark: SparkSession, folder: str) -> DataFrame:
     kept = attrs.as_text(attrs.skip_empty(attrs.published(F.col("attributes"))))
@@ -1082,7 +1114,11 @@ def a7(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _trend(rows: DataFrame) -> DataFrame:
-    return analyses.trend(rows).select(
+    return _trend_columns(analyses.trend(rows))
+
+
+def _trend_columns(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "floor",
         "area",
         F.col("month").cast("string").alias("month"),
@@ -1103,6 +1139,16 @@ def a8_orders(spark: SparkSession, folder: str) -> DataFrame:
     return _trend(publish(readings, lookup(spark, folder), trusted=True))
 
 
+@register("a8_recorded_trend")
+def a8_recorded(spark: SparkSession, folder: str) -> DataFrame:
+    """The trend from what was recorded of each slice, one of them twice."""
+    path = shared_folder(spark)
+    parts = list(_slices(docs(spark, folder, "decimal"), "timestamp"))
+    for number, part in [*enumerate(parts), (0, parts[0])]:
+        analyses.record_trend(part, path, str(number))
+    return _trend_columns(analyses.recorded_trend(spark.read.parquet(path)))
+
+
 @register("a9_tag_filter")
 def a9(spark: SparkSession, folder: str) -> DataFrame:
     rows = analyses.tagged(docs(spark, folder, static=STATIC), "lab")

@@ -5,6 +5,8 @@ does not, ``inf`` does), so each cast stands behind a pattern. The repetitions a
 a long text that almost matches fails without backtracking.
 """
 
+import sys
+import unicodedata
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -12,6 +14,11 @@ from pyspark.sql import functions as F
 
 from entity_events import fixed_values as fixed
 
+#: White space and decimal digits beyond ASCII that a number may have, from the Unicode database.
+_WIDE_SPACES = "".join(chr(i) for i in range(0x80, sys.maxunicode + 1) if chr(i).isspace())
+_WIDE_DIGITS = "".join(chr(i) for i in range(0x80, sys.maxunicode + 1) if unicodedata.category(chr(i)) == "Nd")
+_NARROW = " " * len(_WIDE_SPACES) + "".join(str(unicodedata.decimal(digit)) for digit in _WIDE_DIGITS)
+
 _DIGITS = r"\d++(?:_\d++)*+"
 _NUMBER = rf"^\s*+[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?\s*+$"
 
@@ -44,7 +51,12 @@ def as_boolean(text: Column) -> Column:
 
 
 def as_number(text: Column) -> Column:
-    """Finite decimal value of a number text (digit groups with ``_`` allowed), else null."""
+    """Finite decimal value of a number text (digit groups with ``_`` allowed), else null.
+
+    Digits and white space of any script count; only texts that have such letters are rewritten for it.
+    """
+    narrow = F.translate(text, _WIDE_SPACES + _WIDE_DIGITS, _NARROW)
+    text = F.when(text.rlike(r"[^\x00-\x7F]"), narrow).otherwise(text)
     number = F.regexp_replace(F.when(text.rlike(_NUMBER), text), r"[_\s]", "").try_cast("double")
     return F.when(F.abs(number) < F.lit(float("inf")), number)
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from entity_events import fixed_values as fixed
 from entity_events.functions import attributes as attrs
-from entity_events.functions import text, values
+from entity_events.functions import rules, text, values
 from entity_events.settings import StaticFields
 
 #: Dotted names of the top-level columns that do not keep their own name.
@@ -148,6 +148,29 @@ def override(flat: DataFrame, fields: Mapping[str, Any]) -> DataFrame:
     return flat.withColumns({name: F.lit(value) for name, value in fields.items()})
 
 
+def with_search_columns(documents: DataFrame) -> DataFrame:
+    """Documents with the columns that searches use beside the published ones, in one struct ``search``.
+
+    ``value_keyword`` is the exact-match form of the state and absent for long ones; ``integer`` is the whole part
+    of a number; ``date`` and ``time`` are the parts of a date-time state in their strict forms, each absent where
+    the text is malformed; ``attributes`` holds the exact-match form of each attribute's text. What cannot be read
+    as its column's type is left out of that column alone, and the document stays.
+    """
+    state = F.col("value")
+    texts = attrs.as_text(F.col("attributes"))
+    kept = F.map_filter(texts, lambda _, given: rules.keyword(given).isNotNull())
+    return documents.withColumn(
+        "search",
+        F.struct(
+            rules.keyword(state).alias("value_keyword"),
+            values.as_integer(state).alias("integer"),
+            rules.strict_date(F.substring_index(state, "T", 1)).alias("date"),
+            rules.clock_time(F.substr(state, F.instr(state, "T") + 1)).alias("time"),
+            kept.alias("attributes"),
+        ),
+    )
+
+
 def document_line(documents: DataFrame) -> Column:
     """Flat JSON text of a document: dotted names, compact, without empty fields."""
     stored = documents.drop("seq")

@@ -48,12 +48,68 @@ def matching_rule(targets: Targets) -> Column:
     )
 
 
+#: Kinds of a rule in a rule table, in the order in which an entity is held against them.
+RULE_KINDS = ("entity", "area", "entity label", "device", "device label")
+
+#: Columns of a rule table: ``kind`` is entity, area, label or device.
+RULE_TABLE = "kind string, id string"
+
+
+def _rule_keys(details: DataFrame) -> DataFrame:
+    """What the rules of a table can meet of each entity: (entity_id, place in ``RULE_KINDS``, kind, id)."""
+    found = F.col("details")
+    keys = [
+        (F.array("entity_id"), "entity"),
+        (F.array("area_id"), "area"),
+        (found["labels"], "label"),
+        (F.array(found["device"]["id"]), "device"),
+        (found["device"]["labels"], "label"),
+    ]
+    def listed(ids: Column, place: int, kind: str) -> Column:
+        ids = F.coalesce(ids, F.array().cast("array<string>"))
+        return F.transform(ids, lambda i: F.struct(F.lit(place).alias("place"), F.lit(kind).alias("kind"), i.alias("id")))
+
+    each = [listed(ids, place, kind) for place, (ids, kind) in enumerate(keys)]
+    return details.select("entity_id", F.inline(F.concat(*each)))
+
+
+def _first_rules(details: DataFrame, rules: DataFrame, name: str) -> DataFrame:
+    """(entity_id, name): place of the first rule of a table that an entity meets; entities without one are absent.
+
+    Both sides are joined by kind and id, so a table of millions of ids is as good as a short one: Spark
+    broadcasts the smaller side by its measured size or shuffles both, splitting a label that very many
+    entities have.
+    """
+    wanted = rules.select("kind", "id").where(F.col("id").isNotNull()).distinct()
+    return _rule_keys(details).join(wanted, ["kind", "id"]).groupBy("entity_id").agg(F.min("place").alias(name))
+
+
+def decided_by_tables(lookup: Lookup, include: DataFrame | None = None, exclude: DataFrame | None = None) -> Lookup:
+    """A lookup whose entities carry the decision of rule tables (:data:`RULE_TABLE`), in place of literal lists.
+
+    It is used like any other, and its decisions are those that the literal form gives: exclusion first, then
+    inclusion where there is such a table. The rules of the settings are not looked at.
+    """
+    rows = lookup.rows
+    decision = F.lit(PASSED)
+    if include is not None:
+        rows = rows.join(_first_rules(lookup.rows, include, "_include"), "entity_id", "left")
+        decision = F.when(F.col("_include").isNull(), NOT_INCLUDED).otherwise(decision)
+    if exclude is not None:
+        rows = rows.join(_first_rules(lookup.rows, exclude, "_exclude"), "entity_id", "left")
+        rule = F.get(F.array(*map(F.lit, RULE_KINDS)), F.col("_exclude"))
+        decision = F.when(rule.isNotNull(), F.concat(F.lit("excluded by "), rule)).otherwise(decision)
+    return lookup.with_rows(rows.withColumn("target_decision", decision).drop("_include", "_exclude"))
+
+
 def with_rules(details: DataFrame, settings: Settings) -> DataFrame:
     """Add ``target_decision`` to the details table: the first rule that decides, else ``passed``.
 
     Exclusion is tested before inclusion. Inclusion that is switched on with nothing listed passes
-    nothing.
+    nothing. A table that has been :func:`decided_by_tables` keeps its decisions.
     """
+    if "target_decision" in details.columns:
+        return details
     decision = F.lit(PASSED)
     if settings.include_enabled:
         decision = F.when(matching_rule(settings.include).isNull(), NOT_INCLUDED).otherwise(decision)

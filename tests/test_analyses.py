@@ -111,6 +111,28 @@ def test_trend_levels(docs, feed):
     assert rows[(3, "upstairs", None)]["readings"] == len(hot)
 
 
+def test_recorded_trends_outlive_their_documents(spark, docs, feed, tmp_path):
+    path = str(tmp_path / "trend")
+    for day in range(5):
+        begin = T0 + timedelta(days=day)
+        part = docs.where((F.col("timestamp") >= F.lit(begin)) & (F.col("timestamp") < F.lit(begin + timedelta(days=1))))
+        for _ in range(2 if day == 3 else 1):  # a batch that is run again counts once
+            analyses.record_trend(part, path, f"day-{day}")
+    analyses.record_trend(docs.limit(0), path, "none")
+    got = analyses.recorded_trend(spark.read.parquet(path), [0.1, 0.5, 0.9])
+    key = lambda r: (r["level"], r["floor"], r["area"], r["month"])
+    rows = {key(r): r for r in got.collect()}
+    whole = {key(r): r for r in analyses.trend(docs).collect()}
+    assert rows.keys() == whole.keys()
+    for name, row in rows.items():
+        assert row["readings"] == whole[name]["readings"]
+        assert row["average"] == pytest.approx(whole[name]["average"])
+    numbers = sorted(float(r[3]) for r in feed if r[3] != "off")
+    for share, value in zip([0.1, 0.5, 0.9], rows[(7, None, None, None)]["quantiles"]):
+        below, upto = (sum(test) / len(numbers) for test in ([n < value for n in numbers], [n <= value for n in numbers]))
+        assert below - 0.02 <= share <= upto + 0.02
+
+
 def test_panel_search_threshold_tags_latest(docs, feed):
     panel = analyses.panel(docs, ["t.hot", "t.cold"], "1 day")
     assert panel.columns == ["bucket", "t.hot", "t.cold"]

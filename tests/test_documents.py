@@ -161,3 +161,24 @@ def test_static_fields_share_their_parents(spark):
     rows = documents.with_static(spark.range(1), StaticFields("1", "x86", "Linux", "h"))
     assert rows.columns == ["id", "agent", "host"]
     assert rows.select("host.os.name", "host.hostname", F.col("agent.version")).first() == ("Linux", "h", "1")
+
+
+def test_search_columns_leave_out_what_does_not_fit(spark, make_registry):
+    registry = make_registry([home.entity()], [home.device()], home.areas(), home.FLOORS)
+    long = "x" * (fixed.KEYWORD_LIMIT + 1)
+    states = ["12.7", "1e12", "2024-02-29T10:00:00Z", "2024-02-30T10:00:00Z", "2024-02-28", long, "on"]
+    rows = [(home.ENTITY_ID, NOON, i, state, json.dumps({"n": 1, "long": long}), fixed.STATE) for i, state in enumerate(states)]
+    docs = publish(spark.createDataFrame(rows, READING), enrich.details_lookup(registry))
+    found = documents.with_search_columns(docs)
+    assert found.columns == [*docs.columns, "search"]
+    got = [tuple(r) for r in found.orderBy("seq").select("search.value_keyword", "search.integer", F.col("search.date").cast("string"), "search.time").collect()]
+    assert got == [
+        ("12.7", 12, None, None),
+        ("1e12", None, None, None),
+        (states[2], None, "2024-02-29", "10:00:00Z"),
+        (states[3], None, None, "10:00:00Z"),
+        (states[4], None, "2024-02-28", None),
+        (None, None, None, None),
+        ("on", None, None, None),
+    ]
+    assert found.select("search.attributes").first()[0] == {"n": "1"}

@@ -60,6 +60,27 @@ def first_rule(grid_row):
     return "device label" if labels else None
 
 
+def rule_table(spark, grid_row):
+    kinds = ("label", "area", "device", "entity")
+    rows = [(kind, i) for kind, ids in zip(kinds, grid_row) for i in ids]
+    return spark.createDataFrame([*rows, *rows, ("label", None), ("area", "nowhere")], filters.RULE_TABLE)
+
+
+@pytest.mark.parametrize("include_on, exclude_on", [(True, False), (False, True), (True, True)])
+def test_rule_tables_decide_like_lists(spark, lookup, include_on, exclude_on):
+    for number, grid_row in enumerate(GRID):
+        other = GRID[(7 * number + 3) % len(GRID)]
+        settings = Settings(include_enabled=include_on, exclude_enabled=exclude_on, include=targets(grid_row), exclude=targets(other))
+        tables = (rule_table(spark, row) if on else None for row, on in ((grid_row, include_on), (other, exclude_on)))
+        decided = filters.decided_by_tables(lookup, *tables)
+        got = decided.rows.select("target_decision").collect()
+        assert got == filters.with_rules(lookup.rows, settings).select("target_decision").collect(), (grid_row, other)
+    # Whoever uses the lookup goes by its decisions.
+    nothing = filters.decided_by_tables(lookup, include=spark.createDataFrame([], filters.RULE_TABLE))
+    assert passes(spark, nothing, Settings()) == (False, filters.NOT_INCLUDED)
+    assert passes(spark, filters.decided_by_tables(lookup), Settings()) == (True, filters.PASSED)
+
+
 @pytest.mark.parametrize("grid_row", GRID)
 def test_target_rules_switched_on_and_off(spark, lookup, grid_row):
     rule, given = first_rule(grid_row), targets(grid_row)

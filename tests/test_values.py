@@ -76,6 +76,17 @@ def test_numbers_and_datetimes_agree_with_python(spark):
             assert got == {"string": state}, state
 
 
+def test_numbers_in_other_scripts(spark):
+    spaces = [chr(i) for i in range(0x3001) if chr(i).isspace()]
+    states = ["١٢", "١٢.٥", "-१२", "１２e３", "1_٢", "٣x", "²", "Ⅷ", "٠", "1٫5", "𝟙𝟚"] + [f"{s}7{s}" for s in spaces] + ["1\u00a02"]
+    for state, got in coerced(spark, states).items():
+        try:
+            expected = {"float": float(state)}
+        except ValueError:
+            expected = {"string": state}
+        assert got == expected, ascii(state)
+
+
 def test_long_near_numbers_fail_without_backtracking(spark):
     state = "1_" * 100_000 + "x"
     assert coerced(spark, [state]) == {state: {"string": state}}
