@@ -137,7 +137,7 @@ def s3(spark: SparkSession, folder: str) -> DataFrame:
 
 @register("s4_registries")
 def s4(spark: SparkSession, folder: str) -> DataFrame:
-    reg = supplied.registry(spark, folder)
+    reg = supplied.registry(spark, folder, whole=True)
 
     def rows(table: DataFrame, kind: str, key: str, parent: str | None) -> DataFrame:
         above = F.col(parent) if parent else F.lit(None).cast("string")
@@ -173,7 +173,7 @@ def s5(spark: SparkSession, folder: str) -> DataFrame:
 
 @register("s6_target_lists")
 def s6(spark: SparkSession, folder: str) -> DataFrame:
-    rows = enrich.entity_details(supplied.registry(spark, folder))
+    rows = enrich.entity_details(supplied.registry(spark, folder, whole=True))
     return rows.select(
         "entity_id",
         filters.matching_rule(SETTINGS.include).alias("include_rule"),
@@ -181,9 +181,6 @@ def s6(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-# Filters
-
-
 @register("s6_rule_table")
 def s6_table(spark: SparkSession, folder: str) -> DataFrame:
     """Rules as tables: one row for each customer, area and label of a kind, of any number."""
@@ -199,10 +196,14 @@ def s6_table(spark: SparkSession, folder: str) -> DataFrame:
     include = include.unionByName(ids(customers.where("c_mktsegment LIKE 'M%'").select("c_mktsegment"), "label", "c_mktsegment"))
     exclude = ids(customers.where("c_custkey % 6 = 2"), "device", "'device_' || CAST(c_custkey AS STRING)")
     exclude = exclude.unionByName(ids(areas.where("n_nationkey = 4"), "area", supplied.AREA_COLUMNS["id"]))
-    decided = filters.decided_by_tables(lookup(spark, folder), include, exclude)
+    entities = enrich.details_lookup(supplied.registry(spark, folder, whole=True))
+    decided = filters.decided_by_tables(entities, include, exclude)
     return decided.rows.select("entity_id", "target_decision")
 
 
+# Filters
+
+
 @register("p1_drop_removals")
 def p1(spark: SparkSession, folder: str) -> DataFrame:
     kept = changes.drop_removals(supplied.change_events(spark, folder))
@@ -362,7 +363,7 @@ def j6(spark: SparkSession, folder: str) -> DataFrame:
 
 @register("j7_entity_details")
 def j7(spark: SparkSession, folder: str) -> DataFrame:
-    rows = enrich.entity_details(supplied.registry(spark, folder)).select("details")
+    rows = enrich.entity_details(supplied.registry(spark, folder, whole=True)).select("details")
     flat = documents.flatten(rows.select("details.*"))
     return flat.select(
         *(
@@ -549,7 +550,7 @@ def f7(spark: SparkSession, folder: str) -> DataFrame:
 
 @register("f8_json_encoding")
 def f8(spark: SparkSession, folder: str) -> DataFrame:
-    entities = supplied.registry(spark, folder).entities
+    entities = supplied.registry(spark, folder, whole=True).entities
     record = F.struct("entity_id", "domain", text.sorted_labels(F.col("labels")).alias("labels"))
     return entities.select("entity_id", F.to_json(record).alias("json"))
 
@@ -606,7 +607,7 @@ def f12_texts(spark: SparkSession, folder: str) -> DataFrame:
 
 @register("f13_fallback_names")
 def f13(spark: SparkSession, folder: str) -> DataFrame:
-    entities = supplied.registry(spark, folder).entities
+    entities = supplied.registry(spark, folder, whole=True).entities
     return entities.select(
         "entity_id",
         text.first_filled(F.col("name"), F.col("original_name")).alias("name"),
@@ -616,7 +617,7 @@ def f13(spark: SparkSession, folder: str) -> DataFrame:
 
 @register("f14_sorted_labels")
 def f14(spark: SparkSession, folder: str) -> DataFrame:
-    entities = supplied.registry(spark, folder).entities
+    entities = supplied.registry(spark, folder, whole=True).entities
     return entities.select("entity_id", joined(text.sorted_labels(F.col("labels"))).alias("labels"))
 
 

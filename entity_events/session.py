@@ -28,6 +28,14 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Return a fresh folder below the cluster's checkpoint folder, or below its warehouse where none is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """Return a fresh folder below the cluster's checkpoint folder.
+
+    Where none is set, a session that runs on one machine takes its warehouse; any other is refused, since a folder of
+    one machine would not be seen by the others.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
+        root = spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/entity-events-{uuid.uuid4().hex}"

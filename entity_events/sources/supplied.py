@@ -133,9 +133,11 @@ def _columns(columns: dict[str, str]) -> list:
     return [F.expr(sql).alias(name) for name, sql in columns.items()]
 
 
-def registry(spark: SparkSession, folder: str) -> Registry:
-    """The four registries; some entities, devices and floors are missing on purpose."""
-    customers = table(spark, folder, "customer").where(REGISTERED)
+def registry(spark: SparkSession, folder: str, whole: bool = False) -> Registry:
+    """The four registries; some devices and floors are missing on purpose, and some entities unless ``whole``."""
+    customers = table(spark, folder, "customer")
+    if not whole:
+        customers = customers.where(REGISTERED)
     by_domain = customers.withColumn("domain", F.explode(F.array(*map(F.lit, DOMAINS))))
     return Registry(
         entities=by_domain.select(

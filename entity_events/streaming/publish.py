@@ -26,7 +26,8 @@ from entity_events import schemas
 from entity_events.functions import attributes as attrs
 from entity_events.operators import changes as ops
 from entity_events.operators import filters, quality, sinks
-from entity_events.operators.enrich import Registry, details_lookup
+from entity_events.operators.enrich import Registry, details_lookup, entity_details
+from entity_events.operators.skew import Lookup
 from entity_events.plans.publish import Hook, publish
 from entity_events.session import configure
 from entity_events.settings import Settings, StaticFields
@@ -38,10 +39,13 @@ _WHOLE, _PART = "whole", "part"
 
 
 def ticks(spark: SparkSession, seconds: int) -> DataFrame:
-    """A row at each multiple of ``seconds`` on the wall clock."""
+    """A row when the stream first starts, and one at each multiple of ``seconds`` on the wall clock.
+
+    A stream that was down gets the ticks of that time when it starts again.
+    """
     rate = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
     at = F.date_trunc("second", "timestamp").alias("time")
-    return rate.select(at).where(F.unix_seconds("time") % seconds == 0)
+    return rate.select(at, "value").where((F.unix_seconds("time") % seconds == 0) | (F.col("value") == 0)).select("time")
 
 
 class _Newest:
@@ -152,11 +156,30 @@ def _publish_batch(
     static: StaticFields | None,
     newest: _Newest | None,
     hooks: Sequence[Hook],
+) -> None:
+    # Read once a batch: it is measured, and joined for targets, documents and the quarantine.
+    details = entity_details(registry).persist()
+    try:
+        lookup = Lookup.measured(details, "entity_id")
+        _publish_with(lookup, batch, batch_id, folder, part, settings, static, newest, hooks)
+    finally:
+        details.unpersist()
+
+
+def _publish_with(
+    lookup: Lookup,
+    batch: DataFrame,
+    batch_id: int,
+    folder: str,
+    part: str,
+    settings: Settings,
+    static: StaticFields | None,
+    newest: _Newest | None,
+    hooks: Sequence[Hook],
 ) -> None:
     spark = batch.sparkSession
     changes = batch.where(F.col("kind") == _CHANGE).drop("kind")
     readings = changes.where(F.col("entity_id").isNotNull())
-    lookup = details_lookup(registry)
     gathered = readings if settings.change_types else None
     ticked = False
     if newest:

@@ -375,3 +375,17 @@ def test_wall_clock_ticks(spark, tmp_path):
         query.stop()
     assert len(times) >= 2
     assert all(t.microsecond == 0 for t in times)
+
+
+def test_a_tick_when_the_stream_starts(spark, tmp_path):
+    name = f"ticks_{uuid.uuid4().hex}"
+    writer = stream.ticks(spark, 365 * 24 * 3600).writeStream.format("memory").queryName(name)
+    query = writer.option("checkpointLocation", str(tmp_path / "checkpoint")).start()
+    try:
+        for _ in range(20):
+            query.awaitTermination(0.5)
+            if spark.table(name).count():
+                break
+        assert spark.table(name).count() == 1
+    finally:
+        query.stop()
