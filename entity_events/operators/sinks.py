@@ -130,7 +130,7 @@ def append(documents: DataFrame, path: str, generation: int | None = None) -> Ou
     touched, complete, failed = touched_by(documents)
     if not touched:
         return Outcome(0, 0, failed)
-    fresh = quality.first_per_point(documents.where(_complete()))
+    fresh = documents.where(_complete())
     stored = stored_points(spark, path, touched)
     before = 0
     if stored is not None:
@@ -141,7 +141,9 @@ def append(documents: DataFrame, path: str, generation: int | None = None) -> Ou
             & (F.col("object_id") == F.col("_object"))
             & (F.col("timestamp") == F.col("_time"))
         )
+        # Before the sort that picks the first of a point, so that what is there already is not sorted.
         fresh = fresh.join(stored, same, "left_anti")
+    fresh = quality.first_per_point(fresh)
     if generation is None:
         writing = manifest.join_streams(spark, manifest_path(path), [each.stream for each in touched])
         number = F.create_map(*(F.lit(x) for pair in writing.items() for x in pair))[

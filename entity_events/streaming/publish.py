@@ -240,7 +240,7 @@ def fold(spark: SparkSession, folder: str, table: str) -> sinks.Outcome:
     parts = [f"{folder}/documents/query_id={q}/batch_id={b}" for q, b in pending]
     written = [part for part, (q, b) in zip(parts, pending) if b in folders.values(spark, f"{folder}/documents/query_id={q}", "batch_id")]
     outcome = sinks.Outcome(0, 0, 0)
-    documents = _read_parts(spark, written)
+    documents = _read_parts(spark, f"{folder}/documents", written)
     if documents is not None:
         outcome = sinks.append(documents, table)
     spark.createDataFrame(pending, _LOG).coalesce(1).write.mode("append").json(f"{table}/_folded")
@@ -273,10 +273,13 @@ def _folded(spark: SparkSession, table: str) -> set[tuple[str, str]]:
         return set()
 
 
-def _read_parts(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:
-    """Documents of some batches; None where none of them has any."""
+def _read_parts(spark: SparkSession, root: str, paths: Sequence[str]) -> DataFrame | None:
+    """Documents of some batches below ``root``; None where none of them has any."""
+    if not paths:
+        return None
     try:
-        return spark.read.parquet(*paths).drop("dataset", "event_date") if paths else None
+        documents = spark.read.option("basePath", root).parquet(*paths)
+        return documents.drop("query_id", "batch_id", "dataset", "event_date")
     except AnalysisException as error:
         if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
