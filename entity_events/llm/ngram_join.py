@@ -37,6 +37,7 @@ table gives no rows; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +52,8 @@ SIMILAR = (80, 100)
 #: Sizes of the first set of a band and of the next band are in this ratio.
 BAND_RATIO = 1.4
 LARGE = 64
+#: Tags of a large group in one row.
+TAGS_IN_ROW = 4096
 BLOCK = 256
 BUCKETS_PER_PARTITION = 16
 PACKED_AT_ONCE = 1 << 20
@@ -221,41 +224,88 @@ class Packer:
 _MEMBERS = "band int, gid long, size int, pivot long, tag long, flag boolean"
 
 
+@dataclass
+class _Bucket:
+    """The signatures of a bucket in order, one row a signature and set, and the groups that have two or more."""
+
+    bucket: int
+    code: np.ndarray
+    tags: np.ndarray
+    probed: np.ndarray
+    group: np.ndarray
+    begins: np.ndarray
+    sizes: np.ndarray
+    marks: tuple[np.ndarray, np.ndarray]
+
+    @classmethod
+    def of(cls, table: pa.Table) -> _Bucket:
+        code, tags, flags = (
+            np.concatenate([np.frombuffer(blob.as_buffer(), kind) for blob in table.column(name).combine_chunks()])
+            for name, kind in (("signatures", np.uint32), ("tags", np.int64), ("flags", np.uint8))
+        )
+        marked = flags == MARKED
+        marks = code[marked], tags[marked]
+        code, tags, flags = code[~marked], tags[~marked], flags[~marked]
+        order = np.lexsort((PROBED - flags, tags, code))
+        code, tags, flags = code[order], tags[order], flags[order]
+        fresh = np.ones(len(code), bool)
+        fresh[1:] = (code[1:] != code[:-1]) | (tags[1:] != tags[:-1])
+        code, tags, flags = code[fresh], tags[fresh], flags[fresh]
+        begins = np.flatnonzero(np.append(True, code[1:] != code[:-1])[: len(code)])
+        sizes = np.diff(np.append(begins, len(code)))
+        group = np.repeat(np.arange(len(begins)), sizes)
+        return cls(table.column("bucket")[0].as_py(), code, tags, flags == PROBED, group, begins, sizes, marks)
+
+    def members(self, kept: np.ndarray) -> dict[str, np.ndarray]:
+        """The kept rows with group and pivot, and the marked sets with ``gid`` -1."""
+        group, code = self.group[kept], self.code[kept]
+        none = np.zeros(len(self.marks[0]), np.int64)
+        return {
+            "band": (np.concatenate([code, self.marks[0]]) >> 25).astype(np.int32),
+            "gid": np.concatenate([(np.int64(self.bucket) << 32) | code.astype(np.int64), none - 1]),
+            "size": np.concatenate([self.sizes[group], none + 1]).astype(np.int32),
+            "pivot": np.concatenate([self.tags[self.begins[group]], self.marks[1]]),
+            "tag": np.concatenate([self.tags[kept], self.marks[1]]),
+            "flag": np.concatenate([self.probed[kept], none > 0]),
+        }
+
+
 def _groups(table: pa.Table) -> pa.Table:
     """Groups of at least two sets that have a signature of one bucket; of each its members and its pivot.
 
     Marked sets are passed on with ``gid`` -1.
     """
-    bucket = table.column("bucket")[0].as_py()
-    code, tags, flags = (
-        np.concatenate([np.frombuffer(blob.as_buffer(), kind) for blob in table.column(name).combine_chunks()])
-        for name, kind in (("signatures", np.uint32), ("tags", np.int64), ("flags", np.uint8))
-    )
-    marked = flags == MARKED
-    marks = code[marked], tags[marked]
-    code, tags, flags = code[~marked], tags[~marked], flags[~marked]
-    order = np.lexsort((PROBED - flags, tags, code))
-    code, tags, flags = code[order], tags[order], flags[order]
-    fresh = np.ones(len(code), bool)
-    fresh[1:] = (code[1:] != code[:-1]) | (tags[1:] != tags[:-1])
-    code, tags, flags = code[fresh], tags[fresh], flags[fresh]
-    begins = np.flatnonzero(np.append(True, code[1:] != code[:-1])[: len(code)])
-    sizes = np.diff(np.append(begins, len(code)))
-    group = np.repeat(np.arange(len(begins)), sizes)
-    kept = sizes[group] > 1
-    group = group[kept]
-    none = np.zeros(len(marks[0]), np.int64)
-    columns = {
-        "band": (np.concatenate([code[kept], marks[0]]) >> 25).astype(np.int32),
-        "gid": np.concatenate([(np.int64(bucket) << 32) | code[kept].astype(np.int64), none - 1]),
-        "size": np.concatenate([sizes[group], none + 1]).astype(np.int32),
-        "pivot": np.concatenate([tags[begins[group]], marks[1]]),
-        "tag": np.concatenate([tags[kept], marks[1]]),
-        "flag": np.concatenate([flags[kept] == PROBED, none > 0]),
-    }
+    found = _Bucket.of(table)
+    columns = found.members(found.sizes[found.group] > 1)
     return pa.table({name: pa.array(values) for name, values in columns.items()})
 
 
+_NEAR = f"{_MEMBERS}, tags array<long>"
+
+
+def _near_groups(table: pa.Table) -> pa.Table:
+    """The same of groups that some member looks for, but large ones as rows of many tags each.
+
+    A large group gives one row of its tags in order for every ``TAGS_IN_ROW``: what its members share, they share
+    under many signatures, and equal rows fall together before they are taken apart.
+    """
+    found = _Bucket.of(table)
+    sought = np.bincount(found.group, found.probed, len(found.sizes)) > 0
+    few = found.sizes <= LARGE
+    columns = found.members((sought & few & (found.sizes > 1))[found.group])
+    small = {name: pa.array(values) for name, values in columns.items()}
+    small["tags"] = pa.nulls(len(small["gid"]), pa.list_(pa.int64()))
+    parts = [
+        (found.tags[begin], found.tags[at : min(at + TAGS_IN_ROW, begin + size)])
+        for begin, size in zip(found.begins[sought & ~few].tolist(), found.sizes[sought & ~few].tolist())
+        for at in range(begin, begin + size, TAGS_IN_ROW)
+    ]
+    large = {name: pa.nulls(len(parts), column.type) for name, column in small.items()}
+    large["pivot"] = pa.array([pivot for pivot, _ in parts], pa.int64())
+    large["tags"] = pa.array([tags for _, tags in parts], pa.list_(pa.int64()))
+    return pa.concat_tables([pa.table(small), pa.table(large)])
+
+
 def _buckets(spark: SparkSession) -> int:
     return BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -264,6 +314,10 @@ def _grouped(packed: DataFrame) -> DataFrame:
     return packed.groupBy("bucket").applyInArrow(_groups, _MEMBERS)
 
 
+def _near_grouped(packed: DataFrame) -> DataFrame:
+    return packed.groupBy("bucket").applyInArrow(_near_groups, _NEAR)
+
+
 # Passes over the texts
 
 _CLASS = (
@@ -583,6 +637,12 @@ def _raise(packer: Packer, values: np.ndarray, tag: int, band: int, gids: list[i
 # Components
 
 
+def _stars(links: DataFrame) -> bool:
+    """Whether every node has one link to a smaller one, and no centre has one of its own."""
+    roles = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")).distinct())
+    return roles.groupBy("node").agg(F.count(F.lit(1)).alias("roles")).where("roles > 1").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """node and component (the smallest node it reaches) of every node of ``links`` (a, b).
 
@@ -591,8 +651,7 @@ def components(links: DataFrame) -> DataFrame:
     links is one row of minima after partial aggregation, and its links are an ordinary join side.
     """
     links = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    before = None
-    while True:
+    while not _stars(links):
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         lowest = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
         large = both.where("b > a").join(lowest, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).where("a <> b")
@@ -601,11 +660,6 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(lowest, "a").select(F.explode(F.array(F.struct("b", "low"), F.struct(F.col("a").alias("b"), "low"))).alias("n"))
         small = small.select(F.col("n.b").alias("a"), F.col("n.low").alias("b")).where("a <> b").distinct()
         links = written(small, "links")
-        # Stars: every node has one link, and no centre has one of its own.
-        state = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
     found = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return found.unionByName(found.select(F.col("component").alias("node"), "component").distinct())
 
@@ -645,19 +699,18 @@ def _links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     pairs = small_pairs(links.select("one", "two").distinct())
     blocks = None
     if not left_out.isEmpty():
-        near = written(_grouped(_raised(docs, classes, left_out, buckets)), "near")
+        near = written(_near_grouped(_raised(docs, classes, left_out, buckets)), "near")
         marked = near.where("gid < 0").select("tag", "band").distinct()
         saturated = marked.select("tag").distinct()
-        near = near.where("gid >= 0")
-        one = near.where(F.col("flag") & (F.col("size") <= LARGE)).select("gid", F.col("tag").alias("one"))
-        two = near.where(F.col("size") <= LARGE).select("gid", F.col("tag").alias("two"))
+        one = near.where(F.col("flag") & (F.col("gid") >= 0)).select("gid", F.col("tag").alias("one"))
+        two = near.where("gid >= 0").select("gid", F.col("tag").alias("two"))
         found = one.join(two, "gid").where("one <> two")
         found = found.select(F.least("one", "two").alias("one"), F.greatest("one", "two").alias("two")).distinct()
         pairs = pairs.unionByName(_possible(found, classes)).distinct()
         # What no segment tells apart: families of sets that are tied by large groups.
         crowded = members.where(F.col("size") > LARGE).join(saturated, "tag", "left_semi").select("pivot", "tag")
-        probed = near.where((F.col("size") > LARGE) & F.col("flag")).select("gid").distinct()
-        crowded = crowded.union(near.join(probed, "gid", "left_semi").select("pivot", "tag"))
+        shared = near.where("tags is not null").select("pivot", "tags").distinct()
+        crowded = crowded.union(shared.select("pivot", F.explode("tags").alias("tag")))
         # Two that have too few segments may have only empty ones in common.
         bare = marked.join(slack.where("slack < 0"), ["tag", "band"], "left_semi")
         lowest = bare.groupBy("band").agg(F.min("tag").alias("pivot"))
