@@ -52,7 +52,7 @@ SIMILAR = (80, 100)
 #: Sizes of the first set of a band and of the next band are in this ratio.
 BAND_RATIO = 1.4
 LARGE = 64
-#: Tags of a large group in one row.
+#: Tags of a large group in one row, about.
 TAGS_IN_ROW = 4096
 BLOCK = 256
 BUCKETS_PER_PARTITION = 16
@@ -280,32 +280,56 @@ def _groups(table: pa.Table) -> pa.Table:
     return pa.table({name: pa.array(values) for name, values in columns.items()})
 
 
-_NEAR = f"{_MEMBERS}, tags array<long>"
+_NEAR = f"{_MEMBERS}, part int, tags array<long>"
+
+
+def _parts(tags: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """The tags of a large group by hash, in as many parts as give about ``TAGS_IN_ROW`` or fewer each.
+
+    A part is known by the number of parts and its own: groups of about a size are cut alike.
+    """
+    parts = 1 << max(0, int(np.ceil(np.log2(len(tags) / TAGS_IN_ROW))))
+    owner = (mix(tags.view(_U)) & _U(parts - 1)).astype(np.int64)
+    for part in range(parts):
+        yield parts + part, tags[owner == part]
 
 
 def _near_groups(table: pa.Table) -> pa.Table:
     """The same of groups that some member looks for, but large ones as rows of many tags each.
 
-    A large group gives one row of its tags in order for every ``TAGS_IN_ROW``: what its members share, they share
-    under many signatures, and equal rows fall together before they are taken apart.
+    A large group gives one row for about every ``TAGS_IN_ROW`` of its tags, see :func:`_family_ties`.
     """
     found = _Bucket.of(table)
     sought = np.bincount(found.group, found.probed, len(found.sizes)) > 0
     few = found.sizes <= LARGE
     columns = found.members((sought & few & (found.sizes > 1))[found.group])
     small = {name: pa.array(values) for name, values in columns.items()}
+    small["part"] = pa.nulls(len(small["gid"]), pa.int32())
     small["tags"] = pa.nulls(len(small["gid"]), pa.list_(pa.int64()))
     parts = [
-        (found.tags[begin], found.tags[at : min(at + TAGS_IN_ROW, begin + size)])
+        (found.tags[begin], *part)
         for begin, size in zip(found.begins[sought & ~few].tolist(), found.sizes[sought & ~few].tolist())
-        for at in range(begin, begin + size, TAGS_IN_ROW)
+        for part in _parts(found.tags[begin : begin + size])
     ]
     large = {name: pa.nulls(len(parts), column.type) for name, column in small.items()}
-    large["pivot"] = pa.array([pivot for pivot, _ in parts], pa.int64())
-    large["tags"] = pa.array([tags for _, tags in parts], pa.list_(pa.int64()))
+    for place, name in enumerate(("pivot", "part", "tags")):
+        large[name] = pa.array([row[place] for row in parts], small[name].type)
     return pa.concat_tables([pa.table(small), pa.table(large)])
 
 
+def _family_ties(near: DataFrame) -> DataFrame:
+    """(pivot, tag) of all members of large groups.
+
+    What the members of a family share, they share under very many signatures, with few strays each. Of the groups of
+    a pivot the largest is taken apart, of the others only what it does not have.
+    """
+    shared = near.where("tags is not null").select("pivot", "part", "tags").distinct()
+    most = shared.groupBy("pivot", "part").agg(F.max_by("tags", F.size("tags")).alias("most"))
+    others = shared.join(most, ["pivot", "part"]).select("pivot", F.array_except("tags", "most").alias("tags"))
+    ties = most.select("pivot", F.col("most").alias("tags")).unionByName(others.where(F.size("tags") > 0))
+    return ties.select("pivot", F.explode("tags").alias("tag"))
+
+
 def _buckets(spark: SparkSession) -> int:
     return BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -709,8 +733,7 @@ def _links(docs: DataFrame, classes: DataFrame) -> DataFrame:
         pairs = pairs.unionByName(_possible(found, classes)).distinct()
         # What no segment tells apart: families of sets that are tied by large groups.
         crowded = members.where(F.col("size") > LARGE).join(saturated, "tag", "left_semi").select("pivot", "tag")
-        shared = near.where("tags is not null").select("pivot", "tags").distinct()
-        crowded = crowded.union(shared.select("pivot", F.explode("tags").alias("tag")))
+        crowded = crowded.union(_family_ties(near))
         # Two that have too few segments may have only empty ones in common.
         bare = marked.join(slack.where("slack < 0"), ["tag", "band"], "left_semi")
         lowest = bare.groupBy("band").agg(F.min("tag").alias("pivot"))
