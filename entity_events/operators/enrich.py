@@ -21,10 +21,26 @@ class Registry:
     floors: DataFrame
 
 
+#: Groups that rows without an id are spread over in a join by that id.
+_STRAY_GROUPS = 1 << 16
+
+
+def _left_by_id(rows: DataFrame, side: DataFrame, key: str, side_key: str) -> DataFrame:
+    """Left join by an id that many rows lack; ``side_key`` goes.
+
+    Rows without the id meet nothing. A shuffled join would bring them all to one task, so each is dealt out by
+    its entity; the first letter of a key keeps these apart from the keys of ids.
+    """
+    dealt = F.concat(F.lit("-"), F.pmod(F.xxhash64("entity_id"), F.lit(_STRAY_GROUPS)))
+    given = rows.withColumn("_given", F.coalesce(F.concat(F.lit("+"), key), dealt))
+    sought = side.withColumn("_sought", F.concat(F.lit("+"), side_key)).drop(side_key)
+    return given.join(sought, F.col("_given") == F.col("_sought"), "left").drop("_given", "_sought")
+
+
 def with_device(entities: DataFrame, devices: DataFrame) -> DataFrame:
     """Attach the device of each entity; without a device row the entity stays, device null."""
     device = devices.select(
-        F.col("id").alias("device_id"),
+        F.col("id").alias("_device_id"),
         F.struct(
             "id",
             first_filled(F.col("name_by_user"), F.col("name")).alias("name"),
@@ -32,7 +48,7 @@ def with_device(entities: DataFrame, devices: DataFrame) -> DataFrame:
             "area_id",
         ).alias("device"),
     )
-    return entities.join(device, "device_id", "left")
+    return _left_by_id(entities, device, "device_id", "_device_id")
 
 
 def areas_with_floor(areas: DataFrame, floors: DataFrame) -> DataFrame:
@@ -46,7 +62,7 @@ def areas_with_floor(areas: DataFrame, floors: DataFrame) -> DataFrame:
 def with_area(rows: DataFrame, areas: DataFrame, key: str, into: str) -> DataFrame:
     """Attach an area struct (from :func:`areas_with_floor`) by the given id column."""
     keyed = areas.select(F.col("area_id").alias("_area_id"), F.col("area").alias(into))
-    return rows.join(keyed, rows[key] == keyed["_area_id"], "left").drop("_area_id")
+    return _left_by_id(rows, keyed, key, "_area_id")
 
 
 def _filled(labels: Column) -> Column:

@@ -182,3 +182,23 @@ def test_search_columns_leave_out_what_does_not_fit(spark, make_registry):
         ("on", None, None, None),
     ]
     assert found.select("search.attributes").first()[0] == {"n": "1"}
+
+
+def test_entities_without_device_or_area_do_not_meet_in_one_task(spark, make_registry):
+    rows = [{"entity_id": f"light.l{n}", "domain": "light", "object_id": f"l{n}", "labels": []} for n in range(800)]
+    rows += [{**rows[0], "entity_id": "light.-1", "device_id": "-1"}, {**rows[0], "entity_id": "light.d", "device_id": "d"}]
+    devices = [{"id": "d", "name": "D", "labels": []}, {"id": None, "name": "none", "labels": []}]
+    registry = make_registry(rows, devices, [{"id": "a", "name": "A"}], [])
+    shuffled = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    before = {name: spark.conf.get(name) for name in shuffled}
+    try:
+        for name, value in shuffled.items():
+            spark.conf.set(name, value)
+        details = enrich.entity_details(registry)
+        tasks = details.groupBy(F.spark_partition_id()).count().collect()
+        found = details.select("entity_id", "details.device.name").collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert max(row["count"] for row in tasks) < 200
+    assert len(found) == 802 and [row["entity_id"] for row in found if row["name"]] == ["light.d"]
