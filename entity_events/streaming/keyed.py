@@ -1,14 +1,16 @@
 """Stream operators that keep state per entity, so that a batch costs only the entities it has readings of.
 
-State lives in Spark's state store and follows the query's checkpoint, so it survives restarts and is never ahead of
-the output. The rows of one entity in one micro-batch are put in order in one task; the source's limits per trigger
-bound how many those are.
+The entities are dealt into groups by a hash, and the states of a group are one row of the state store: a call to
+Python costs far more than an entity, so there is one call a group and not one an entity. The number of groups is
+fixed with the checkpoint. State lives in Spark's state store and follows the query's checkpoint, so it survives
+restarts and is never ahead of the output. The rows of one group in one micro-batch are put in order in one task; the
+source's limits per trigger bound how many those are.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import groupby
 from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame
@@ -26,8 +28,8 @@ if TYPE_CHECKING:
 #: Stands for a missing time or number in the order of readings; before all others.
 _NONE = -(2**63)
 
-#: Groups that rows without an entity are spread over.
-_STRAY_GROUPS = 64
+#: Groups that entities, and rows without one, are dealt into.
+GROUPS = 1 << 12
 
 
 def _ordered(readings: DataFrame) -> DataFrame:
@@ -42,20 +44,37 @@ def _restored(rows: DataFrame, columns: list[str]) -> DataFrame:
     return rows.withColumns(times).select(*columns)
 
 
-def _by_entity(rows: DataFrame):
-    """Rows grouped by entity; those without one, which need no order, are spread."""
-    stray = F.concat(F.lit("\x00"), F.pmod(F.xxhash64("_at", "_order", *_lines(rows)), F.lit(_STRAY_GROUPS)))
-    return rows.withColumn("_key", F.coalesce("entity_id", stray)).groupBy("_key")
+def _by_group(rows: DataFrame, groups: int):
+    """Rows grouped so that those of an entity are together; those without one, which need no order, are spread."""
+    dealt = F.when(F.col("entity_id").isNotNull(), F.xxhash64("entity_id"))
+    stray = F.xxhash64("_at", "_order", *_lines(rows))
+    return rows.withColumn("_group", F.pmod(F.coalesce(dealt, stray), F.lit(groups))).groupBy("_group")
 
 
 def _lines(rows: DataFrame) -> list[str]:
     return [schemas.UNREADABLE_LINE] if schemas.UNREADABLE_LINE in rows.columns else []
 
 
-def _in_order(chunks: Iterator[pd.DataFrame]) -> pd.DataFrame:
+def _columns(chunks: Iterator[pd.DataFrame], *names: str) -> tuple[pd.DataFrame, list[list]]:
+    """The rows of a group in this micro-batch, and some columns of them as lists."""
     import pandas as pd
 
-    return pd.concat(list(chunks), ignore_index=True).sort_values(["_at", "_order"], kind="stable")
+    parts = list(chunks)
+    batch = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+    return batch, [batch[name].tolist() for name in names]
+
+
+def _kept(state: GroupState) -> dict[str, tuple]:
+    """What a group keeps of its entities: the first column of the state names them."""
+    if not state.exists:
+        return {}
+    names, *values = state.get
+    return dict(zip(names, zip(*values)))
+
+
+def _keep(state: GroupState, kept: dict[str, tuple]) -> None:
+    if kept:
+        state.update((list(kept), *map(list, zip(*kept.values()))))
 
 
 def first_arrivals(readings: DataFrame, delay: str) -> DataFrame:
@@ -80,7 +99,7 @@ def left_out(query: StreamingQuery) -> dict[str, int]:
     return {"late": late, "copies": copies}
 
 
-def classified(readings: DataFrame) -> DataFrame:
+def classified(readings: DataFrame, groups: int = GROUPS) -> DataFrame:
     """Add the reason to a stream of readings that carry only the new state.
 
     The state of an entity is its newest reading. A batch is compared in the order of its times, with that reading in
@@ -91,32 +110,37 @@ def classified(readings: DataFrame) -> DataFrame:
     kinds = T.StructType([*rows.schema.fields, T.StructField("reason", T.StringType())])
 
     def assign(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        batch = _in_order(chunks)
-        if key[0].startswith("\x00"):
-            yield batch.assign(reason=None)[kinds.names]
-            return
-        places = list(zip(batch["_at"], batch["_order"]))
-        states = batch["state"].tolist()
-        changed = [True, *(a != b for a, b in zip(states, states[1:]))]
-        newest = (*map(int, places[-1]), states[-1])
-        if state.exists:
-            before = state.get
-            at = bisect_left(places, before[:2])
-            if at < len(states):
-                changed[at] = states[at] != before[2]
-            else:
-                newest = before
-        state.update(newest)
-        reasons = [fixed.STATE if each else fixed.ATTRIBUTE for each in changed]
+        batch, (entities, times, orders, states) = _columns(chunks, "entity_id", "_at", "_order", "state")
+        kept = _kept(state)
+        reasons: list[str | None] = [None] * len(entities)
+        known = (i for i, entity in enumerate(entities) if entity is not None)
+        for entity, places in groupby(
+            sorted(known, key=lambda i: (entities[i], times[i], orders[i])), key=entities.__getitem__
+        ):
+            before, carried = None, kept.get(entity)
+            for i in places:
+                here = (times[i], orders[i], states[i])
+                if carried is not None and carried[:2] <= here[:2]:
+                    before, carried = carried, None
+                changed = before is None or before[2] != here[2]
+                reasons[i] = fixed.STATE if changed else fixed.ATTRIBUTE
+                before = here
+            if carried is None:
+                kept[entity] = before
+        _keep(state, kept)
         yield batch.assign(reason=reasons)[kinds.names]
 
-    found = _by_entity(rows).applyInPandasWithState(
-        assign, kinds, "at long, number long, state string", "append", GroupStateTimeout.NoTimeout
+    found = _by_group(rows, groups).applyInPandasWithState(
+        assign,
+        kinds,
+        "entities array<string>, at array<long>, number array<long>, state array<string>",
+        "append",
+        GroupStateTimeout.NoTimeout,
     )
     return _restored(found, [*readings.columns, "reason"])
 
 
-def running_deviation(series: DataFrame, deviates: Column, minutes: int) -> DataFrame:
+def running_deviation(series: DataFrame, deviates: Column, minutes: int, groups: int = GROUPS) -> DataFrame:
     """Tell of runs of deviating values of a stream while they last, each once.
 
     ``series`` has entity_id, time and seq. A run is told with the first reading at which it spans ``minutes``: its
@@ -130,28 +154,31 @@ def running_deviation(series: DataFrame, deviates: Column, minutes: int) -> Data
     def follow(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         import pandas as pd
 
-        batch = _in_order(chunks)
-        at, number, started, told = state.get if state.exists else (_NONE, _NONE, _NONE, False)
+        _, (entities, times, orders, outs) = _columns(chunks, "entity_id", "_at", "_order", "deviates")
+        kept = _kept(state)
         alerts = []
-        for time, order, out in zip(batch["_at"].tolist(), batch["_order"].tolist(), batch["deviates"].tolist()):
+        for i in sorted(range(len(entities)), key=lambda i: (times[i], orders[i])):
+            entity, time, order = entities[i], times[i], orders[i]
+            at, number, started, told = kept.get(entity, (_NONE, _NONE, _NONE, False))
             if (time, order) < (at, number):
                 continue
-            at, number = time, order
-            if not out:
+            if not outs[i]:
                 started, told = _NONE, False
-                continue
-            if started == _NONE:
-                started = time
-            if not told and time - started >= least:
-                told = True
-                alerts.append((batch["entity_id"].iloc[0], started, time))
-        state.update((at, number, started, told))
+            else:
+                if started == _NONE:
+                    started = time
+                if not told and time - started >= least:
+                    told = True
+                    alerts.append((entity, started, time))
+            kept[entity] = (time, order, started, told)
+        _keep(state, kept)
         yield pd.DataFrame(alerts, columns=["entity_id", "_started", "_reached"])
 
-    found = _by_entity(rows.where(F.col("entity_id").isNotNull() & (F.col("_at") != _NONE))).applyInPandasWithState(
+    known = rows.where(F.col("entity_id").isNotNull() & (F.col("_at") != _NONE))
+    found = _by_group(known, groups).applyInPandasWithState(
         follow,
         "entity_id string, _started long, _reached long",
-        "at long, number long, started long, told boolean",
+        "entities array<string>, at array<long>, number array<long>, started array<long>, told array<boolean>",
         "append",
         GroupStateTimeout.NoTimeout,
     )

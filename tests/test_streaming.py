@@ -389,3 +389,36 @@ def test_a_tick_when_the_stream_starts(spark, tmp_path):
         assert spark.table(name).count() == 1
     finally:
         query.stop()
+
+
+def test_entities_share_the_state_rows_of_their_group(spark, tmp_path):
+    rng = random.Random(5)
+    batches = [
+        [(f"light.l{n}", T0 + timedelta(minutes=10 * b + rng.randrange(15)), 1000 * b + n, rng.choice(["on", "off", None]), None) for n in range(100)]
+        for b in range(2)
+    ]
+    alerts = []
+    for rows in batches:
+        put(spark, f"{tmp_path}/in", rows + [(None, T0, 9000, "on", None)])
+        for name, build in (
+            ("reasons", lambda source: keyed.classified(source, groups=4)),
+            ("runs", lambda source: keyed.running_deviation(source, F.col("state") == "on", 5, groups=4)),
+        ):
+            source = spark.readStream.schema(schemas.READING).parquet(f"{tmp_path}/in")
+            query = (
+                build(source)
+                .writeStream.format("parquet")
+                .option("checkpointLocation", f"{tmp_path}/checkpoint-{name}")
+                .trigger(availableNow=True)
+                .start(f"{tmp_path}/{name}")
+            )
+            query.awaitTermination()
+            assert max(o.numRowsTotal for p in query.recentProgress for o in p.stateOperators) <= 4
+    got = spark.read.parquet(f"{tmp_path}/reasons").select("entity_id", "seq", "reason").collect()
+    assert [r["reason"] for r in got if r["entity_id"] is None] == [None, None]
+    told = sorted((r["entity_id"], r["seq"], r["reason"]) for r in got if r["entity_id"])
+    assert told == plain_reasons([[row[:4] for row in rows] for rows in batches])
+    for first, then in zip(*batches):
+        if first[3] == then[3] == "on" and then[1] - first[1] >= timedelta(minutes=5):
+            alerts.append((first[0], first[1].replace(tzinfo=None), then[1].replace(tzinfo=None)))
+    assert alerts and sorted(map(tuple, spark.read.parquet(f"{tmp_path}/runs").collect())) == sorted(alerts)
