@@ -34,14 +34,19 @@ def _spellings() -> tuple[str, str, str]:
 
 
 def closest_ascii(text: Column) -> Column:
-    """Replace characters by their ASCII spelling and drop those that have none."""
+    """Replace characters by their ASCII spelling and drop those that have none.
+
+    Longer spellings are looked up once for each different character of a text, not at each place of it.
+    """
     characters, spellings, longer = _spellings()
-    translated = F.translate(text, characters, spellings)
     longer_map = F.from_json(F.lit(longer), "map<string,string>")
-    spelled = F.array_join(
-        F.transform(F.split(translated, ""), lambda c: F.coalesce(F.element_at(longer_map, c), c)), ""
-    )
-    return F.when(
-        text.rlike(_OUTSIDE),
-        F.when(translated.rlike(_OUTSIDE), F.regexp_replace(spelled, _OUTSIDE, "")).otherwise(translated),
-    ).otherwise(text)
+
+    def spelled(translated: Column) -> Column:
+        different = F.array_distinct(F.regexp_extract_all(translated, F.lit(_OUTSIDE), F.lit(0)))
+        known = F.filter(different, lambda c: F.map_contains_key(longer_map, c))
+        put = F.aggregate(known, translated, lambda done, c: F.replace(done, c, F.element_at(longer_map, c)))
+        return F.when(translated.rlike(_OUTSIDE), F.regexp_replace(put, _OUTSIDE, "")).otherwise(translated)
+
+    # Within an array of one, so that the translated text is made once.
+    once = F.transform(F.array(F.translate(text, characters, spellings)), spelled)
+    return F.when(text.rlike(_OUTSIDE), F.get(once, F.lit(0))).otherwise(text)

@@ -1,4 +1,6 @@
 import json
+import re
+import time
 import unicodedata
 
 import pytest
@@ -175,3 +177,20 @@ def test_text_typed_name_and_location(spark):
     assert frame.select(attrs.location(F.col("p"))).first()[0] == [1.0, 2.0]
     zero = frame.select(attrs.location(attrs.parse(F.lit('{"longitude": 0.0, "latitude": 2}'))))
     assert zero.first()[0] is None
+
+
+def test_long_texts_with_every_character_are_normalised(spark):
+    everything = "".join(c for c in map(chr, range(1, 0x20000)) if not 0xD800 <= ord(c) < 0xE000)
+    texts = [everything, "_a_ ,B__c!\n", "\x00x\x7f Y", "ﬁ—ж½ Ab" * 30, " ", "_", ""]
+    frame = spark.createDataFrame(list(enumerate(texts)), "n int, text string")
+    got = dict(frame.select("n", attrs.normalize_name(F.col("text"))).collect())
+
+    def plain(text):
+        spelled = unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode()
+        return re.sub("[^A-Za-z0-9_]+", "_", spelled).strip("_").lower()
+
+    assert got == {n: plain(text) for n, text in enumerate(texts)}
+    began = time.monotonic()
+    long = spark.range(4, numPartitions=4).select(F.repeat(F.lit("ﬁ жж"), 1_000_000).alias("text"))
+    assert [r[0] for r in long.select(F.length(attrs.normalize_name(F.col("text")))).distinct().collect()] == [2_999_999]
+    assert time.monotonic() - began < 30
