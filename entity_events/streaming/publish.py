@@ -15,7 +15,8 @@ A stream keeps one folder per batch; :func:`fold` moves them into the table, eac
 from __future__ import annotations
 
 import threading
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +37,7 @@ from entity_events.streaming import keyed
 
 _CHANGE, _TICK = "change", "tick"
 _WHOLE, _PART = "whole", "part"
+_ADAPTIVE = "spark.sql.adaptive.enabled"
 
 
 def ticks(spark: SparkSession, seconds: int) -> DataFrame:
@@ -48,6 +50,21 @@ def ticks(spark: SparkSession, seconds: int) -> DataFrame:
     return rate.select(at, "value").where((F.unix_seconds("time") % seconds == 0) | (F.col("value") == 0)).select("time")
 
 
+@contextmanager
+def _adaptive(spark: SparkSession) -> Iterator[None]:
+    """Re-planning at run time for what a batch writes.
+
+    Spark turns it off in the session of a stream with state, and then leaves out the rebalancing before a write: each
+    task opens a file for every stream and day. The stream itself plans its next batch without it again.
+    """
+    before = spark.conf.get(_ADAPTIVE)
+    spark.conf.set(_ADAPTIVE, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_ADAPTIVE, before)
+
+
 class _Newest:
     """The newest reading of every entity, as a whole up to some batch and parts of the batches after it."""
 
@@ -130,7 +147,8 @@ def start(
         try:
             newest = _Newest(batch.sparkSession, folder, query_id[0]) if polling else None
             part = f"query_id={query_id[0]}/batch_id={batch_id}"
-            _publish_batch(batch, batch_id, folder, part, registry(), settings, static, newest, hooks)
+            with _adaptive(batch.sparkSession):
+                _publish_batch(batch, batch_id, folder, part, registry(), settings, static, newest, hooks)
         finally:
             batch.unpersist()
 

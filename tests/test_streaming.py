@@ -80,6 +80,17 @@ def test_stream_equals_batch_over_several_batches_and_restarts(spark, tmp_path,
     assert outcomes.agg(F.sum("documents")).first()[0] == 80
 
 
+def test_a_batch_writes_one_small_file_for_a_stream_and_day(spark, tmp_path, make_registry):
+    lights = [f"light.l{n}" for n in range(40)]
+    registry = make_registry([{"entity_id": e, "domain": "light", "object_id": e[6:], "labels": []} for e in lights])
+    for day in range(2):
+        put(spark, f"{tmp_path}/in", [(e, T0 + timedelta(days=day), n, "on", "{}") for n, e in enumerate(lights)])
+    run(spark, tmp_path, registry)
+    stored = stream.read_documents(spark, f"{tmp_path}/out")
+    rows = stored.select("batch_id", "event_date", F.input_file_name().alias("file")).collect()
+    assert len(rows) == 80 and len({tuple(row) for row in rows}) == 2
+
+
 @pytest.mark.parametrize(
     "settings", [Settings(), Settings(include_enabled=True), Settings(change_types=(), poll_seconds=0)]
 )
