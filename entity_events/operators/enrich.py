@@ -24,6 +24,9 @@ class Registry:
 #: Groups that rows without an id are spread over in a join by that id.
 _STRAY_GROUPS = 1 << 16
 
+#: Entities that one task details, about.
+ENTITIES_IN_TASK = 50_000
+
 
 def _left_by_id(rows: DataFrame, side: DataFrame, key: str, side_key: str) -> DataFrame:
     """Left join by an id that many rows lack; ``side_key`` goes.
@@ -69,14 +72,21 @@ def _filled(labels: Column) -> Column:
     return F.when(F.size(labels) > 0, labels)
 
 
-def entity_details(registry: Registry) -> DataFrame:
+def _dealt(entities: DataFrame, in_task: int) -> DataFrame:
+    """Entities in tasks of about ``in_task``: a registry may come in one file, and details are far larger than it."""
+    tasks = -(-entities.count() // in_task)
+    return entities.repartition(tasks, "entity_id", "device_id", "area_id") if tasks > 1 else entities
+
+
+def entity_details(registry: Registry, in_task: int = ENTITIES_IN_TASK) -> DataFrame:
     """One row per registered entity: ``entity_id``, rule inputs, and the nested ``details``.
 
     The small registry tables are joined to each other here, once, so that readings need a single
-    join. The device, area and floor sides are plain scans whose sizes Spark knows.
+    join. The device, area and floor sides are plain scans whose sizes Spark knows. A task details about
+    ``in_task`` entities, however many files they come in.
     """
     areas = areas_with_floor(registry.areas, registry.floors)
-    wide = with_device(registry.entities, registry.devices)
+    wide = with_device(_dealt(registry.entities, in_task), registry.devices)
     wide = with_area(wide, areas, "area_id", "entity_area")
     wide = wide.withColumn("device_area_id", F.col("device.area_id"))
     wide = with_area(wide, areas, "device_area_id", "device_area")

@@ -9,6 +9,7 @@ from entity_events import fixed_values as fixed
 from entity_events.operators import documents, enrich, sinks
 from entity_events.plans.publish import publish
 from entity_events.settings import StaticFields
+from entity_events.sources import feed
 from tests import home
 
 NOON = datetime(2031, 5, 6, 12, tzinfo=UTC)
@@ -202,3 +203,15 @@ def test_entities_without_device_or_area_do_not_meet_in_one_task(spark, make_reg
             spark.conf.set(name, value)
     assert max(row["count"] for row in tasks) < 200
     assert len(found) == 802 and [row["entity_id"] for row in found if row["name"]] == ["light.d"]
+
+
+def test_entities_of_one_file_are_detailed_in_several_tasks(spark, tmp_path, make_registry):
+    rows = [{"entity_id": f"light.l{n}", "domain": "light", "object_id": f"l{n}", "labels": []} for n in range(200)]
+    rows += [{**rows[0], "entity_id": None}, rows[0]]
+    registry = make_registry(rows, [{"id": "d", "name": "D", "labels": []}], [{"id": "a", "name": "A"}], [])
+    for name, table in zip(("entity", "device", "area", "floor"), (registry.entities, registry.devices, registry.areas, registry.floors)):
+        table.coalesce(1).write.parquet(f"{tmp_path}/{name}")
+    details = enrich.entity_details(feed.read_registry(spark, str(tmp_path)), in_task=20)
+    tasks = details.groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) > 5 and max(row["count"] for row in tasks) < 60
+    assert sorted(map(str, (row["entity_id"] for row in details.collect()))) == sorted(str(row["entity_id"]) for row in rows)
