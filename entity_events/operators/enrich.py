@@ -24,7 +24,7 @@ class Registry:
 #: Groups that rows without an id are spread over in a join by that id.
 _STRAY_GROUPS = 1 << 16
 
-#: Entities that one task details, about.
+#: Entities that one task details, about, where the details are kept and read again.
 ENTITIES_IN_TASK = 50_000
 
 
@@ -78,15 +78,16 @@ def _dealt(entities: DataFrame, in_task: int) -> DataFrame:
     return entities.repartition(tasks, "entity_id", "device_id", "area_id") if tasks > 1 else entities
 
 
-def entity_details(registry: Registry, in_task: int = ENTITIES_IN_TASK) -> DataFrame:
+def entity_details(registry: Registry, in_task: int | None = None) -> DataFrame:
     """One row per registered entity: ``entity_id``, rule inputs, and the nested ``details``.
 
     The small registry tables are joined to each other here, once, so that readings need a single
-    join. The device, area and floor sides are plain scans whose sizes Spark knows. A task details about
-    ``in_task`` entities, however many files they come in.
+    join. The device, area and floor sides are plain scans whose sizes Spark knows. With ``in_task``, a
+    task details about that many entities, however many files they come in.
     """
     areas = areas_with_floor(registry.areas, registry.floors)
-    wide = with_device(_dealt(registry.entities, in_task), registry.devices)
+    entities = _dealt(registry.entities, in_task) if in_task else registry.entities
+    wide = with_device(entities, registry.devices)
     wide = with_area(wide, areas, "area_id", "entity_area")
     wide = wide.withColumn("device_area_id", F.col("device.area_id"))
     wide = with_area(wide, areas, "device_area_id", "device_area")

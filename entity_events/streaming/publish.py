@@ -27,7 +27,7 @@ from entity_events import schemas
 from entity_events.functions import attributes as attrs
 from entity_events.operators import changes as ops
 from entity_events.operators import filters, quality, sinks
-from entity_events.operators.enrich import Registry, details_lookup, entity_details
+from entity_events.operators.enrich import ENTITIES_IN_TASK, Registry, details_lookup, entity_details
 from entity_events.operators.skew import Lookup
 from entity_events.plans.publish import Hook, publish
 from entity_events.session import configure
@@ -176,7 +176,7 @@ def _publish_batch(
     hooks: Sequence[Hook],
 ) -> None:
     # Read once a batch: it is measured, and joined for targets, documents and the quarantine.
-    details = entity_details(registry).persist()
+    details = entity_details(registry, ENTITIES_IN_TASK).persist()
     try:
         lookup = Lookup.measured(details, "entity_id")
         _publish_with(lookup, batch, batch_id, folder, part, settings, static, newest, hooks)
