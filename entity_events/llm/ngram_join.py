@@ -456,13 +456,16 @@ def _once(seen: set[str], keys: pa.Array) -> np.ndarray:
 
 def _pair_jobs(pairs: DataFrame) -> DataFrame:
     """Work on pairs (one, two): in groups of ``one`` (block 0) and at most about ``CHUNK`` others (block 1)."""
-    counted = pairs.groupBy("one").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"))
-    dealt = pairs.join(counted, "one")
+    counted = pairs.groupBy("one").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
+
+    def group(chunk: Column) -> Column:
+        family = F.concat(F.lit(PAIRS), F.hex("one"))
+        return F.struct(family.alias("family"), chunk.alias("x"), F.lit(0).alias("y")).alias("group")
+
     chunk = F.pmod(F.xxhash64("two"), F.col("chunks")).cast("int")
-    family = F.concat(F.lit(PAIRS), F.hex("one"))
-    dealt = dealt.select("one", "two", F.struct(family.alias("family"), chunk.alias("x"), F.lit(0).alias("y")).alias("group"))
-    others = dealt.select(F.col("two").alias("tag"), "group", F.lit(1).alias("block"))
-    return others.unionByName(dealt.select(F.col("one").alias("tag"), "group", F.lit(0).alias("block")).distinct())
+    others = pairs.join(counted, "one").select(F.col("two").alias("tag"), group(chunk), F.lit(1).alias("block"))
+    ones = counted.select("one", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
+    return others.unionByName(ones.select(F.col("one").alias("tag"), group(F.col("chunk")), F.lit(0).alias("block")))
 
 
 def _block_jobs(families: DataFrame) -> DataFrame:
@@ -691,6 +694,18 @@ def components(links: DataFrame) -> DataFrame:
 # The join
 
 
+def _untied_pairs(small: DataFrame, stars: DataFrame, refuted: DataFrame) -> DataFrame:
+    """Pairs (one, two) in groups of ``small`` (gid, pivot, tag) that ``stars`` (one: pivot, two) stood for in vain.
+
+    Both were to be tied to their pivot, and of one the star is ``refuted``. All other pairs of these groups were
+    there before.
+    """
+    tied = small.join(stars.toDF("pivot", "tag"), ["pivot", "tag"], "left_semi").select("gid", F.col("tag").alias("two"))
+    untied = small.join(refuted.toDF("pivot", "tag"), ["pivot", "tag"], "left_semi").select("gid", F.col("tag").alias("one"))
+    met = untied.join(tied, "gid").where("one <> two")
+    return met.select(F.least("one", "two").alias("one"), F.greatest("one", "two").alias("two")).distinct()
+
+
 def _links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """Links (a, b: keys of classes) whose components are those of all links."""
     spark = docs.sparkSession
@@ -700,14 +715,14 @@ def _links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     stars = members.where("tag <> pivot").select(F.col("pivot").alias("one"), F.col("tag").alias("two")).distinct()
     stars = written(_possible(stars, classes), "stars")
 
-    def small_pairs(tied: DataFrame) -> DataFrame:
-        """Pairs of small groups but for those that are both tied (one: pivot, two) to their pivot."""
-        tied = tied.select(F.col("one").alias("pivot"), F.col("two").alias("tag"), F.lit(True).alias("tied"))
-        small = members.where((F.col("size") <= LARGE) & (F.col("size") > 2)).join(tied, ["pivot", "tag"], "left")
-        small = small.select("gid", "tag", F.coalesce("tied", F.col("tag") == F.col("pivot")).alias("tied"))
-        other = small.select("gid", F.col("tag").alias("two"), F.col("tied").alias("both"))
-        pairs = small.join(other, "gid").where((F.col("tag") < F.col("two")) & ~(F.col("tied") & F.col("both")))
-        return _possible(pairs.select(F.col("tag").alias("one"), "two").distinct(), classes)
+    # Pairs of small groups but for those that may both be tied (one: pivot, two) to their pivot.
+    small = members.where((F.col("size") <= LARGE) & (F.col("size") > 2)).select("gid", "pivot", "tag")
+    tied = stars.select(F.col("one").alias("pivot"), F.col("two").alias("tag"), F.lit(True).alias("tied"))
+    dealt = small.join(tied, ["pivot", "tag"], "left")
+    dealt = dealt.select("gid", "tag", F.coalesce("tied", F.col("tag") == F.col("pivot")).alias("tied"))
+    other = dealt.select("gid", F.col("tag").alias("two"), F.col("tied").alias("both"))
+    loose = dealt.join(other, "gid").where((F.col("tag") < F.col("two")) & ~(F.col("tied") & F.col("both")))
+    loose = loose.select(F.col("tag").alias("one"), "two").distinct()
 
     # Sets that leave out too much: by empty segments, and by large groups.
     slack = classes.select("tag", F.explode("slack").alias("s")).select("tag", "s.band", "s.slack")
@@ -717,10 +732,11 @@ def _links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     left_out = written(left_out, "left-out")
 
     # If all possible stars hold, these are the pairs that remain.
-    first = written(stars.unionByName(small_pairs(stars)).distinct(), "pairs")
+    first = written(stars.unionByName(_possible(loose, classes)).distinct(), "pairs")
     links = written(_compared(docs, classes, _pair_jobs(first)), "links")
     # Where a star did not hold, the pairs that it stood for follow, with all work on what was left out.
-    pairs = small_pairs(links.select("one", "two").distinct())
+    refuted = written(stars.join(links.select("one", "two").distinct(), ["one", "two"], "left_anti"), "refuted")
+    pairs = _possible(_untied_pairs(small, stars, refuted), classes)
     blocks = None
     if not left_out.isEmpty():
         near = written(_near_grouped(_raised(docs, classes, left_out, buckets)), "near")
@@ -737,15 +753,15 @@ def _links(docs: DataFrame, classes: DataFrame) -> DataFrame:
         # Two that have too few segments may have only empty ones in common.
         bare = marked.join(slack.where("slack < 0"), ["tag", "band"], "left_semi")
         lowest = bare.groupBy("band").agg(F.min("tag").alias("pivot"))
-        crowded = crowded.union(bare.join(lowest, "band").select("pivot", "tag"))
-        tied = crowded.select(F.lpad(F.hex("tag"), 16, "0").alias("a"), F.lpad(F.hex("pivot"), 16, "0").alias("b")).distinct()
-        if not tied.isEmpty():
-            family = components(tied).toDF("hex", "family")
+        crowded = written(crowded.union(bare.join(lowest, "band").select("pivot", "tag")).distinct(), "crowded")
+        if not crowded.isEmpty():
+            ties = crowded.select(F.lpad(F.hex("tag"), 16, "0").alias("a"), F.lpad(F.hex("pivot"), 16, "0").alias("b"))
+            family = components(ties).toDF("hex", "family")
             inside = crowded.select("tag").distinct().withColumn("hex", F.lpad(F.hex("tag"), 16, "0"))
-            blocks = _block_jobs(inside.join(family, "hex").select("family", "tag"))
+            blocks = _block_jobs(written(inside.join(family, "hex").select("family", "tag"), "families"))
     # Pairs are unordered; those verified before are left out in either order.
     known = first.unionByName(first.select(F.col("two").alias("one"), F.col("one").alias("two")))
-    jobs = _pair_jobs(pairs.join(known, ["one", "two"], "left_anti"))
+    jobs = _pair_jobs(written(pairs.join(known, ["one", "two"], "left_anti"), "later-pairs"))
     jobs = jobs if blocks is None else jobs.unionByName(blocks)
     return links.unionByName(_compared(docs, classes, jobs)).select("a", "b")
 

@@ -380,3 +380,22 @@ def test_ownership_counts_distinct_owners_and_repositories(make):
 
 def test_digest_of_no_spans():
     assert hashlib.sha256(b"").hexdigest() == plain.sha("")
+
+
+def test_pairs_of_refuted_stars_follow(make):
+    """Only pairs that a star stood for in vain are new: both were to be tied to the pivot, and one was not."""
+    groups = {7: [1, 2, 3, 4, 5], 8: [1, 2, 3], 9: [2, 3, 6]}
+    small = make([(gid, tags[0], tag) for gid, tags in groups.items() for tag in tags], "gid long, pivot long, tag long")
+    stars = make([(1, 2), (1, 3), (1, 4), (2, 6)], "one long, two long")
+    refuted = make([(1, 4), (1, 3)], "one long, two long")
+    got = ngram_join._untied_pairs(small, stars, refuted).collect()
+    assert sorted(map(tuple, got)) == [(2, 3), (2, 4), (3, 4)]
+    assert not ngram_join._untied_pairs(small, stars, refuted.limit(0)).collect()
+
+
+def test_work_is_dealt_from_written_pairs(make, monkeypatch):
+    """Work on pairs reads them more than once, so they are no plan of joins by then."""
+    plans, dealt = [], ngram_join._pair_jobs
+    monkeypatch.setattr(ngram_join, "_pair_jobs", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or dealt(df))
+    compare_join(make, list(enumerate(near_copies(random.Random(9)))))
+    assert len(plans) == 2 and not any("Join" in plan for plan in plans)
