@@ -6,6 +6,11 @@ shift and then halves the last one, so a stretch of one-to-one tokens is jumped
 slices. Where the ends differ, the irregular group is walked token by token until both end at one offset, and the
 shift is updated. Tokens of a group are linked where their byte ranges overlap.
 
+Neither library merges across the ends of the pieces that the first cuts a text into, words mostly: the second does
+not where its vocabulary holds no token with the two neighbours there. So ids of pieces are kept per worker for both.
+A text with an end that a merge could cross is encoded whole. Texts are aligned many at a time, one after the other,
+and their groups are written by numpy.
+
 Plan: one map encodes and aligns, and gives out the links of each text as pairs of ids with counts. A task cuts
 what it gives out into blocks of ``BLOCK_BYTES`` of text and sums the pairs of each. Only those sums, not the links
 of each text, are added up over the corpus, compared with the best of their B id, and sent back to the block, where
@@ -22,8 +27,10 @@ import functools
 import hashlib
 import json
 import os
+from array import array
 from collections.abc import Iterator
-from operator import concat
+from itertools import chain, islice, pairwise
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +45,15 @@ from entity_events.llm.token_counts import KEPT_PIECES, PIECES, _byte_letters
 #: Bytes of text of a block.
 BLOCK_BYTES = 8 << 20
 
+#: Bytes of text that are aligned at once; a longer single text is aligned on its own.
+ALIGNED_BYTES = 1 << 18
+
 #: Letters of the longest piece whose ids a worker keeps.
 _SHORT = 64
 
+_NONE = np.zeros(0, np.int32)
+_FIRST, _LAST = itemgetter(0), itemgetter(-1)
+
 _ALIGNED = (
     "summary boolean, block long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
     "links binary, pairs array<long>, counts array<long>"
@@ -78,34 +91,75 @@ class TokenPair:
             for i in range(self.b.get_piece_size())
         ]
         self.a_sizes, self.b_sizes = (np.array(list(map(len, each))) for each in (self.a_bytes, self.b_bytes))
-        #: Decimal ids; those of A also with the sign that sets them off from those of B.
-        self.names = [str(i) for i in range(max(len(self.a_bytes), len(self.b_bytes)))]
-        self.led = [f"{name}|" for name in self.names]
-        self._known: dict[str, list[int]] = {}
+        #: Decimal ids as bytes of a number, lowest first, and their lengths.
+        names = [str(i).encode() for i in range(max(len(self.a_bytes), len(self.b_bytes)))]
+        self.names = np.array([int.from_bytes(name, "little") for name in names], np.uint64)
+        self.digits = np.array(list(map(len, names)), np.uint64)
+        self._known: dict[str, tuple[bytes, bytes]] = {}
         self._letters = {byte: letter for letter, byte in letters.items()}
-
-    def _piece(self, piece: str) -> list[int]:
-        """Ids of a piece that merges do not cross, by the library's model; short ones are kept."""
-        ids = [token.id for token in self.a.model.tokenize(piece.encode().decode("latin-1").translate(self._letters))]
+        self._lead = self._crossed = None
+        if _splits(pieces):
+            kinds = (self.b.is_byte, self.b.is_control, self.b.is_unknown)
+            ids = [i for i in range(len(self.b_bytes)) if not any(is_kind(i) for is_kind in kinds)]
+            spellings = [self.b.id_to_piece(i).replace("▁", " ") for i in ids]
+            #: Neighbours that a token of B may hold; between others no merge ever crosses.
+            self._crossed = {pair for spelling in spellings for pair in pairwise(spelling)}
+            used = set().union(*spellings)
+            #: A letter of no token, which keeps what follows apart from the space that the library adds.
+            self._lead = next((x for x in ("\n", *map(chr, range(0xE000, 0xF900))) if x not in used), None)
+            self._led = len(self.b.encode(self._lead or ""))
+
+    def _inside(self, piece: str) -> list[int]:
+        """Ids in B of a piece inside a text, where no merge crosses its ends."""
+        if piece[0] == " " and len(piece) > 1:
+            return self.b.encode(piece[1:])  # the library adds the space
+        return self.b.encode(self._lead + piece)[self._led :]
+
+    def _piece(self, piece: str) -> tuple[bytes, bytes]:
+        """Ids of a piece in both, by the libraries; none in B where they do not spell it. Short pieces are kept."""
+        data = piece.encode()
+        a = [token.id for token in self.a.model.tokenize(data.decode("latin-1").translate(self._letters))]
+        b = self._inside(piece) if self._lead else []
+        if b"".join([self.a_bytes[i] for i in a]) != data or b"".join([self.b_bytes[i] for i in b]) != data:
+            b = []
+        ids = array("i", a).tobytes(), array("i", b).tobytes()
         if len(piece) <= _SHORT:
             if len(self._known) >= KEPT_PIECES:
                 self._known.clear()
             self._known[piece] = ids
         return ids
 
-    def encoded(self, text: str | None) -> tuple[list[int], list[int]]:
+    def encoded(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a space and the text in both; none where the tokens' bytes are not these."""
         if not text:
-            return [], []
+            return _NONE, _NONE
         whole = f" {text}"
-        a: list[int] = []
-        for piece in PIECES.findall(whole):
-            a += self._known.get(piece) or self._piece(piece)
-        b = self.b.encode(text)
+        pieces = PIECES.findall(whole)
+        known, piece_ids = self._known.get, self._piece
+        each_a, each_b = zip(*[known(piece) or piece_ids(piece) for piece in pieces])
+        a = np.frombuffer(b"".join(each_a), np.int32)
+        if all(each_b) and self._crossed.isdisjoint(zip(map(_LAST, pieces), map(_FIRST, islice(pieces, 1, None)))):
+            return a, np.frombuffer(b"".join(each_b), np.int32)
+        b = self.b.encode(text)  # a merge may cross the end of a piece, or a piece is not spelled
         data = whole.encode()
         if b"".join([self.a_bytes[i] for i in a]) != data or b"".join([self.b_bytes[i] for i in b]) != data:
-            return [], []
-        return a, b
+            return _NONE, _NONE
+        return a, np.array(b, np.int32)
+
+
+def _splits(pieces: str) -> bool:
+    """Whether B's model merges neighbours only and changes no letter of a text before, so that parts stand alone."""
+    try:
+        from sentencepiece.sentencepiece_model_pb2 import ModelProto
+    except ImportError:  # it needs protobuf
+        return False
+    with open(pieces, "rb") as file:
+        model = ModelProto.FromString(file.read())
+    rules, trained = model.normalizer_spec, model.trainer_spec
+    changes = rules.precompiled_charsmap or rules.remove_extra_whitespaces or trained.treat_whitespace_as_suffix
+    return bool(
+        trained.model_type == trained.BPE and rules.add_dummy_prefix and rules.escape_whitespaces and not changes
+    )
 
 
 @functools.lru_cache(maxsize=1)
@@ -114,20 +168,20 @@ def token_pair(byte_level: str, pieces: str) -> TokenPair:
 
 
 def _stretch(a: list[int], b: list[int], i: int, j: int) -> int:
-    """Number of equal ends from ``a[i]`` and ``b[j]`` on, the first known to be equal."""
-    n = step = 1
-    while True:
-        ours = a[i + n : i + n + step]
-        if not ours or ours != b[j + n : j + n + step]:
-            break
-        n += len(ours)
+    """Number of equal ends from ``a[i]`` and ``b[j]`` on, the first known to be equal, the last not."""
+    x, y, step = i + 1, j + 1, 1
+    if a[x] != b[y]:
+        return 1
+    while a[x : x + step] == b[y : y + step]:
+        x += step
+        y += step
         step *= 2
     while step > 1:
         step //= 2
-        ours = a[i + n : i + n + step]
-        if ours and ours == b[j + n : j + n + step]:
-            n += len(ours)
-    return n
+        if a[x : x + step] == b[y : y + step]:
+            x += step
+            y += step
+    return x - i
 
 
 def groups(a: list[int], b: list[int]) -> Iterator[tuple[int, int, int, int, list[tuple[int, int]] | None]]:
@@ -137,59 +191,99 @@ def groups(a: list[int], b: list[int]) -> Iterator[tuple[int, int, int, int, lis
     of its overlapping tokens.
     """
     i = j = 0
-    while i < len(a):
-        if a[i] == b[j]:
+    size = len(a)
+    a, b = [*a, -1], [*b, -2]  # no stretch goes beyond these
+    while i < size:
+        x, y = a[i], b[j]
+        if x == y:
             n = _stretch(a, b, i, j)
             yield i, i + n, j, j + n, None
-            i, j = i + n, j + n
+            i += n
+            j += n
             continue
         k, m = i, j
         links = [(k, m)]
-        while a[k] != b[m]:
-            if a[k] < b[m]:
+        while x != y:
+            if x < y:
                 k += 1
+                x = a[k]
             else:
                 m += 1
+                y = b[m]
             links.append((k, m))
-        yield i, k + 1, j, m + 1, links
-        i, j = k + 1, m + 1
+        k += 1
+        m += 1
+        yield i, k, j, m, links
+        i, j = k, m
 
 
-def _along(first: list[int], lengths: np.ndarray) -> np.ndarray:
+def _along(first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The numbers from each of ``first`` on, as many as its length."""
     before = np.cumsum(lengths) - lengths
-    return np.repeat(np.array(first, np.int64) - before, lengths) + np.arange(lengths.sum())
+    return np.repeat(first - before, lengths) + np.arange(lengths.sum())
 
 
-class Alignment:
-    """Groups and links of one text."""
+class Alignments:
+    """Groups and links of some texts, aligned one after the other as if they were one.
 
-    def __init__(self, pair: TokenPair, text: str | None):
-        a, b = pair.encoded(text)
-        self.n_a, self.n_b = len(a), len(b)
-        a_ids, b_ids = np.array(a, np.int64), np.array(b, np.int64)
-        led, names = [pair.led[i] for i in a], [pair.names[i] for i in b]
-        straight: tuple[list[int], list[int], list[int]] = [], [], []
+    At the end of a text tokens of both end, so no group goes beyond it. ``pairs`` and ``counts`` are those of text
+    ``t`` from ``ends[t]`` to ``ends[t + 1]``.
+    """
+
+    def __init__(self, pair: TokenPair, texts: list[str | None]):
+        encoded = [pair.encoded(text) for text in texts]
+        a, b = (np.concatenate([each[side] for each in encoded]).astype(np.int64) for side in range(2))
+        self.n_a, self.n_b = (np.array([len(each[side]) for each in encoded], np.int64) for side in range(2))
+        first: list[tuple[int, int, int, bool]] = []
         crossing: list[tuple[int, int]] = []
-        written: list[str] = []
-        for i, k, j, m, links in groups(np.cumsum(pair.a_sizes[a_ids]).tolist(), np.cumsum(pair.b_sizes[b_ids]).tolist()):
+        for i, k, j, _, links in groups(np.cumsum(pair.a_sizes[a]).tolist(), np.cumsum(pair.b_sizes[b]).tolist()):
             if links is None:
-                written += map(concat, led[i:k], names[j:m])
-                straight[0].append(i)
-                straight[1].append(j)
-                straight[2].append(k - i)
+                first.append((i, j, k - i, True))
             else:
+                first.append((i, j, 1, False))
                 crossing += links
-                written.append(f"{','.join([pair.names[x] for x in a[i:k]])}|{','.join(names[j:m])}")
-        lengths = np.array(straight[2], np.int64)
-        left, right = (_along(first, lengths) for first in straight[:2])
-        if crossing:
-            places = np.array(crossing, np.int64)
-            left, right = np.concatenate([left, places[:, 0]]), np.concatenate([right, places[:, 1]])
-        self.n_groups, self.n_links = len(written), len(left)
-        self.digest = hashlib.sha256(";".join(written).encode()).hexdigest() if written else ""
-        codes = a_ids[left] * len(pair.b_bytes) + b_ids[right]
-        self.pairs, self.counts = np.unique(codes, return_counts=True)
+        i, j, lengths, straight = _columns(first, 4)
+        a_starts, b_starts = _along(i, lengths), _along(j, lengths)
+        straight = np.repeat(straight, lengths) == 1
+        left, right = (
+            np.concatenate([starts[straight], places])
+            for starts, places in zip((a_starts, b_starts), _columns(crossing, 2))
+        )
+        text = np.repeat(np.arange(len(texts)), self.n_a)
+        self.n_groups, self.n_links = (np.bincount(text[at], minlength=len(texts)) for at in (a_starts, left))
+        self.digests = self._digests(pair, a, b, a_starts, b_starts)
+        size = len(pair.a_bytes) * len(pair.b_bytes)
+        codes, self.counts = np.unique(
+            text[left] * size + a[left] * len(pair.b_bytes) + b[right], return_counts=True
+        )
+        self.ends = np.searchsorted(codes, np.arange(len(texts) + 1) * size)
+        self.pairs = codes % size
+
+    def _digests(
+        self, pair: TokenPair, a: np.ndarray, b: np.ndarray, a_starts: np.ndarray, b_starts: np.ndarray
+    ) -> list[str]:
+        """Digest of the groups of each text: every token is one number of its name and the sign that follows it."""
+        written = np.zeros(len(a) + len(b), np.dtype("<u8"))
+        long = np.zeros(len(written), np.int64)
+        # A token of A has those of B of earlier groups before it, and one of B those of A of its own group as well.
+        befores = b_starts, np.append(a_starts[1:], len(a))
+        for ids, starts, before, sign in zip((a, b), (a_starts, b_starts), befores, b"|;"):
+            begins = np.zeros(len(ids) + 1, np.int64)
+            begins[starts] = 1
+            begins[-1] = 1
+            at = np.arange(len(ids)) + before[np.cumsum(begins[:-1]) - 1] if len(ids) else starts
+            signs = np.where(begins[1:] == 1, np.uint64(sign), np.uint64(ord(",")))
+            digits = pair.digits[ids]
+            written[at] = pair.names[ids] | (signs << (digits * np.uint64(8)))
+            long[at] = digits + np.uint64(1)
+        body = written.view(np.uint8)
+        body = body[body != 0].tobytes()
+        ends = np.append(0, np.cumsum(long))[np.append(0, np.cumsum(self.n_a + self.n_b))].tolist()
+        return [hashlib.sha256(body[x : y - 1]).hexdigest() if y > x else "" for x, y in pairwise(ends)]
+
+
+def _columns(rows: list[tuple], width: int) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(rows), np.int64, len(rows) * width).reshape(-1, width).T
 
 
 def _packed(pairs: np.ndarray, counts: np.ndarray) -> bytes:
@@ -215,7 +309,7 @@ def _aligning(byte_level: str, pieces: str, block_bytes: int) -> object:
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = token_pair(byte_level, pieces)
         block = TaskContext.get().partitionId() << 33
-        size, pairs, counts = 0, [], []
+        size, waiting, pairs, counts = 0, [], [], []
         names = [field.split(" ")[0] for field in _ALIGNED.split(", ")]
         kinds = [
             pa.bool_(), *[pa.int64()] * 6, pa.string(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())
@@ -229,25 +323,38 @@ def _aligning(byte_level: str, pieces: str, block_bytes: int) -> object:
             codes, sums = _summed(pairs, counts)
             return True, block, None, 0, 0, 0, 0, "", None, codes, sums
 
+        def found() -> list[tuple]:
+            """Rows of the texts that wait; their pairs join those of the block."""
+            ids, texts = zip(*waiting)
+            waiting.clear()
+            each = Alignments(pair, texts)
+            numbers = (column.tolist() for column in (each.n_a, each.n_b, each.n_groups, each.n_links))
+            links = [_packed(each.pairs[x:y], each.counts[x:y]) for x, y in pairwise(each.ends.tolist())]
+            if len(each.pairs):
+                pairs.append(each.pairs)
+                counts.append(each.counts)
+            if len(pairs) >= 8:  # merge now and then, so that what is kept stays small
+                codes, sums = _summed(pairs, counts)
+                pairs[:], counts[:] = [codes], [sums]
+            none = [None] * len(ids)
+            return list(zip([False] * len(ids), [block] * len(ids), ids, *numbers, each.digests, links, none, none))
+
         for batch in batches:
-            rows = []
+            rows, waits = [], 0
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 text = text.as_py()
-                found = Alignment(pair, text)
-                links = _packed(found.pairs, found.counts)
-                numbers = found.n_a, found.n_b, found.n_groups, found.n_links
-                rows.append((False, block, doc_id.as_py(), *numbers, found.digest, links, None, None))
-                if len(found.pairs):
-                    pairs.append(found.pairs)
-                    counts.append(found.counts)
+                waiting.append((doc_id.as_py(), text))
+                waits += len(text or "")
                 size += len(text or "")
-                if len(pairs) >= 512:  # merge now and then, so that what is kept stays small
-                    codes, sums = _summed(pairs, counts)
-                    pairs, counts = [codes], [sums]
+                if size >= block_bytes or waits >= ALIGNED_BYTES:
+                    rows += found()
+                    waits = 0
                 if size >= block_bytes:
                     if pairs:
                         rows.append(summary())
                     block, size, pairs, counts = block + 1, 0, [], []
+            if waiting:
+                rows += found()
             if rows:
                 yield given(rows)
         if pairs:

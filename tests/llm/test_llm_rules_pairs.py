@@ -272,3 +272,38 @@ def test_a_long_text_is_aligned(make):
     rows = {row.doc_id: row for row in alignment.aligned(docs, *paths).collect()}
     assert rows[1].n_links >= rows[1].n_a > 300_000 and rows[1].n_groups > 150_000
     assert (rows[2].n_a, rows[2].n_links, rows[2].groups_sha256) == (0, 0, "")
+
+
+PAIR_PATHS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
+def test_known_pieces_are_not_encoded_again():
+    pair = alignment.TokenPair(*PAIR_PATHS)
+    text = "A naïve tokenization, of 123 words.\nAnd more"
+    a, _, b, _ = PlainPair().tokens(text)
+    assert [ids.tolist() for ids in pair.encoded(text)] == [a, b]
+    pair.a = pair.b = None
+    assert [ids.tolist() for ids in pair.encoded(text)] == [a, b]
+    assert [ids.tolist() for ids in pair.encoded("more words, of")] != [[], []]
+
+
+def test_merges_across_pieces_are_those_of_the_whole_text():
+    pair, plain = alignment.TokenPair(*PAIR_PATHS), PlainPair()
+    texts = ["call();\r\n}\r\n", "a    b", "  x", "don'table's'sure", "m².", " \r\r", "x\r", "'s", " ", "\n", "x\u3000 y"]
+    for text in texts:
+        a, _, b, _ = plain.tokens(text)
+        assert a and [ids.tolist() for ids in pair.encoded(text)] == [a, b], text
+    assert [len(ids) for ids in pair.encoded("word ▁ word")] == [0, 0]
+
+
+def test_texts_aligned_together_are_as_alone():
+    pair = alignment.TokenPair(*PAIR_PATHS)
+    texts = [None, "", "one two", "▁", "naïve 漢字", "one two", "\x00", ""]
+    together = alignment.Alignments(pair, texts)
+    for t, text in enumerate(texts):
+        alone = alignment.Alignments(pair, [text])
+        for name in ("n_a", "n_b", "n_groups", "n_links", "digests"):
+            assert getattr(together, name)[t] == getattr(alone, name)[0]
+        part = slice(together.ends[t], together.ends[t + 1])
+        assert together.pairs[part].tolist() == alone.pairs.tolist()
+        assert together.counts[part].tolist() == alone.counts.tolist()
