@@ -24,11 +24,13 @@ an empty table gives no rows; other columns are not read. A text longer than a b
 from __future__ import annotations
 
 import functools
+import gc
 import hashlib
 import json
 import os
 from array import array
 from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import chain, islice, pairwise
 from operator import itemgetter
 
@@ -234,21 +236,25 @@ class Alignments:
         encoded = [pair.encoded(text) for text in texts]
         a, b = (np.concatenate([each[side] for each in encoded]).astype(np.int64) for side in range(2))
         self.n_a, self.n_b = (np.array([len(each[side]) for each in encoded], np.int64) for side in range(2))
-        first: list[tuple[int, int, int, bool]] = []
+        a_first: list[int] = []
+        b_first: list[int] = []
+        stretches: list[int] = []
         crossing: list[tuple[int, int]] = []
         for i, k, j, _, links in groups(np.cumsum(pair.a_sizes[a]).tolist(), np.cumsum(pair.b_sizes[b]).tolist()):
+            a_first.append(i)
+            b_first.append(j)
             if links is None:
-                first.append((i, j, k - i, True))
+                stretches.append(k - i)
             else:
-                first.append((i, j, 1, False))
+                stretches.append(0)
                 crossing += links
-        i, j, lengths, straight = _columns(first, 4)
-        a_starts, b_starts = _along(i, lengths), _along(j, lengths)
-        straight = np.repeat(straight, lengths) == 1
-        left, right = (
-            np.concatenate([starts[straight], places])
-            for starts, places in zip((a_starts, b_starts), _columns(crossing, 2))
-        )
+        matched = np.array(stretches, np.int64)
+        lengths = np.maximum(matched, 1)
+        a_starts, b_starts = (_along(np.array(first, np.int64), lengths) for first in (a_first, b_first))
+        straight = np.repeat(matched > 0, lengths)
+        places = np.fromiter(chain.from_iterable(crossing), np.int64, 2 * len(crossing)).reshape(-1, 2)
+        left = np.concatenate([a_starts[straight], places[:, 0]])
+        right = np.concatenate([b_starts[straight], places[:, 1]])
         text = np.repeat(np.arange(len(texts)), self.n_a)
         self.n_groups, self.n_links = (np.bincount(text[at], minlength=len(texts)) for at in (a_starts, left))
         self.digests = self._digests(pair, a, b, a_starts, b_starts)
@@ -282,8 +288,16 @@ class Alignments:
         return [hashlib.sha256(body[x : y - 1]).hexdigest() if y > x else "" for x, y in pairwise(ends)]
 
 
-def _columns(rows: list[tuple], width: int) -> np.ndarray:
-    return np.fromiter(chain.from_iterable(rows), np.int64, len(rows) * width).reshape(-1, width).T
+@contextmanager
+def _uncollected() -> Iterator[None]:
+    """Without the search for cycles of objects: aligning makes many small ones, and none in a cycle."""
+    was_on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was_on:
+            gc.enable()
 
 
 def _packed(pairs: np.ndarray, counts: np.ndarray) -> bytes:
@@ -327,7 +341,8 @@ def _aligning(byte_level: str, pieces: str, block_bytes: int) -> object:
             """Rows of the texts that wait; their pairs join those of the block."""
             ids, texts = zip(*waiting)
             waiting.clear()
-            each = Alignments(pair, texts)
+            with _uncollected():
+                each = Alignments(pair, texts)
             numbers = (column.tolist() for column in (each.n_a, each.n_b, each.n_groups, each.n_links))
             links = [_packed(each.pairs[x:y], each.counts[x:y]) for x, y in pairwise(each.ends.tolist())]
             if len(each.pairs):
