@@ -253,6 +253,26 @@ def test_copies_in_later_batches_are_left_out_and_counted(spark, tmp_path, regis
     assert keyed.left_out(query) == {"late": 1, "copies": 10}
 
 
+def test_executors_hold_points_only_while_a_task_works(spark, tmp_path, registry):
+    def reused(out, **options):
+        source = spark.readStream.schema(schemas.READING).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+        query = stream.start(source, f"{tmp_path}/{out}", lambda: registry, available_now=True, **options)
+        query.awaitTermination()
+        metrics = [o.customMetrics for p in query.recentProgress for o in p.stateOperators]
+        return sum(int(each["loadedMapCacheHitCount"]) for each in metrics)
+
+    for number in range(3):
+        put(spark, f"{tmp_path}/in", feed(10 * number, 10 * number + 15))
+    setting = "spark.sql.streaming.stateStore.unloadOnCommit"
+    before = spark.conf.get(setting)
+    assert reused("points", first_within="1 hour") == 0
+    stored = stream.read_documents(spark, f"{tmp_path}/points").select("seq").collect()
+    assert sorted(r["seq"] for r in stored) == list(range(35))
+    # Other streams are started as before.
+    assert spark.conf.get(setting) == before
+    assert reused("plain") > 0
+
+
 def test_lines_that_cannot_be_read_reach_the_quarantine(spark, tmp_path, registry):
     (tmp_path / "lines").mkdir()
     for number in range(3):
